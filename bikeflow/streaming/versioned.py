@@ -1,0 +1,105 @@
+"""Parquet tables that change by whole folders.
+
+Each change goes to a new folder ``version=<n>``; Spark's own ``_SUCCESS`` file marks it
+complete. Readers see complete versions only, nothing that is read gets overwritten, and a
+repeated micro-batch rewrites just its own folder.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Iterator
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from bikeflow.operators.sinks import write_clustered
+
+_BUCKET = "bucket"
+
+
+class VersionedTable:
+    """A table replaced whole, or bucket by bucket when ``bucket`` is given.
+
+    ``bucket`` computes the unit of rewriting from the key columns: for keys that hold a time,
+    the day or hour, so that a batch touches the recent buckets only; else a key hash.
+    """
+
+    def __init__(self, path: str, bucket: Column | None = None, cluster_by: Iterable[str] = ()):
+        self.path = path.rstrip("/")
+        self.bucket = bucket
+        self.cluster_by = list(cluster_by)
+
+    def _list(self, spark: SparkSession, folder: str) -> list[str]:
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(hadoop_path):
+            return []
+        return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+
+    def versions(self, spark: SparkSession, before: int | None = None) -> Iterator[int]:
+        """Complete versions, newest first; only those below ``before`` if given."""
+        numbers = (int(n.split("=")[1]) for n in self._list(spark, self.path) if n.startswith("version="))
+        for number in sorted(numbers, reverse=True):
+            if before is None or number < before:
+                if "_SUCCESS" in self._list(spark, f"{self.path}/version={number}"):
+                    yield number
+
+    def touched(self, batch: DataFrame) -> list[str]:
+        """Bucket names a batch falls in; as many as there are buckets at most."""
+        rows = batch.select(self.bucket.cast("string").alias(_BUCKET)).distinct().collect()
+        return [row[0] for row in rows]
+
+    def read(
+        self, spark: SparkSession, before: int | None = None, buckets: Iterable[str] | None = None
+    ) -> DataFrame | None:
+        """The table as of the newest version (below ``before``), or None when there is none."""
+        if self.bucket is None:
+            newest_whole = next(self.versions(spark, before), None)
+            return None if newest_whole is None else spark.read.parquet(f"{self.path}/version={newest_whole}")
+        wanted = None if buckets is None else {f"{_BUCKET}={b}" for b in buckets}
+        newest: dict[str, str] = {}
+        for version in self.versions(spark, before):
+            for name in self._list(spark, f"{self.path}/version={version}"):
+                if name.startswith(f"{_BUCKET}=") and (wanted is None or name in wanted):
+                    newest.setdefault(name, f"{self.path}/version={version}/{name}")
+            if wanted is not None and len(newest) == len(wanted):
+                break
+        if not newest:
+            return None
+        # Each folder is a plain Parquet folder: the bucket is derived and needs no column.
+        return spark.read.option("recursiveFileLookup", True).parquet(*newest.values())
+
+    def write(self, df: DataFrame, version: int) -> None:
+        """Write the whole table, or the whole of the buckets that ``df`` falls in."""
+        target = f"{self.path}/version={version}"
+        if self.bucket is None:
+            if self.cluster_by:
+                write_clustered(df, target, self.cluster_by)
+            else:
+                df.write.mode("overwrite").parquet(target)
+            return
+        rows = df.withColumn(_BUCKET, self.bucket.cast("string"))
+        write_clustered(rows, target, self.cluster_by, [_BUCKET])
+
+    def refresh(self, spark: SparkSession, df: DataFrame) -> int:
+        """Replace the whole table by a recomputed result; readers switch when it is complete."""
+        if self.bucket is not None:
+            raise ValueError("a table with buckets is changed bucket by bucket")
+        version = next(self.versions(spark), -1) + 1
+        self.write(df, version)
+        return version
+
+
+def key_bucket(*keys: str, buckets: int = 64) -> Column:
+    """Bucket by key hash, for keys without a time."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets))
+
+
+def day_bucket(epoch: str) -> Column:
+    """Bucket by UTC day of an epoch column that is part of the key."""
+    return F.to_date(F.timestamp_seconds(F.col(epoch)))
+
+
+def hour_bucket(epoch: str) -> Column:
+    """Bucket by UTC hour of an epoch column that is part of the key."""
+    return F.date_format(F.timestamp_seconds(F.col(epoch)), "yyyy-MM-dd-HH")
