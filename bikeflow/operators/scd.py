@@ -23,7 +23,8 @@ def latest_per_key(changes: DataFrame, keys: Sequence[str], sequence: str) -> Da
     """
     rest = [c for c in changes.columns if c not in keys and c != sequence]
     tie = [F.xxhash64(*rest).desc()] + [F.col(c).desc_nulls_last() for c in rest] if rest else []
-    order = Window.partitionBy(*keys).orderBy(F.col(sequence).desc_nulls_last(), *tie)
+    newest = [] if sequence in keys else [F.col(sequence).desc_nulls_last()]
+    order = Window.partitionBy(*keys).orderBy(*(newest + tie or [F.lit(0)]))
     return changes.withColumn("__rank", F.row_number().over(order)).filter("__rank = 1").drop("__rank")
 
 

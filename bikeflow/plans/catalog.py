@@ -474,7 +474,10 @@ def medallion_run(spark, sf):
     m.text_files(m.telemetry_documents(m.telemetry_bronze(m.table(spark, sf, "events"))), f"{landing}/{k.TELEMETRY_FEED}")
     m.text_files(m.nation_documents(m.table(spark, sf, "nation")), f"{landing}/{k.STATION_INFORMATION_FEED}")
     m.text_files(m.status_documents(m.table(spark, sf, "orders")), f"{landing}/{k.STATION_STATUS_FEED}")
-    return Medallion(spark, landing, f"{folder}/warehouse", PART_FILES, history_buckets=4).run()
+    months = 30 * 86_400
+    return Medallion(
+        spark, landing, f"{folder}/warehouse", PART_FILES, bucket_seconds=months, history_buckets=4
+    ).run()
 
 
 # -- UDFs --------------------------------------------------------------------------------

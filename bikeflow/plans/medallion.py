@@ -14,7 +14,7 @@ from bikeflow.sources.streams import stream_documents, stream_folder
 from bikeflow.streaming.ingest import append_stream, each_batch
 from bikeflow.streaming.trips import extend_trips, read_trips
 from bikeflow.streaming.upserts import upsert_history, upsert_latest
-from bikeflow.streaming.versioned import VersionedTable, day_bucket, key_bucket
+from bikeflow.streaming.versioned import VersionedTable, key_bucket, time_bucket
 
 UNTRACKED = ("timestamp_utc", "timestamp_local", "last_updated")
 
@@ -25,6 +25,7 @@ class Medallion:
 
     Every step takes up what is new since its last run and can be run again at any time.
     ``glob`` selects the landing files; ``max_files`` bounds a micro-batch.
+    ``bucket_seconds`` is the time span that an upsert rewrites as a unit.
     """
 
     spark: SparkSession
@@ -33,13 +34,14 @@ class Medallion:
     glob: str = "*.json"
     max_files: int | None = None
     zone: str | None = None
+    bucket_seconds: int = 86_400
     history_buckets: int = 64
 
     def __post_init__(self) -> None:
-        day = day_bucket("last_updated")
+        span = time_bucket("last_updated", self.bucket_seconds)
         by_station = key_bucket("station_id", buckets=self.history_buckets)
-        self.telemetry = VersionedTable(self._path("silver/telemetry"), day, ["rideable_id", "last_updated"])
-        self.status = VersionedTable(self._path("silver/station_status"), day, ["station_id", "last_updated"])
+        self.telemetry = VersionedTable(self._path("silver/telemetry"), span, ["rideable_id", "last_updated"])
+        self.status = VersionedTable(self._path("silver/station_status"), span, ["station_id", "last_updated"])
         self.station_log = VersionedTable(self._path("silver/station_log"), by_station, ["station_id"])
         self.station_history = VersionedTable(self._path("silver/station_history"), by_station, ["station_id"])
         self.current_stations = VersionedTable(self._path("gold/stations"))

@@ -95,11 +95,11 @@ def key_bucket(*keys: str, buckets: int = 64) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets))
 
 
-def day_bucket(epoch: str) -> Column:
-    """Bucket by UTC day of an epoch column that is part of the key."""
-    return F.to_date(F.timestamp_seconds(F.col(epoch)))
+def time_bucket(epoch: str, seconds: int = 86_400) -> Column:
+    """Bucket by a span of an epoch column that is part of the key, named by its UTC start.
 
-
-def hour_bucket(epoch: str) -> Column:
-    """Bucket by UTC hour of an epoch column that is part of the key."""
-    return F.date_format(F.timestamp_seconds(F.col(epoch)), "yyyy-MM-dd-HH")
+    Choose the span by density: a micro-batch rewrites the spans it falls in, and each span
+    gets files of its own.
+    """
+    start = F.floor(F.col(epoch) / F.lit(seconds)) * F.lit(seconds)
+    return F.date_format(F.timestamp_seconds(start), "yyyy-MM-dd-HHmmss")

@@ -1,0 +1,28 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from bikeflow.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    conf = {
+        "spark.ui.enabled": "false",
+        "spark.sql.shuffle.partitions": "4",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+    }
+    session = build_session("local[8]", "tests", **conf)
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def folder(tmp_path):
+    return str(tmp_path)
