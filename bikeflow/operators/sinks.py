@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ELECTRIC = "electric_bike"
@@ -22,13 +22,17 @@ def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> None:
     create_table_as(df, name, path, mode="overwrite")
 
 
-def clustered(df: DataFrame, keys: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
-    """Bring equal keys together and sort, so that Parquet statistics can skip row groups.
+def clustered(df: DataFrame, keys: Sequence[str], together: Column | None = None) -> DataFrame:
+    """Gather rows by ``together`` (the first key by default) and sort each task's rows by ``keys``.
 
-    A rebalance, not a plain repartition: adaptive execution splits the partition of a hot
-    key and merges small ones. The sort is local to each output file.
+    Files then hold narrow key ranges that Parquet statistics can skip. The gathering is a
+    rebalance, not a plain repartition: adaptive execution splits the partition of a hot
+    value and merges small ones.
     """
-    return df.hint("rebalance", *keys).sortWithinPartitions(*keys, *within)
+    if together is None:
+        return df.hint("rebalance", keys[0]).sortWithinPartitions(*keys)
+    gathered = df.withColumn("__together", together).hint("rebalance", "__together")
+    return gathered.sortWithinPartitions(*keys).drop("__together")
 
 
 def write_clustered(
@@ -37,15 +41,16 @@ def write_clustered(
     cluster_by: Sequence[str],
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
+    together: Column | None = None,
 ) -> None:
     """Write Parquet, in folders by ``partition_by``, sorted by ``cluster_by`` within files.
 
-    With folders the rows are brought together per folder, else per cluster key.
+    With folders the rows are gathered per folder.
     """
     if partition_by:
-        laid_out = clustered(df, partition_by, cluster_by)
+        laid_out = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *cluster_by)
     else:
-        laid_out = clustered(df, cluster_by)
+        laid_out = clustered(df, cluster_by, together)
     laid_out.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 

@@ -88,6 +88,20 @@ def trips_with_station_names(spark, sf):
     return station_ops.with_station_names(m.trips(spark, sf), m.stations(spark, sf))
 
 
+@query
+def trips_with_names_from_history(spark, sf):
+    """Names straight from the type 2 table: the validity test is part of the join."""
+    landed = _landed(spark, "nations", m.nation_documents(m.table(spark, sf, "nation")))
+    rows = flatten.flatten_station_information(files.read_json(spark, landed, schemas.RAW_DOCUMENT))
+    ranges = scd.history(
+        enrich.enrich_station_information(rows),
+        ["station_id"],
+        "last_updated",
+        ["timestamp_utc", "timestamp_local"],
+    )
+    return station_ops.with_names_from_history(m.trips(spark, sf), ranges)
+
+
 @query
 def trips_with_coordinates(spark, sf):
     placed = station_ops.with_station_coordinates(m.trips(spark, sf), m.stations(spark, sf))
@@ -171,7 +185,10 @@ def history_filter_load(spark, sf):
 
 @query
 def rider_classifier(spark, sf):
-    rides = m.published_trips(spark, sf)
+    """Train on all trips and score them. Training reads its input often, so it is a table."""
+    table = work_folder(spark, "rides")
+    m.published_trips(spark, sf).write.parquet(table)
+    rides = spark.read.schema(m.PUBLISHED_TRIPS).parquet(table)
     predicted = rider_model.predict(rider_model.fit(rides), rides)
     return predicted.select("ride_id", "member_casual", "prediction", "predicted_member_casual")
 

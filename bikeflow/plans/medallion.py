@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bikeflow import schemas
 from bikeflow.constants import STATION_INFORMATION_FEED, STATION_STATUS_FEED, TELEMETRY_FEED
@@ -47,7 +48,9 @@ class Medallion:
         self.current_stations = VersionedTable(self._path("gold/stations"))
         self.last_readings = VersionedTable(self._path("gold/last_readings"))
         self.named_trips = VersionedTable(
-            self._path("gold/trips_with_names"), cluster_by=["trip_start_time_local"]
+            self._path("gold/trips_with_names"),
+            cluster_by=["trip_start_time_local"],
+            together=F.to_date("trip_start_time_local"),
         )
 
     def _path(self, name: str) -> str:

@@ -147,6 +147,7 @@ SQL: dict[str, str] = {
         SELECT tt.*, r.station_id AS next_station_id
         FROM tt JOIN readings r ON tt.rideable_id = r.rideable_id AND tt.next_updated = r.last_updated""",
     "trips_with_station_names": _NAMED,
+    "trips_with_names_from_history": _NAMED,
     "medallion_run": _NAMED,
     "trips_with_coordinates": f"""
         WITH {_TRIPS}

@@ -6,8 +6,9 @@ import csv
 import io
 import zipfile
 from collections.abc import Iterator
+from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,25 +102,32 @@ def zipped_csv_rows(archives: DataFrame, schema: str | T.StructType) -> DataFram
     names = wanted.fieldNames()
     columns = ["archive", "member", *names]
 
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def columnar(path: str, member: str, rows: list[list[str]], places: list[int | None]) -> pa.RecordBatch:
+        def texts(place: int | None) -> list[str | None]:
+            if place is None:
+                return [None] * len(rows)
+            return [(row[place] or None) if place < len(row) else None for row in rows]
+
+        values = [[path] * len(rows), [member] * len(rows), *map(texts, places)]
+        return pa.RecordBatch.from_arrays([pa.array(v, pa.string()) for v in values], names=columns)
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        csv.field_size_limit(2**31 - 1)
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
                     for member in archive.namelist():
                         if not member.lower().endswith(".csv"):
                             continue
                         with archive.open(member) as raw:
-                            reader = csv.DictReader(io.TextIOWrapper(raw, "utf-8-sig", newline=""))
-                            rows = []
-                            for record in reader:
-                                rows.append([path, member, *((record.get(n) or None) for n in names)])
-                                if len(rows) == _LINES_PER_BATCH:
-                                    yield pd.DataFrame(rows, columns=columns, dtype=object)
-                                    rows = []
-                            if rows:
-                                yield pd.DataFrame(rows, columns=columns, dtype=object)
+                            reader = csv.reader(io.TextIOWrapper(raw, "utf-8-sig", newline=""))
+                            header = next(reader, [])
+                            places = [header.index(n) if n in header else None for n in names]
+                            filled = filter(None, reader)
+                            while rows := list(islice(filled, _LINES_PER_BATCH)):
+                                yield columnar(path.as_py(), member, rows, places)
 
     texts = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    unpacked = archives.select("path", "content").mapInPandas(unpack, texts)
+    unpacked = archives.select("path", "content").mapInArrow(unpack, texts)
     typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted.fields]
     return unpacked.select("archive", "member", *typed)

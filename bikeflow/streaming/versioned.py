@@ -8,9 +8,11 @@ repeated micro-batch rewrites just its own folder.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from bikeflow.operators.sinks import write_clustered
 
@@ -24,17 +26,27 @@ class VersionedTable:
     the day or hour, so that a batch touches the recent buckets only; else a key hash.
     """
 
-    def __init__(self, path: str, bucket: Column | None = None, cluster_by: Iterable[str] = ()):
+    def __init__(
+        self,
+        path: str,
+        bucket: Column | None = None,
+        cluster_by: Iterable[str] = (),
+        schema: str | StructType | None = None,
+        together: Column | None = None,
+    ):
         self.path = path.rstrip("/")
         self.bucket = bucket
         self.cluster_by = list(cluster_by)
+        self.schema = schema
+        self.together = together
+
+    def _hadoop(self, spark: SparkSession, folder: str):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def _list(self, spark: SparkSession, folder: str) -> list[str]:
-        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(hadoop_path):
-            return []
-        return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+        path, fs = self._hadoop(spark, folder)
+        return [status.getPath().getName() for status in fs.listStatus(path)] if fs.exists(path) else []
 
     def versions(self, spark: SparkSession, before: int | None = None) -> Iterator[int]:
         """Complete versions, newest first; only those below ``before`` if given."""
@@ -52,29 +64,58 @@ class VersionedTable:
     def read(
         self, spark: SparkSession, before: int | None = None, buckets: Iterable[str] | None = None
     ) -> DataFrame | None:
-        """The table as of the newest version (below ``before``), or None when there is none."""
+        """The table as of the newest version (below ``before``).
+
+        A table without rows yet is empty when its schema is known, else None.
+        """
+        folders = self._folders(spark, before, buckets)
+        if folders:
+            reader = spark.read.schema(self.schema) if self.schema else spark.read
+            # The bucket is derived and needs no column: each folder is plain Parquet.
+            return reader.option("recursiveFileLookup", True).parquet(*folders)
+        return spark.createDataFrame([], self.schema) if self.schema else None
+
+    def _folders(self, spark: SparkSession, before: int | None, buckets: Iterable[str] | None) -> list[str]:
         if self.bucket is None:
-            newest_whole = next(self.versions(spark, before), None)
-            return None if newest_whole is None else spark.read.parquet(f"{self.path}/version={newest_whole}")
+            return [f"{self.path}/version={v}" for v in islice(self.versions(spark, before), 1)]
         wanted = None if buckets is None else {f"{_BUCKET}={b}" for b in buckets}
         newest: dict[str, str] = {}
         for version in self.versions(spark, before):
-            for name in self._list(spark, f"{self.path}/version={version}"):
-                if name.startswith(f"{_BUCKET}=") and (wanted is None or name in wanted):
+            for name in self._buckets(spark, version):
+                if wanted is None or name in wanted:
                     newest.setdefault(name, f"{self.path}/version={version}/{name}")
             if wanted is not None and len(newest) == len(wanted):
                 break
-        if not newest:
-            return None
-        # Each folder is a plain Parquet folder: the bucket is derived and needs no column.
-        return spark.read.option("recursiveFileLookup", True).parquet(*newest.values())
+        return list(newest.values())
+
+    def _buckets(self, spark: SparkSession, version: int) -> list[str]:
+        names = self._list(spark, f"{self.path}/version={version}")
+        return [n for n in names if n.startswith(f"{_BUCKET}=")]
+
+    def expire(self, spark: SparkSession, keep: int = 10) -> list[int]:
+        """Delete versions that ``keep`` newer ones have replaced in full; returns their numbers.
+
+        Two at least are kept: a repeated micro-batch reads the version before its own.
+        """
+        newer: dict[str, int] = {}
+        gone = []
+        for version in self.versions(spark):
+            parts = ["whole"] if self.bucket is None else self._buckets(spark, version)
+            if all(newer.get(p, 0) >= max(keep, 2) for p in parts):
+                gone.append(version)
+            for part in parts:
+                newer[part] = newer.get(part, 0) + 1
+        for version in gone:
+            path, fs = self._hadoop(spark, f"{self.path}/version={version}")
+            fs.delete(path, True)
+        return gone
 
     def write(self, df: DataFrame, version: int) -> None:
         """Write the whole table, or the whole of the buckets that ``df`` falls in."""
         target = f"{self.path}/version={version}"
         if self.bucket is None:
             if self.cluster_by:
-                write_clustered(df, target, self.cluster_by)
+                write_clustered(df, target, self.cluster_by, together=self.together)
             else:
                 df.write.mode("overwrite").parquet(target)
             return

@@ -138,3 +138,16 @@ def test_only_touched_buckets_are_rewritten(spark, folder):
     assert table.read(spark).count() == 16
     with pytest.raises(ValueError):
         table.refresh(spark, spark.range(1))
+
+
+def test_expiry_keeps_what_is_current(spark, folder):
+    table = VersionedTable(f"{folder}/t", key_bucket("station_id", buckets=64), ["station_id"], schema=COLUMNS)
+    assert table.read(spark).isEmpty()
+    step = upsert_latest(table, ["station_id"], "seq")
+    step(spark.createDataFrame([("a", 0, "x", ""), ("b", 0, "x", "")], COLUMNS), 0)
+    for i in range(1, 5):
+        step(spark.createDataFrame([("a", i, "x", "")], COLUMNS), i)
+    # Version 0 still holds the only rows of b; versions 3 and 4 are the two newest of a.
+    assert table.expire(spark, keep=2) == [2, 1]
+    assert sorted((r.station_id, r.seq) for r in table.read(spark).collect()) == [("a", 4), ("b", 0)]
+    assert table.expire(spark, keep=2) == []
