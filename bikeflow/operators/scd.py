@@ -34,13 +34,15 @@ def history(
     sequence: str,
     untracked: Sequence[str] = (),
     slot_width: int = SEQUENCE_SLOT,
+    unique: bool = False,
 ) -> DataFrame:
     """Validity ranges per key: a new range starts when a tracked column changes.
 
     Columns in ``untracked``, and the sequence itself, do not open a range; they show the
     latest value within it. The open range has a NULL end. ``sequence`` must be an integer.
+    ``unique`` says that (keys, sequence) is unique already, which saves a shuffle.
     """
-    log = latest_per_key(changes, [*keys, sequence], sequence)
+    log = changes if unique else latest_per_key(changes, [*keys, sequence], sequence)
     loose = [c for c in log.columns if c in untracked or c == sequence]
     tracked = [c for c in log.columns if c not in keys and c not in loose]
     slot = value_slot(sequence, slot_width)

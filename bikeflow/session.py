@@ -41,10 +41,10 @@ def shared_root(spark: SparkSession) -> str:
 
     A machine-local folder is made only where the cluster names none, as in tests.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="bikeflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bikeflow-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 

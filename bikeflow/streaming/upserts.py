@@ -69,6 +69,6 @@ def upsert_history(
             batch.unpersist()
         if touched:
             changes = log.read(spark, before=batch_id + 1, buckets=touched)
-            ranges.write(history(changes, keys, sequence, untracked, slot_width), batch_id)
+            ranges.write(history(changes, keys, sequence, untracked, slot_width, unique=True), batch_id)
 
     return step
