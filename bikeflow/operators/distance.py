@@ -73,7 +73,15 @@ def extend_matrix(
     router: Callable[..., Column] = great_circle_route,
     cap: int | None = k.ROUTE_PAIR_CAP,
     tasks: int | None = None,
+    answers: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows to append to the matrix, failed pairs). Failed pairs stay new and are retried."""
+    """(rows to append to the matrix, failed pairs). Failed pairs stay new and are retried.
+
+    Give a folder for the ``answers`` of a slow or costly provider: they are written there
+    first, so that each pair is asked once however often the two results are used.
+    """
     answered = enrich_pairs(new_pairs(trips, stations, matrix, cap), router, tasks)
+    if answers:
+        answered.write.mode("overwrite").parquet(answers)
+        answered = answered.sparkSession.read.schema(answered.schema).parquet(answers)
     return answered.filter("error is null").drop("error"), answered.filter("error is not null")

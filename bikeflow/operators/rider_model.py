@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,32 +21,31 @@ def with_label(history: DataFrame) -> DataFrame:
     return history.withColumn("label", F.when(F.col("member_casual") == MEMBER, 1).otherwise(0))
 
 
-def category_bins(history: DataFrame) -> int:
-    """Bins a tree needs: the largest category count, plus one for unseen values."""
-    # Two-step distinct counts, so that a hot value is merged before the shuffle.
-    counts = history.agg(*[F.count_distinct(c).alias(c) for c in FEATURES]).first()
-    return max(2, *(counts[c] + 1 for c in FEATURES))
-
-
 def fit(history: DataFrame, seed: int = 42, trees: int = 20, max_depth: int = 5) -> PipelineModel:
     """Index the three categories, assemble them, fit a random forest.
 
-    Unknown and NULL categories get their own index, and the bin count follows the data: the
-    defaults fail on NULL stations and above 32 stations.
+    Unknown and NULL categories get their own index, and the bin count follows the indexed
+    categories: the defaults fail on NULL stations and above 32 stations.
     """
+    labelled = with_label(history)
     indexer = StringIndexer(
         inputCols=list(FEATURES), outputCols=list(FEATURES.values()), handleInvalid="keep"
-    )
+    ).fit(labelled)
     assembler = VectorAssembler(inputCols=list(FEATURES.values()), outputCol="features")
     forest = RandomForestClassifier(
         featuresCol="features",
         labelCol="label",
-        maxBins=max(32, category_bins(history)),
+        maxBins=max(32, category_bins(indexer)),
         numTrees=trees,
         maxDepth=max_depth,
         seed=seed,
     )
-    return Pipeline(stages=[indexer, assembler, forest]).fit(with_label(history))
+    return Pipeline(stages=[indexer, assembler, forest]).fit(labelled)
+
+
+def category_bins(indexer: StringIndexerModel) -> int:
+    """Bins a tree needs: the largest category count, plus one for unknown values."""
+    return 1 + max(len(labels) for labels in indexer.labelsArray)
 
 
 def predict(model: PipelineModel, history: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ from bikeflow.operators import (
 from bikeflow.operators.neighbours import value_slot, with_neighbours
 from bikeflow.plans import mappings as m
 from bikeflow.plans.medallion import Medallion
-from bikeflow.session import pin_utc, work_folder
+from bikeflow.session import folder_bytes, pin_utc, size_shuffles, work_folder
 from bikeflow.sources import files, streams
 from bikeflow.streaming.ingest import append_stream, each_batch
 from bikeflow.streaming.trips import extend_trips, read_trips
@@ -50,7 +50,8 @@ PART_FILES = "part-*"
 def query(fn: Query) -> Query:
     @wraps(fn)
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return m.plain_times(fn(pin_utc(spark), sf))
+        size_shuffles(pin_utc(spark), folder_bytes(spark, sf))
+        return m.plain_times(fn(spark, sf))
 
     QUERIES[fn.__name__] = run
     return run
@@ -459,14 +460,13 @@ def scd2_streaming(spark, sf):
 def trips_streaming(spark, sf):
     """Telemetry in three deliveries, in order of time; trips appended as they end."""
     folder = work_folder(spark, "trips")
-    rows = m.readings(spark, sf).withColumn("third", F.dayofmonth("timestamp_utc"))
-    third = F.when(F.col("third") <= 10, 0).when(F.col("third") <= 20, 1).otherwise(2)
-    state = VersionedTable(f"{folder}/state")
-    step = extend_trips(state, f"{folder}/trips", f"{folder}/late")
+    rows = enrich.enrich_telemetry(m.telemetry_bronze(m.table(spark, sf, "events")))
+    first, last = rows.agg(F.min("last_updated"), F.max("last_updated")).first()
+    third = F.floor((F.col("last_updated") - first) * 3 / (last - first + 1))
+    step = extend_trips(VersionedTable(f"{folder}/state"), f"{folder}/trips", f"{folder}/late")
     for delivery in m.waves(rows, third, 3):
-        readings = delivery.drop("third")
-        readings.write.mode("append").parquet(f"{folder}/readings")
-        arriving = streams.stream_folder(spark, f"{folder}/readings", readings.schema)
+        delivery.write.mode("append").parquet(f"{folder}/readings")
+        arriving = streams.stream_folder(spark, f"{folder}/readings", rows.schema)
         each_batch(arriving, step, f"{folder}/checkpoint")
     return read_trips(spark.read.parquet(f"{folder}/trips"))
 

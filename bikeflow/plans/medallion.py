@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,19 +62,27 @@ class Medallion:
 
     # bronze: documents to rows
 
-    def _bronze(self, feed: str, flat) -> None:
-        documents = stream_documents(self.spark, f"{self.landing}/{feed}", self.glob, self.max_files)
+    def _bronze(self, feed: str, station: str, flat: Callable[[DataFrame], DataFrame]) -> None:
+        landed = f"{self.landing}/{feed}"
+        documents = stream_documents(self.spark, landed, self.glob, station, self.max_files)
+        # Bronze is read in full by the next step: sorted where it is, not shuffled.
         append_stream(
-            flat(documents), self._path(f"bronze/{feed}"), self._checkpoint(f"bronze_{feed}"), ["station_id"]
+            flat(documents),
+            self._path(f"bronze/{feed}"),
+            self._checkpoint(f"bronze_{feed}"),
+            cluster_by=["station_id"],
+            gather=False,
         )
 
     def _bronze_stream(self, feed: str, schema: str) -> DataFrame:
         return stream_folder(self.spark, self._path(f"bronze/{feed}"), schema, max_files=self.max_files)
 
     def ingest(self) -> None:
-        self._bronze(TELEMETRY_FEED, flatten.flatten_telemetry)
-        self._bronze(STATION_INFORMATION_FEED, flatten.flatten_station_information)
-        self._bronze(STATION_STATUS_FEED, flatten.flatten_station_status)
+        self._bronze(TELEMETRY_FEED, schemas.TELEMETRY_STATION, flatten.flatten_telemetry)
+        self._bronze(
+            STATION_INFORMATION_FEED, schemas.INFORMATION_STATION, flatten.flatten_station_information
+        )
+        self._bronze(STATION_STATUS_FEED, schemas.STATUS_STATION, flatten.flatten_station_status)
 
     # silver: keyed tables
 

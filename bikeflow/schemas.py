@@ -33,6 +33,12 @@ def document_type(station: str) -> str:
 # Raw reader of every feed: all text, so that one odd document cannot fail a load.
 RAW_DOCUMENT = "data string, last_updated string, ttl string, version string"
 
+
+def parsed_document(station: str) -> str:
+    """Raw reader with the ``data`` object typed."""
+    return f"data {data_type(station)}, last_updated string, ttl string, version string"
+
+
 TELEMETRY_BRONZE = (
     "last_updated string, station_id string, battery_charge_percentage bigint, displayed_number string, "
     "docking_capability bigint, is_lbs_internal_rideable boolean, make_and_model string, rideable_id string, "

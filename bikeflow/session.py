@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -36,6 +37,31 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Input bytes per shuffle partition, and the most partitions a shuffle gets.
+SHUFFLE_TASK_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 40_000
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of the files below a folder, as the file system reports it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(path).getLength() if fs.exists(path) else 0
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise the shuffle partition count to fit the input, and return it.
+
+    Adaptive execution merges partitions that turn out small but cannot add any, so the count
+    is an upper bound and must follow the data. It is never lowered here.
+    """
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fitting = min(math.ceil(input_bytes / SHUFFLE_TASK_BYTES), MAX_SHUFFLE_PARTITIONS)
+    if fitting > now:
+        spark.conf.set("spark.sql.shuffle.partitions", str(fitting))
+    return max(now, fitting)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

@@ -12,15 +12,17 @@ def stream_documents(
     spark: SparkSession,
     folder: str,
     glob: str = "*.json",
+    station: str | None = None,
     max_files: int | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
     """Feed documents as they land; each file is taken up once per checkpoint.
 
-    All fields arrive as text, the nested object included.
+    With the type of a ``station`` the nested object is parsed by the reader itself, in one
+    pass; else it arrives as text. The other fields are text in both cases.
     """
     reader = (
-        spark.readStream.schema(schemas.RAW_DOCUMENT)
+        spark.readStream.schema(schemas.parsed_document(station) if station else schemas.RAW_DOCUMENT)
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
         .option("multiLine", multi_line)

@@ -25,12 +25,14 @@ def append_stream(
     checkpoint: str,
     cluster_by: Sequence[str] = (),
     partition_by: Sequence[str] = (),
+    gather: bool = True,
 ) -> StreamingQuery:
     """Append the new rows of a stream to a Parquet folder.
 
     Without clustering this is Spark's file sink, exactly once by its own log. With
     ``cluster_by`` each micro-batch is laid out and written to a folder of its own, which a
-    repeated micro-batch replaces.
+    repeated micro-batch replaces. ``gather=False`` sorts each task's rows where they are:
+    no shuffle, for tables that are mostly read in full.
     """
     if not cluster_by:
         writer = rows.writeStream.format("parquet").outputMode("append").option("path", target)
@@ -39,7 +41,12 @@ def append_stream(
         return drain(writer.option("checkpointLocation", checkpoint))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_clustered(batch, f"{target}/batch={batch_id}", cluster_by, partition_by)
+        folder = f"{target}/batch={batch_id}"
+        if gather:
+            write_clustered(batch, folder, cluster_by, partition_by)
+        else:
+            rows = batch.sortWithinPartitions(*partition_by, *cluster_by)
+            rows.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
 
     return each_batch(rows, write, checkpoint)
 

@@ -41,24 +41,25 @@ def extend_trips(
         fresh = latest_per_key(good, KEYS, "last_updated")
         last = state.read(spark, before=batch_id)
         if last is None:
-            ahead, behind, chain = fresh, None, fresh
+            placed = fresh.withColumn("seen", F.lit(None).cast("bigint")).persist()
         else:
             seen = last.select("rideable_id", F.col("last_updated").alias("seen"))
             placed = fresh.join(seen, "rideable_id", "left").persist()
-            ahead = placed.filter("seen is null or last_updated > seen").drop("seen")
-            behind = placed.filter("last_updated < seen").drop("seen")
-            chain = ahead.unionByName(last)
         try:
+            chain = placed.filter("seen is null or last_updated > seen").drop("seen")
+            if last is not None:
+                chain = chain.unionByName(last)
             trips_from_pairs(consecutive_readings(chain), min_gap).write.mode("overwrite").parquet(
                 f"{trips}/batch={batch_id}/kind=ahead"
             )
             state.write(latest_per_key(chain, ["rideable_id"], "last_updated"), batch_id)
-            if behind is not None:
-                behind.write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
+            if last is None:
+                return
+            behind = placed.filter("last_updated < seen").drop("seen")
+            behind.write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
         finally:
-            if behind is not None:
-                placed.unpersist()
-        if behind is None or readings is None:
+            placed.unpersist()
+        if readings is None:
             return
         arrived = spark.read.schema(behind.schema).parquet(f"{late}/batch={batch_id}")
         if not arrived.isEmpty():
@@ -81,6 +82,13 @@ def late_trips(arrived: DataFrame, stored: DataFrame, min_gap: int = k.MIN_TRIP_
 
 
 def read_trips(trips: DataFrame) -> DataFrame:
-    """Trips of all micro-batches, each once: a repeated reading completes the same trip again."""
-    rows = trips.drop("batch", "kind")
-    return rows.dropDuplicates(["trip_id"])
+    """Trips of all micro-batches, each once.
+
+    A reading is ahead of its bike's state only once, so those trips are unique as they are.
+    A late reading that was delivered before completes the same trip again; late trips are
+    few, and only they are compared with the rest.
+    """
+    ahead = trips.filter("kind = 'ahead'").drop("batch", "kind")
+    late = trips.filter("kind = 'late'").drop("batch", "kind").dropDuplicates(["trip_id"])
+    again = ahead.select("trip_id").join(late.select("trip_id"), "trip_id", "left_semi")
+    return ahead.unionByName(late.join(again, "trip_id", "left_anti"))

@@ -52,14 +52,14 @@ def test_unmatched_rows_with_null_keys_survive_an_anti_join(spark):
     assert [tuple(r) for r in left.join(right, ["a", "b"], "left_anti").collect()] == [("A", None)]
 
 
-def test_provider_errors_stay_with_their_row(spark, trips, stations):
+def test_provider_errors_stay_with_their_row(spark, trips, stations, folder):
     def provider(lat1, lon1, lat2, lon2):
         if lat2 > 42.25:
             raise TimeoutError("no answer; try http://x/a;b")
         return [{"distance": 1234.0, "duration": 60.4}, {"distance": 1000.0, "duration": 10.0}]
 
     rows, failed = distance.extend_matrix(
-        trips, stations, matrix(spark), udfs.route_enricher(provider), tasks=2
+        trips, stations, matrix(spark), udfs.route_enricher(provider), tasks=2, answers=f"{folder}/answers"
     )
     assert {(r.distance, r.driving_travel_time) for r in rows.collect()} == {(2.2, 70.0)}
     assert [(r.destination_station_id, r.error) for r in failed.collect()] == [

@@ -105,8 +105,8 @@ def test_rider_model_with_many_and_missing_stations(spark):
         for i in range(400)
     ]
     history = spark.createDataFrame(rows, HISTORY)
-    assert rider_model.category_bins(history) == 46  # 45 names, one for unknown
     model = rider_model.fit(history, trees=5)
+    assert rider_model.category_bins(model.stages[0]) == 46  # 45 names, one for unknown
     unseen = history.withColumn("end_station_name", F.lit("never seen"))
     assert rider_model.predict(model, unseen).count() == 400
     predicted = rider_model.predict(model, history)

@@ -4,6 +4,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from bikeflow import session
 from bikeflow.functions import text, times, udfs
 from bikeflow.operators import enrich, reports
 
@@ -86,3 +87,15 @@ def test_capture_names(spark):
 def test_schema_name(spark):
     df = spark.createDataFrame([("a.b@c.d",)], "u string")
     assert df.select(text.schema_name(F.col("u"))).first()[0] == "a_b_c_d"
+
+
+def test_shuffles_follow_the_input(spark, tmp_path):
+    (tmp_path / "f").write_bytes(b"x" * 1000)
+    assert session.folder_bytes(spark, str(tmp_path)) == 1000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert session.size_shuffles(spark, 1000) == int(before)
+        assert session.size_shuffles(spark, 10 * session.SHUFFLE_TASK_BYTES) == 10
+        assert session.size_shuffles(spark, 10**15) == session.MAX_SHUFFLE_PARTITIONS
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
