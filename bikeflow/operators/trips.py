@@ -14,9 +14,12 @@ READING_SLOT = 86_400
 
 
 def next_event(
-    events: DataFrame, key: str, ts: str, tie: str, name: str = "next_ts", slot_seconds: int = 3600
+    events: DataFrame, key: str, ts: str, tie: str, name: str = "next_ts", slot_seconds: int = 60
 ) -> DataFrame:
-    """Time of the following event of the same key."""
+    """Time of the following event of the same key.
+
+    Events may be any number per second, so the slots are short: they are what splits a hot key.
+    """
     near = with_neighbours(
         events, [key], [ts, tie], time_slot(ts, slot_seconds), carry=[ts], after="__next"
     )

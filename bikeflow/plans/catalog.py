@@ -568,6 +568,13 @@ def text_dir_scan(spark, sf):
     return files.query_path(spark, "text", folder)
 
 
+@query
+def preview_rows(spark, sf):
+    """A look at the first hundred readings."""
+    rows = m.telemetry_bronze(m.table(spark, sf, "events")).withColumn("n", F.col("displayed_number").cast("bigint"))
+    return sinks.first_rows(rows.orderBy("n"), 100).drop("n")
+
+
 @query
 def file_listing(spark, sf):
     """Every file of a landing folder that the events were written to, by type of event."""

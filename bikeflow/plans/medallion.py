@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bikeflow import schemas
-from bikeflow.constants import STATION_INFORMATION_FEED, STATION_STATUS_FEED, TELEMETRY_FEED
-from bikeflow.operators import enrich, flatten, scd
+from bikeflow.constants import END_AT, ROUTE_PAIR_CAP, STATION_INFORMATION_FEED, STATION_STATUS_FEED, TELEMETRY_FEED
+from bikeflow.functions.udfs import great_circle_route
+from bikeflow.operators import distance, enrich, flatten, scd
 from bikeflow.operators.stations import with_station_names
+from bikeflow.session import work_folder
 from bikeflow.sources.streams import stream_documents, stream_folder
 from bikeflow.streaming.ingest import append_stream, each_batch
 from bikeflow.streaming.trips import extend_trips, read_trips
@@ -45,9 +47,14 @@ class Medallion:
         self.telemetry = VersionedTable(self._path("silver/telemetry"), span, ["rideable_id", "last_updated"])
         self.status = VersionedTable(self._path("silver/station_status"), span, ["station_id", "last_updated"])
         self.station_log = VersionedTable(self._path("silver/station_log"), by_station, ["station_id"])
-        self.station_history = VersionedTable(self._path("silver/station_history"), by_station, ["station_id"])
+        self.station_history = VersionedTable(
+            self._path("silver/station_history"), by_station, ["station_id", END_AT]
+        )
         self.current_stations = VersionedTable(self._path("gold/stations"))
         self.last_readings = VersionedTable(self._path("gold/last_readings"))
+        self.matrix = VersionedTable(
+            self._path("gold/distance_matrix"), cluster_by=["source_station_id"], schema=schemas.DISTANCE_MATRIX
+        )
         self.named_trips = VersionedTable(
             self._path("gold/trips_with_names"),
             cluster_by=["trip_start_time_local"],
@@ -132,6 +139,45 @@ class Medallion:
         stations = self.current_stations.read(self.spark)
         self.named_trips.refresh(self.spark, with_station_names(self.trips(), stations))
 
+    def extend_matrix(
+        self,
+        router: Callable[..., Column] = great_circle_route,
+        cap: int | None = ROUTE_PAIR_CAP,
+        tasks: int | None = None,
+    ) -> DataFrame:
+        """Add the next travelled station pairs to the distance matrix; returns failed pairs."""
+        known = self.matrix.read(self.spark)
+        answers = work_folder(self.spark, "routes")
+        added, failed = distance.extend_matrix(
+            self.trips(), self.current_stations.read(self.spark), known, router, cap, tasks, answers
+        )
+        self.matrix.refresh(self.spark, known.unionByName(added))
+        return failed
+
+    def tables(self) -> dict[str, DataFrame]:
+        """The tables as they are now, by name."""
+        stored = {
+            "telemetry": self.telemetry,
+            "station_status": self.status,
+            "station_history": self.station_history,
+            "stations": self.current_stations,
+            "distance_matrix": self.matrix,
+            "trips_with_names": self.named_trips,
+        }
+        return {name: table.read(self.spark) for name, table in stored.items()} | {"trips": self.trips()}
+
+    def register_views(self) -> None:
+        """Temporary views of the tables, for SQL."""
+        for name, frame in self.tables().items():
+            if frame is not None:
+                frame.createOrReplaceTempView(name)
+
+    def expire(self, keep: int = 10) -> None:
+        """Remove table versions that ``keep`` newer ones have replaced."""
+        for table in vars(self).values():
+            if isinstance(table, VersionedTable):
+                table.expire(self.spark, keep)
+
     def run(self) -> DataFrame:
         """All steps once, in order; returns the trips with station names."""
         self.ingest()

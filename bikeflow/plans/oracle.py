@@ -273,6 +273,9 @@ SQL: dict[str, str] = {
         SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
           CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer""",
     "csv_infer_scan": "SELECT * FROM orders",
+    "preview_rows": f"""
+        WITH {_TELEMETRY} SELECT * EXCLUDE (ts) REPLACE (CAST(last_updated AS VARCHAR) AS last_updated) FROM telemetry
+        ORDER BY CAST(displayed_number AS BIGINT) LIMIT 100""",
     "text_dir_scan": "SELECT props AS value FROM events",
     "filename_metadata": """
         SELECT event_id, user_id, date_trunc('day', ts) AS capture_time, CAST(dayofyear(ts) AS VARCHAR) AS run_id FROM events""",

@@ -68,3 +68,6 @@ ROUTE_DOCUMENT = (
     "array<struct<distance: double, duration: double>>>>>>>"
 )
 ROUTE_RESULT = "distance_km double, duration_s double, error string"
+DISTANCE_MATRIX = (
+    "source_station_id string, destination_station_id string, distance double, driving_travel_time double"
+)

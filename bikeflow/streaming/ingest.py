@@ -12,8 +12,13 @@ from bikeflow.operators.sinks import write_clustered
 BatchStep = Callable[[DataFrame, int], None]
 
 
-def drain(writer: DataStreamWriter) -> StreamingQuery:
-    """Process everything that has landed, then stop. Failures are raised here."""
+def launch(writer: DataStreamWriter, every: str | None = None) -> StreamingQuery:
+    """Process everything that has landed, then stop; failures are raised here.
+
+    With ``every`` (such as "1 minute") the query keeps running and is returned at once.
+    """
+    if every:
+        return writer.trigger(processingTime=every).start()
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query
@@ -26,6 +31,7 @@ def append_stream(
     cluster_by: Sequence[str] = (),
     partition_by: Sequence[str] = (),
     gather: bool = True,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Append the new rows of a stream to a Parquet folder.
 
@@ -38,7 +44,7 @@ def append_stream(
         writer = rows.writeStream.format("parquet").outputMode("append").option("path", target)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        return drain(writer.option("checkpointLocation", checkpoint))
+        return launch(writer.option("checkpointLocation", checkpoint), every)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         folder = f"{target}/batch={batch_id}"
@@ -48,9 +54,11 @@ def append_stream(
             rows = batch.sortWithinPartitions(*partition_by, *cluster_by)
             rows.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
 
-    return each_batch(rows, write, checkpoint)
+    return each_batch(rows, write, checkpoint, every)
 
 
-def each_batch(rows: DataFrame, step: BatchStep, checkpoint: str) -> StreamingQuery:
+def each_batch(
+    rows: DataFrame, step: BatchStep, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
     """Run ``step(batch, batch_id)`` for each micro-batch of what has landed."""
-    return drain(rows.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint))
+    return launch(rows.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint), every)

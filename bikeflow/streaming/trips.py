@@ -39,7 +39,7 @@ def extend_trips(
         spark = batch.sparkSession
         good, _ = split_rejects(batch.select(*schemas.READING_COLUMNS), KEYS)
         fresh = latest_per_key(good, KEYS, "last_updated")
-        last = state.read(spark, before=batch_id)
+        last = state.read(spark, before=batch_id, schema=fresh.schema)
         if last is None:
             placed = fresh.withColumn("seen", F.lit(None).cast("bigint")).persist()
         else:
@@ -49,9 +49,7 @@ def extend_trips(
             chain = placed.filter("seen is null or last_updated > seen").drop("seen")
             if last is not None:
                 chain = chain.unionByName(last)
-            trips_from_pairs(consecutive_readings(chain), min_gap).write.mode("overwrite").parquet(
-                f"{trips}/batch={batch_id}/kind=ahead"
-            )
+            _write_trips(consecutive_readings(chain), f"{trips}/batch={batch_id}/kind=ahead", min_gap)
             state.write(latest_per_key(chain, ["rideable_id"], "last_updated"), batch_id)
             if last is None:
                 return
@@ -63,22 +61,26 @@ def extend_trips(
             return
         arrived = spark.read.schema(behind.schema).parquet(f"{late}/batch={batch_id}")
         if not arrived.isEmpty():
-            late_trips(arrived, readings.read(spark), min_gap).write.mode("overwrite").parquet(
-                f"{trips}/batch={batch_id}/kind=late"
-            )
+            pairs = late_pairs(arrived, readings.read(spark))
+            _write_trips(pairs, f"{trips}/batch={batch_id}/kind=late", min_gap)
 
     return step
 
 
-def late_trips(arrived: DataFrame, stored: DataFrame, min_gap: int = k.MIN_TRIP_SECONDS) -> DataFrame:
-    """Trips that end in late readings, from the stored reading just before each of them."""
+def _write_trips(pairs: DataFrame, folder: str, min_gap: int) -> None:
+    rows = trips_from_pairs(pairs, min_gap)
+    rows.sortWithinPartitions("trip_start_time_local", "pickup_station_id").write.mode("overwrite").parquet(folder)
+
+
+def late_pairs(arrived: DataFrame, stored: DataFrame) -> DataFrame:
+    """Late readings as the ``end`` of the stored reading just before each of them."""
     bikes = arrived.select("rideable_id").distinct()
     around = stored.select(*schemas.READING_COLUMNS).join(bikes, "rideable_id", "left_semi")
     known = latest_per_key(around.unionByName(arrived), KEYS, "last_updated")
     pairs = consecutive_readings(known)
     ends = arrived.select(F.col("rideable_id"), F.col("last_updated").alias("late_at")).distinct()
     met = (pairs["rideable_id"] == ends["rideable_id"]) & (F.col("end.last_updated") == F.col("late_at"))
-    return trips_from_pairs(pairs.join(ends, met, "left_semi"), min_gap)
+    return pairs.join(ends, met, "left_semi")
 
 
 def read_trips(trips: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ def _merge(table: VersionedTable, batch: DataFrame, version: int, keys: Sequence
     touched = table.touched(batch)
     if not touched:
         return touched
-    stored = table.read(spark, before=version, buckets=touched)
+    stored = table.read(spark, before=version, buckets=touched, schema=batch.schema)
     rows = batch if stored is None else batch.unionByName(stored)
     table.write(latest_per_key(rows, keys, sequence), version)
     return touched
@@ -68,7 +68,7 @@ def upsert_history(
         finally:
             batch.unpersist()
         if touched:
-            changes = log.read(spark, before=batch_id + 1, buckets=touched)
+            changes = log.read(spark, before=batch_id + 1, buckets=touched, schema=batch.schema)
             ranges.write(history(changes, keys, sequence, untracked, slot_width, unique=True), batch_id)
 
     return step

@@ -62,15 +62,21 @@ class VersionedTable:
         return [row[0] for row in rows]
 
     def read(
-        self, spark: SparkSession, before: int | None = None, buckets: Iterable[str] | None = None
+        self,
+        spark: SparkSession,
+        before: int | None = None,
+        buckets: Iterable[str] | None = None,
+        schema: str | StructType | None = None,
     ) -> DataFrame | None:
         """The table as of the newest version (below ``before``).
 
-        A table without rows yet is empty when its schema is known, else None.
+        A known schema saves the look into a file. A table without rows yet is empty when
+        its own schema is known, else None.
         """
         folders = self._folders(spark, before, buckets)
         if folders:
-            reader = spark.read.schema(self.schema) if self.schema else spark.read
+            known = schema or self.schema
+            reader = spark.read.schema(known) if known else spark.read
             # The bucket is derived and needs no column: each folder is plain Parquet.
             return reader.option("recursiveFileLookup", True).parquet(*folders)
         return spark.createDataFrame([], self.schema) if self.schema else None

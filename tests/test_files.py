@@ -98,6 +98,23 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert got.first().data == '{"stations": []}' or "stations" in got.first().data
 
 
+def test_running_stream(spark, tmp_path):
+    landing, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    os.mkdir(landing)
+    rows = streams.stream_documents(spark, landing)
+    query = append_stream(rows, out, cp, cluster_by=["last_updated"], every="1 second")
+    try:
+        for number in range(2):
+            with open(f"{landing}/.f{number}", "w") as f:
+                f.write('{"data": {}, "last_updated": %d}\n' % number)
+            os.rename(f"{landing}/.f{number}", f"{landing}/f{number}.json")
+            query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    assert sorted(r.last_updated for r in spark.read.parquet(out).collect()) == ["0", "1"]
+
+
 def test_rider_model_with_many_and_missing_stations(spark):
     rows = [
         (str(i), ["electric_bike", "classic_bike"][i % 2], None, None, None if i % 10 == 0 else f"s{i % 50}",

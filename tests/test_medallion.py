@@ -63,6 +63,15 @@ def test_incremental_runs(spark, tmp_path, tables):
     current = {r.station_id: (r.name, r.last_updated) for r in tables.current_stations.read(spark).collect()}
     assert current == {"motivate_BOS_1": ("Uno", 1500), "motivate_BOS_2": ("Two", 1500)}
 
+    # The distance matrix takes one pair per refresh here, and is complete after two.
+    for pairs in (1, 2, 2):
+        assert tables.extend_matrix(cap=1).isEmpty()
+        assert tables.matrix.read(spark).count() == pairs
+    tables.register_views()
+    assert spark.sql("SELECT count(*) FROM trips JOIN stations ON pickup_station_id = station_id").first()[0] == 2
+    tables.expire(keep=2)
+    assert tables.matrix.read(spark).count() == 2 and tables.telemetry.read(spark).count() == 6
+
 
 def test_late_snapshot(spark, tmp_path, tables):
     landing = tmp_path / "landing"
