@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from bikeflow.operators import reports, scd, trips as trip_ops
+from bikeflow.operators import reports, scd, sinks, stations as station_ops, trips as trip_ops
 from bikeflow.plans import mappings as m
 
 SF = "/root/testdata/sf0.001"
@@ -72,3 +72,52 @@ def test_hot_key_is_spread_over_tasks(spark):
     sizes = slotted.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     whole = rows.repartition(8, "rideable_id").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert sizes < whole / 2
+
+
+def test_hot_station_join_is_split_beyond_the_broadcast_size(spark):
+    """With a dimension too large to broadcast, the join of a hot station is split at run time."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in small}
+    trips = spark.range(0, 200_000, 1, 8).select(
+        F.col("id").alias("trip_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 5000).cast("string")).alias("pickup_station_id"),
+        (F.col("id") % 4999).cast("string").alias("dropoff_station_id"),
+    )
+    stations = spark.range(5000).select(F.col("id").cast("string").alias("station_id"), F.col("id").alias("name"))
+    stations = stations.unionByName(spark.sql("SELECT 'hot' AS station_id, -1L AS name"))
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        named = station_ops.with_station_names(trips, stations)
+        hot = [r.pickup_station_name for r in named.collect() if r.pickup_station_id == "hot"]
+        text = plan(named).split("Initial Plan")[0]
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert len(hot) == 66_667 and set(hot) == {-1}
+    assert "SortMergeJoin(skew=true)" in text or "skewed" in text
+
+
+def test_clustered_write_splits_a_hot_value(spark):
+    rows = spark.range(0, 300_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.md5(F.col("id").cast("string")).alias("t")
+    )
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+        sizes = sinks.clustered(rows, ["k"]).groupBy(F.spark_partition_id()).count()
+        assert sizes.agg(F.max("count")).first()[0] < 50_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+
+
+def test_key_only_rows_have_a_latest_row(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1)], "k string, s bigint")
+    assert scd.latest_per_key(rows, ["k", "s"], "s").count() == 2
