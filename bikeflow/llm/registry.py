@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from bikeflow.llm import decontaminate, packing, token_counts
+from bikeflow.llm import decontaminate, language_id, line_dedup, ngram_join, packing, token_counts, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op3_token_counts": token_counts.op3_token_counts,
+    "op4_language_id": language_id.op4_language_id,
     "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination,
     "op7_packing": packing.op7_packing,
+    "op8_ngram_jaccard_join": ngram_join.op8_ngram_jaccard_join,
+    "op9_line_dedup": line_dedup.op9_line_dedup,
 }
 
 SQL = {
     "op5_benchmark_decontamination": decontaminate.OP5_SQL,
+    "op8_ngram_jaccard_join": ngram_join.OP8_SQL,
 }

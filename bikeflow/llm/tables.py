@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from bikeflow.session import work_folder
 
-# Rows of ids that may be broadcast: 16 bytes each, so 64 MB at most.
-BROADCAST_ROWS = 4_000_000
+# Rows of ids that may be broadcast: about 16 MB of values.
+BROADCAST_ROWS = 1_000_000
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
