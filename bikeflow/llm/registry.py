@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bikeflow.llm import decontaminate, language_id, line_dedup, ngram_join, packing, token_counts, toxicity
+from bikeflow.llm import decontaminate, language_id, line_dedup, ngram_join, packing, token_counts, topk_search, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -12,9 +12,11 @@ QUERIES = {
     "op7_packing": packing.op7_packing,
     "op8_ngram_jaccard_join": ngram_join.op8_ngram_jaccard_join,
     "op9_line_dedup": line_dedup.op9_line_dedup,
+    "op10_exact_topk_search": topk_search.op10_exact_topk_search,
 }
 
 SQL = {
     "op5_benchmark_decontamination": decontaminate.OP5_SQL,
     "op8_ngram_jaccard_join": ngram_join.OP8_SQL,
+    "op10_exact_topk_search": topk_search.OP10_SQL,
 }
