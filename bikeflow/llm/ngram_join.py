@@ -165,8 +165,8 @@ def keep_first(docs: DataFrame, *, width: int = 5, num: int = 8, den: int = 10)
     spark = docs.sparkSession
     found = similar_components(docs, width=width, num=num, den=den)
     gone = landed(spark, found.filter("component_id < doc_id").select("doc_id").distinct(), "later")
-    side = small_side(gone.withColumnRenamed("doc_id", "later_id"), gone.count())
-    return docs.join(side, docs["doc_id"] == F.col("later_id"), "left_anti")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id"))
+    return packed.join(small_side(gone, gone.count()), "doc_id", "left_anti").select("row.*")
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:

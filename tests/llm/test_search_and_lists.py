@@ -1,0 +1,168 @@
+"""Top-k search, URL lists and licence rules against brute force, on awkward rows."""
+
+import datetime as dt
+
+import numpy as np
+import pytest
+
+from bikeflow.llm import license_scan, topk_search, url_filter
+
+
+def brute_top(rows, k):
+    usable = {}
+    for i, v in rows:
+        if i is not None and v and all(x is not None and np.isfinite(x) for x in v):
+            w = [int(np.floor(64 * float(np.float32(x)))) for x in v]
+            usable[i] = min(usable.get(i, w), w)
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+    want = []
+    for q in usable:
+        if q % 20 == 0:
+            best = sorted(((-dot(usable[q], v), i) for i, v in usable.items() if i != q))[:k]
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    return sorted(want)
+
+
+@pytest.mark.parametrize("kind", ["clustered", "random", "equal", "odd", "few"])
+def test_top_k_equals_brute_force(spark, monkeypatch, kind):
+    monkeypatch.setattr(topk_search, "SHARD_ROWS", 150)
+    monkeypatch.setattr(topk_search, "BLOCK_QUERIES", 10)
+    monkeypatch.setattr(topk_search, "CENTRES", 5)
+    monkeypatch.setattr(topk_search, "LEAF", 8)
+    rng = np.random.default_rng(3)
+    if kind == "clustered":
+        centres = rng.normal(size=(6, 16)) * 3
+        rows = [(i, (centres[i % 6] + rng.normal(size=16) * 0.1).tolist()) for i in range(700)]
+    elif kind == "random":
+        rows = [(i, rng.normal(size=8).tolist()) for i in range(500)]
+    elif kind == "equal":
+        rows = [(i, [0.5, -0.25, 1.0]) for i in range(300)]
+    elif kind == "few":
+        rows = [(i, [float(i), 1.0]) for i in range(7)]
+    else:
+        rows = [(i, rng.normal(size=4).tolist()) for i in range(60)]
+        rows += [(60, None), (61, []), (62, [1.0, None, 2.0, 3.0]), (63, [float("nan")] * 4), (64, [float("inf"), 0.0, 0.0, 0.0])]
+        rows += [(None, [1.0] * 4), (80, [1.0, 2.0]), (80, [0.5, 2.0]), (100, [1.0] * 6), (-20, [-1.0] * 4)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    vectors = topk_search.integer_vectors(table, "vec_id", "embedding")
+    got = topk_search.top_k(vectors, vectors.filter("id % 20 = 0"))
+    assert sorted(map(tuple, got.collect())) == brute_top(rows, topk_search.K)
+
+
+def test_no_vectors(spark):
+    table = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    vectors = topk_search.integer_vectors(table, "vec_id", "embedding")
+    assert topk_search.top_k(vectors, vectors).count() == 0
+
+
+def test_the_tree_covers_and_the_walk_prunes():
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(20, 8)) * 10
+    points = np.concatenate([c + rng.normal(size=(100, 8)) * 0.1 for c in centres])
+
+    def check(node):
+        apart = np.sqrt(((points[node.rows] - node.centre) ** 2).sum(axis=1))
+        assert apart.max() <= node.radius + 1e-9
+        if node.children:
+            assert sorted(np.concatenate([c.rows for c in node.children])) == sorted(node.rows)
+            assert all(c.radius <= topk_search.SHRINK * node.radius + 1e-9 for c in node.children)
+            for c in node.children:
+                check(c)
+
+    tree = topk_search.cover_tree(points, np.arange(len(points)))
+    check(tree)
+    ids = np.arange(len(points))
+    queries = points[::20]
+    search = topk_search.Search(5, queries, ids[::20], points, ids, np.full(len(queries), -np.inf))
+    search.walk(topk_search.cover_tree(queries, np.arange(len(queries))), [tree])
+    scores = queries @ points.T
+    scores[np.arange(len(queries)), ids[::20]] = -np.inf
+    assert np.allclose(np.sort(search.scores, axis=1), np.sort(scores, axis=1)[:, -5:])
+    assert search.tested < 0.5 * scores.size
+
+
+def day(n):
+    return dt.date(2024, 1, 1) + dt.timedelta(n)
+
+
+def test_temporal_lists(spark):
+    entries = spark.createDataFrame(
+        [
+            ("block", "domain", "Example.com", "add", day(10)),
+            ("block", "domain", "example.com", "add", day(12)),  # no change
+            ("block", "domain", "example.com", "remove", day(20)),
+            ("block", "domain", "example.com", "add", day(20)),  # removal before addition
+            ("block", "domain", "example.com", "remove", day(30)),
+            ("block", "domain", "example.com", "add", day(40)),
+            ("allow", "domain", "good.example.com", "add", day(15)),
+            ("block", "url", "http://good.example.com/bad?x=1", "add", day(15)),
+            ("block", "word", "casino", "add", day(0)),
+            ("allow", "domain", "tie.org", "add", day(0)),
+            ("block", "domain", "tie.org", "add", day(0)),
+            ("block", "domain", None, "add", day(0)),
+            ("block", "domain", "never.org", "remove", day(0)),
+            ("block", "domain", "null.org", "add", None),
+        ],
+        "list string, kind string, value string, action string, dated date",
+    )
+    cases = [
+        ("http://a.example.com/x", 9, False, ""),
+        ("http://a.example.com/x", 10, True, "domain:example.com"),
+        ("http://user@A.Example.com:80/x", 20, True, "domain:example.com"),
+        ("http://a.example.com/x", 30, False, ""),
+        ("http://a.example.com/x", 400, True, "domain:example.com"),
+        ("http://good.example.com/", 16, False, "domain:good.example.com"),
+        ("http://good.example.com/", 14, True, "domain:example.com"),
+        ("http://good.example.com/bad?x=1#frag", 16, True, "url:http://good.example.com/bad?x=1"),
+        ("https://win.net/my-casino/1", 5, True, "word:casino"),
+        ("https://notexample.com/", 16, False, ""),
+        ("http://tie.org", 3, False, "domain:tie.org"),
+        ("http://null.org", 3, False, ""),
+        ("not a url", 16, False, ""),
+        ("", 16, False, ""),
+        (None, 16, False, ""),
+        ("http://a.example.com/x", None, False, ""),
+    ]
+    captures = spark.createDataFrame(
+        [(k, u, None if d is None else day(d)) for k, (u, d, _, _) in enumerate(cases)] + [(0, cases[0][0], day(9))],
+        "capture_id long, url string, fetched_on date",
+    )
+    got = url_filter.filter_captures(captures, entries).collect()
+    assert len(got) == len(cases) + 1
+    for r in got:
+        assert (r.blocked, r["rule"]) == cases[r.capture_id][2:], cases[r.capture_id]
+    assert not url_filter.filter_captures(captures, entries.limit(0)).filter("blocked").count()
+    assert url_filter.filter_captures(captures.limit(0), entries).count() == 0
+
+
+def test_native_operators_use_no_python(spark):
+    for query in (url_filter.op2_url_filters, license_scan.op6_license_scans):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_licence_rules(spark):
+    mit = ". ".join(license_scan.SENTENCES[k].capitalize() for k in ("mit-grant", "mit-notice", "as-is"))
+    bsd = ".\n".join(license_scan.SENTENCES[k] for k in ("bsd-forms", "bsd-source", "bsd-binary"))
+    cases = [
+        (None, 0, ""),
+        ("", 0, ""),
+        (" \n.\n", 0, ""),
+        ("Some prose. Released under the MIT License.", 2, "MIT"),
+        ("RELEASED  under\tthe MIT-License", 1, "MIT"),
+        (mit + ". The end.", 4, "MIT"),
+        ("Permission. " + license_scan.SENTENCES["mit-grant"], 2, ""),
+        (bsd, 3, "BSD-2-Clause"),
+        (bsd + ".\n" + license_scan.SENTENCES["bsd-endorse"], 4, "BSD-3-Clause"),
+        ("All rights reserved.\nLicensed under CC BY-NC 4.0.", 2, "CC-BY-NC-4.0,proprietary"),
+        ("All rights reserved.\nAll rights reserved", 2, "proprietary"),
+        ("This is released under the MIT license we think.", 1, ""),
+        ("x" * 100_000 + ". Licensed under the Apache License, Version 2.0.", 2, "Apache-2.0"),
+    ]
+    docs = spark.createDataFrame([(k, t, 5) for k, (t, _, _) in enumerate(cases)], "doc_id long, text string, n_sentences long")
+    for r in license_scan.scan_licenses(docs, keys=["doc_id"]).collect():
+        assert (r.n_sentences, r.licenses) == cases[r.doc_id][1:], cases[r.doc_id]
+    assert license_scan.scan_licenses(docs.limit(0), keys=["doc_id"]).count() == 0
+    swapped = ". ".join(license_scan.SENTENCES[k] for k in ("mit-notice", "mit-grant", "as-is"))
+    row = license_scan.scan_licenses(spark.createDataFrame([(swapped,)], "text string"), keys=[]).first()
+    assert row.licenses == "" and row.sentence_ids == "mit-notice,mit-grant,as-is"
