@@ -87,14 +87,16 @@ def test_token_counts_and_the_cache(docs, empty, folder):
     assert token_counts.count_tokens(empty, folder + "/none", model=path).count() == 0
 
 
-def test_packing_is_an_exact_cover(docs, empty, spark):
+@pytest.mark.parametrize("ranks", [None, packing.RANKS])
+def test_packing_is_an_exact_cover(docs, empty, spark, ranks):
     from tokenizers import Tokenizer
 
     path = token_counts.tokenizer_path(packing.MODEL)
     model = Tokenizer.from_file(path)
     rows = docs.withColumn("offset", F.monotonically_increasing_id()).withColumn("tier", F.lit("x"))
     keyed = spark.createDataFrame([(i, r.doc_id, r.text) for i, r in enumerate(rows.collect())], "row long, doc_id long, text string")
-    got = packing.pack(keyed.repartition(2), keys=["row", "doc_id"], model=path).collect()
+    ranks = ranks and token_counts.tokenizer_path(ranks)
+    got = packing.pack(keyed.repartition(2), keys=["row", "doc_id"], model=path, ranks=ranks).collect()
     want = {r.row: model.encode(r.text or "", add_special_tokens=False).ids + [1] for r in keyed.collect()}
     pieces = {}
     for p in got:
@@ -128,3 +130,12 @@ def test_step_groups_are_balanced():
         groups.setdefault(r[8], []).append(r[2] ** 2)
     cost = [sum(v) for v in groups.values()]
     assert len(cost) == 2 and {len(v) for v in groups.values()} == {4} and max(cost) < 1.2 * min(cost)
+
+
+def test_both_encoders_agree_on_the_given_texts(spark):
+    """The rank file is the same vocabulary: equal ids on every document of the small table."""
+    path = token_counts.tokenizer_path(packing.MODEL)
+    one, two = packing.Ids(path), packing.Ids(path, token_counts.tokenizer_path(packing.RANKS))
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
+    for text in [r.text for r in rows] + [t for t in TEXTS if t]:
+        assert one.encode(text) == two.encode(text)
