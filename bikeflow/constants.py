@@ -28,9 +28,6 @@ REBALANCE_RANGE_GAIN = 3.49
 MAINTENANCE_BATTERY_GAIN = 10
 MAINTENANCE_RANGE_GAIN = 3.5
 
-# Station pairs sent to the route provider per refresh.
-ROUTE_PAIR_CAP = 4000
-
 # Names of the validity columns of a type 2 history.
 START_AT = "__START_AT"
 END_AT = "__END_AT"

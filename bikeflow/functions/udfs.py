@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from bikeflow import schemas
 from bikeflow.functions import geo
 
-SQL_FIRST_LETTER = "sql_vectorized_udf"
+SQL_FIRST_LETTER = "first_letter_of"
+SQL_ROUTE = "route_between"
 
 
 def first_letter(text: str | None) -> str | None:
@@ -29,7 +30,7 @@ def first_letters(text: pd.Series) -> pd.Series:
 
 
 # From a function; Arrow moves the rows in batches instead of pickling each one.
-first_letter_udf = F.udf(first_letter, T.StringType(), useArrow=True)
+first_letter_scalar = F.udf(first_letter, T.StringType(), useArrow=True)
 
 
 @F.udf(returnType=T.StringType(), useArrow=True)
@@ -61,10 +62,17 @@ def register(spark: SparkSession) -> None:
 RouteProvider = Callable[[float, float, float, float], Iterable[dict]]
 
 
-def route_enricher(provider: RouteProvider) -> Callable[..., Column]:
+# What a provider may fail with: no answer, or an answer that is no route.
+PROVIDER_FAILURES = (OSError, ValueError)
+
+
+def route_enricher(
+    provider: RouteProvider, failures: tuple[type[Exception], ...] = PROVIDER_FAILURES
+) -> Callable[..., Column]:
     """Vectorised UDF that asks ``provider`` for each row.
 
-    Any failure becomes the ``error`` field of that row; the other rows go on.
+    ``failures`` become the ``error`` field of their row and the other rows go on; any other
+    error is a mistake in the program and fails the query.
     """
 
     def one(lat1, lon1, lat2, lon2):
@@ -73,7 +81,7 @@ def route_enricher(provider: RouteProvider) -> Callable[..., Column]:
             metres = sum(s["distance"] for s in steps)
             seconds = sum(s["duration"] for s in steps)
             return round(metres / 1000, 1), float(round(seconds, 0)), None
-        except Exception as failure:  # one bad answer must not fail the task
+        except failures as failure:
             return None, None, f"Error: {failure}"
 
     def routes(
@@ -86,6 +94,11 @@ def route_enricher(provider: RouteProvider) -> Callable[..., Column]:
     return F.pandas_udf(routes, schemas.ROUTE_RESULT)
 
 
+def register_route(spark: SparkSession, provider: RouteProvider) -> None:
+    """Make the provider callable from SQL text."""
+    spark.udf.register(SQL_ROUTE, route_enricher(provider))
+
+
 def great_circle_route(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Default provider: straight line at cycling speed, all in column arithmetic."""
     km = geo.great_circle_km(lat1, lon1, lat2, lon2)

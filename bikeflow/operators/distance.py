@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bikeflow import constants as k
 from bikeflow.functions.udfs import great_circle_route
 from bikeflow.operators.stations import with_station_coordinates
 
@@ -21,14 +20,13 @@ def station_pairs(trips: DataFrame) -> DataFrame:
     )
 
 
-def new_pairs(trips: DataFrame, stations: DataFrame, matrix: DataFrame, cap: int | None = k.ROUTE_PAIR_CAP) -> DataFrame:
-    """Pairs with coordinates that the matrix does not hold yet, ``cap`` of them per refresh.
+def new_pairs(trips: DataFrame, stations: DataFrame, matrix: DataFrame) -> DataFrame:
+    """All pairs with coordinates that the matrix does not hold yet.
 
-    Trips are reduced to pairs before any join. The pairs are taken in id order, so a rerun
-    takes the same ones and the next refresh goes on behind them. ``cap=None`` takes all.
+    Trips are reduced to pairs before any join.
     """
     placed = with_station_coordinates(station_pairs(trips), stations)
-    pairs = placed.select(
+    return placed.select(
         F.col("pickup_station_id").alias("source_station_id"),
         F.col("pickup_station_lat").alias("source_station_lat"),
         F.col("pickup_station_lon").alias("source_station_lon"),
@@ -40,9 +38,6 @@ def new_pairs(trips: DataFrame, stations: DataFrame, matrix: DataFrame, cap: int
         ["source_station_id", "destination_station_id"],
         "left_anti",
     )
-    if cap is None:
-        return pairs
-    return pairs.orderBy("source_station_id", "destination_station_id").limit(cap)
 
 
 def enrich_pairs(
@@ -71,16 +66,17 @@ def extend_matrix(
     stations: DataFrame,
     matrix: DataFrame,
     router: Callable[..., Column] = great_circle_route,
-    cap: int | None = k.ROUTE_PAIR_CAP,
     tasks: int | None = None,
     answers: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows to append to the matrix, failed pairs). Failed pairs stay new and are retried.
 
-    Give a folder for the ``answers`` of a slow or costly provider: they are written there
+    Answers of any provider but the built-in arithmetic are written to the ``answers`` folder
     first, so that each pair is asked once however often the two results are used.
     """
-    answered = enrich_pairs(new_pairs(trips, stations, matrix, cap), router, tasks)
+    if answers is None and router is not great_circle_route:
+        raise ValueError("a provider needs a folder for its answers")
+    answered = enrich_pairs(new_pairs(trips, stations, matrix), router, tasks)
     if answers:
         answered.write.mode("overwrite").parquet(answers)
         answered = answered.sparkSession.read.schema(answered.schema).parquet(answers)

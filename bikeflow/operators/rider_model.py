@@ -21,6 +21,13 @@ def with_label(history: DataFrame) -> DataFrame:
     return history.withColumn("label", F.when(F.col("member_casual") == MEMBER, 1).otherwise(0))
 
 
+def indexer(history: DataFrame) -> StringIndexerModel:
+    """Category indexes by frequency, ties by name; unknown and NULL categories come last."""
+    return StringIndexer(
+        inputCols=list(FEATURES), outputCols=list(FEATURES.values()), handleInvalid="keep"
+    ).fit(history)
+
+
 def fit(history: DataFrame, seed: int = 42, trees: int = 20, max_depth: int = 5) -> PipelineModel:
     """Index the three categories, assemble them, fit a random forest.
 
@@ -28,19 +35,17 @@ def fit(history: DataFrame, seed: int = 42, trees: int = 20, max_depth: int = 5)
     categories: the defaults fail on NULL stations and above 32 stations.
     """
     labelled = with_label(history)
-    indexer = StringIndexer(
-        inputCols=list(FEATURES), outputCols=list(FEATURES.values()), handleInvalid="keep"
-    ).fit(labelled)
+    indexed = indexer(labelled)
     assembler = VectorAssembler(inputCols=list(FEATURES.values()), outputCol="features")
     forest = RandomForestClassifier(
         featuresCol="features",
         labelCol="label",
-        maxBins=max(32, category_bins(indexer)),
+        maxBins=max(32, category_bins(indexed)),
         numTrees=trees,
         maxDepth=max_depth,
         seed=seed,
     )
-    return Pipeline(stages=[indexer, assembler, forest]).fit(labelled)
+    return Pipeline(stages=[indexed, assembler, forest]).fit(labelled)
 
 
 def category_bins(indexer: StringIndexerModel) -> int:

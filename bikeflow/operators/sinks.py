@@ -23,14 +23,15 @@ def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> None:
 
 
 def clustered(df: DataFrame, keys: Sequence[str], together: Column | None = None) -> DataFrame:
-    """Gather rows by ``together`` (the first key by default) and sort each task's rows by ``keys``.
+    """Deal rows out by ranges of all ``keys`` and sort each task's rows by them.
 
-    Files then hold narrow key ranges that Parquet statistics can skip. The gathering is a
-    rebalance, not a plain repartition: adaptive execution splits the partition of a hot
-    value and merges small ones.
+    Files then hold ranges of the first key that do not contain one another, which Parquet
+    statistics can skip; a hot value of the first key is split by the later ones. With
+    ``together`` rows are gathered by that value instead, as a rebalance that adaptive
+    execution splits where one value is hot.
     """
     if together is None:
-        return df.hint("rebalance", keys[0]).sortWithinPartitions(*keys)
+        return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     gathered = df.withColumn("__together", together).hint("rebalance", "__together")
     return gathered.sortWithinPartitions(*keys).drop("__together")
 

@@ -48,7 +48,7 @@ def moved(start: str = "", end: str = "end.") -> Column:
     )
 
 
-def trip_columns(pairs: DataFrame) -> DataFrame:
+def trip_columns(pairs: DataFrame, *extra: Column) -> DataFrame:
     """Trip rows from readings paired with the reading that ended the trip (``end``)."""
     seconds = F.col("end.last_updated") - F.col("last_updated")
     battery, end_battery = F.col("battery_charge_percentage"), F.col("end.battery_charge_percentage")
@@ -82,13 +82,14 @@ def trip_columns(pairs: DataFrame) -> DataFrame:
         flag(same_station).alias("Single_station_trip"),
         flag(~same_station & topped_up).alias("Rebalancing_trip"),
         flag(serviced).alias("maintenance_trip"),
+        *extra,
     )
 
 
-def trips_from_pairs(pairs: DataFrame, min_gap: int = k.MIN_TRIP_SECONDS) -> DataFrame:
+def trips_from_pairs(pairs: DataFrame, min_gap: int = k.MIN_TRIP_SECONDS, *extra: Column) -> DataFrame:
     """Keep the pairs that are trips: gap long enough and the bike moved."""
     gap = F.col("end.last_updated") - F.col("last_updated")
-    return trip_columns(pairs.filter((gap > min_gap) & moved()))
+    return trip_columns(pairs.filter((gap > min_gap) & moved()), *extra)
 
 
 def reconstruct_trips(

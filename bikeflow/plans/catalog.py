@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 from functools import wraps
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,7 +33,7 @@ from bikeflow.operators import (
 from bikeflow.operators.neighbours import value_slot, with_neighbours
 from bikeflow.plans import mappings as m
 from bikeflow.plans.medallion import Medallion
-from bikeflow.session import folder_bytes, pin_utc, size_shuffles, work_folder
+from bikeflow.session import pin_utc, work_folder
 from bikeflow.sources import files, streams
 from bikeflow.streaming.ingest import append_stream, each_batch
 from bikeflow.streaming.trips import extend_trips, read_trips
@@ -50,8 +50,7 @@ PART_FILES = "part-*"
 def query(fn: Query) -> Query:
     @wraps(fn)
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        size_shuffles(pin_utc(spark), folder_bytes(spark, sf))
-        return m.plain_times(fn(spark, sf))
+        return m.plain_times(fn(pin_utc(spark), sf))
 
     QUERIES[fn.__name__] = run
     return run
@@ -144,12 +143,26 @@ def sample_route(lat1: float, lon1: float, lat2: float, lon2: float) -> list[dic
 @query
 def route_enrichment_udf(spark, sf):
     """Every travelled pair through the vectorised provider call; failures become text."""
-    placed = distance.new_pairs(
-        m.trips(spark, sf), m.stations(spark, sf), m.known_pairs(m.trips(spark, sf)), cap=None
-    )
+    placed = distance.new_pairs(m.trips(spark, sf), m.stations(spark, sf), m.known_pairs(m.trips(spark, sf)))
     return distance.enrich_pairs(placed, udfs.route_enricher(sample_route))
 
 
+@query
+def route_enrichment_sql(spark, sf):
+    """The provider called from SQL text by its registered name."""
+    udfs.register_route(spark, sample_route)
+    view = f"pairs_{uuid.uuid4().hex}"
+    files.as_view(distance.new_pairs(m.trips(spark, sf), m.stations(spark, sf), m.known_pairs(m.trips(spark, sf))), view)
+    return spark.sql(
+        f"""
+        SELECT source_station_id, destination_station_id, route.distance_km AS distance,
+          route.duration_s AS driving_travel_time, route.error AS error
+        FROM (SELECT *, {udfs.SQL_ROUTE}(source_station_lat, source_station_lon,
+                destination_station_lat, destination_station_lon) AS route FROM {view})
+        """
+    )
+
+
 # -- published history -------------------------------------------------------------------
 
 
@@ -184,14 +197,29 @@ def history_filter_load(spark, sf):
     return files.read_table(spark, name)
 
 
-@query
-def rider_classifier(spark, sf):
-    """Train on all trips and score them. Training reads its input often, so it is a table."""
+def _rides(spark: SparkSession, sf: str) -> DataFrame:
+    """Published trips as a table, for readers that come back often."""
     table = work_folder(spark, "rides")
     m.published_trips(spark, sf).write.parquet(table)
-    rides = spark.read.schema(m.PUBLISHED_TRIPS).parquet(table)
+    return spark.read.schema(m.PUBLISHED_TRIPS).parquet(table)
+
+
+@query
+def rider_features(spark, sf):
+    """Label and the three category indexes of every trip."""
+    rides = _rides(spark, sf)
+    indexed = rider_model.indexer(rides).transform(rider_model.with_label(rides))
+    return indexed.select("ride_id", "label", *[F.col(c).cast("bigint").alias(c) for c in rider_model.FEATURES.values()])
+
+
+@query
+def rider_classifier(spark, sf):
+    """Train on all trips and score them; whether each prediction is a class and decodes to its name."""
+    rides = _rides(spark, sf)
     predicted = rider_model.predict(rider_model.fit(rides), rides)
-    return predicted.select("ride_id", "member_casual", "prediction", "predicted_member_casual")
+    named = (F.col("prediction") == 1) & (F.col("predicted_member_casual") == rider_model.MEMBER)
+    other = (F.col("prediction") == 0) & (F.col("predicted_member_casual") == rider_model.CASUAL)
+    return predicted.select("ride_id", "member_casual", (named | other).alias("decoded"))
 
 
 # -- documents ---------------------------------------------------------------------------
@@ -382,7 +410,7 @@ def scd1_repeated_snapshot(spark, sf):
 @query
 def scd2_history(spark, sf):
     return scd.history(
-        m.order_changes(spark, sf), ["o_custkey"], "o_orderkey", ["o_totalprice"], slot_width=1 << 20
+        m.order_changes(spark, sf), ["o_custkey"], "o_orderkey", ["o_totalprice"], slot_width=1 << 10
     )
 
 
@@ -395,7 +423,7 @@ def scd2_current(spark, sf):
         ["station_id"],
         "o_orderkey",
         ["o_totalprice"],
-        slot_width=1 << 20,
+        slot_width=1 << 10,
     )
     return scd.current_stations(ranges)
 
@@ -450,7 +478,7 @@ def scd2_streaming(spark, sf):
     bucket = key_bucket("o_custkey", buckets=4)
     log = VersionedTable(f"{folder}/log", bucket, ["o_custkey"])
     ranges = VersionedTable(f"{folder}/ranges", bucket, ["o_custkey"])
-    step = upsert_history(log, ranges, ["o_custkey"], "o_orderkey", ["o_totalprice"], slot_width=1 << 20)
+    step = upsert_history(log, ranges, ["o_custkey"], "o_orderkey", ["o_totalprice"], slot_width=1 << 10)
     for arriving in _order_stream(spark, sf, folder):
         each_batch(arriving, step, f"{folder}/checkpoint")
     return ranges.read(spark)
@@ -471,6 +499,21 @@ def trips_streaming(spark, sf):
     return read_trips(spark.read.parquet(f"{folder}/trips"))
 
 
+@query
+def trips_streaming_late(spark, sf):
+    """Telemetry in three deliveries in no order of time: trips are set right as late readings come."""
+    folder = work_folder(spark, "late-trips")
+    rows = m.readings(spark, sf)
+    table = VersionedTable(f"{folder}/telemetry", key_bucket("rideable_id", buckets=4), ["rideable_id"])
+    store = upsert_latest(table, ["rideable_id", "last_updated"], "last_updated")
+    step = extend_trips(VersionedTable(f"{folder}/state"), f"{folder}/trips", f"{folder}/late", table)
+    for delivery in m.waves(rows, m.scattered("ebike_time_id", 3), 3):
+        delivery.write.mode("append").parquet(f"{folder}/readings")
+        for name, work in (("table", store), ("trips", step)):
+            each_batch(streams.stream_folder(spark, f"{folder}/readings", rows.schema), work, f"{folder}/{name}-checkpoint")
+    return read_trips(spark.read.parquet(f"{folder}/trips"))
+
+
 @query
 def trips_stream_static_join(spark, sf):
     """A stream of readings joined to the windowed table: trips whose end is in the stream."""
@@ -483,9 +526,7 @@ def trips_stream_static_join(spark, sf):
     return spark.read.parquet(f"{folder}/trips")
 
 
-@query
-def medallion_run(spark, sf):
-    """Landing files of the three feeds, through every table, to trips with station names."""
+def _medallion(spark: SparkSession, sf: str) -> Medallion:
     folder = work_folder(spark, "medallion")
     landing = f"{folder}/landing"
     m.text_files(m.telemetry_documents(m.telemetry_bronze(m.table(spark, sf, "events"))), f"{landing}/{k.TELEMETRY_FEED}")
@@ -494,7 +535,21 @@ def medallion_run(spark, sf):
     months = 30 * 86_400
     return Medallion(
         spark, landing, f"{folder}/warehouse", PART_FILES, bucket_seconds=months, history_buckets=4
-    ).run()
+    )
+
+
+@query
+def medallion_run(spark, sf):
+    """Landing files of the three feeds, through every table, to trips with station names."""
+    return _medallion(spark, sf).run()
+
+
+@query
+def medallion_distance_matrix(spark, sf):
+    """The distance matrix as a step of the run: every travelled pair."""
+    tables = _medallion(spark, sf)
+    tables.run()
+    return tables.matrix.read(spark)
 
 
 # -- UDFs --------------------------------------------------------------------------------
@@ -506,7 +561,7 @@ def _turns(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def udf_first_letter_scalar(spark, sf):
-    return _turns(spark, sf).select("conv_id", "turn", udfs.first_letter_udf("text").alias("letter"))
+    return _turns(spark, sf).select("conv_id", "turn", udfs.first_letter_scalar("text").alias("letter"))
 
 
 @query
@@ -580,7 +635,9 @@ def file_listing(spark, sf):
     """Every file of a landing folder that the events were written to, by type of event."""
     folder = work_folder(spark, "listing")
     m.table(spark, sf, "events").write.partitionBy("event_type").json(folder)
-    return files.list_files(spark, folder, recursive=True)
+    listed = files.list_files(spark, folder, recursive=True)
+    kind = F.regexp_extract("path", "event_type=([^/]+)/", 1)
+    return listed.groupBy(kind.alias("event_type")).agg(F.min(F.col("size") > 0).alias("filled"))
 
 
 @query
@@ -634,6 +691,19 @@ def cluster_write(spark, sf):
     return spark.read.parquet(folder)
 
 
+@query
+def cluster_layout(spark, sf):
+    """How many files of the laid out table hold a range of the first key that lies within another's."""
+    folder = work_folder(spark, "layout")
+    sinks.write_clustered(m.table(spark, sf, "lineitem"), folder, ["l_suppkey", "l_orderkey"])
+    file = F.col("_metadata.file_path").alias("file")
+    ranges = spark.read.parquet(folder).groupBy(file).agg(F.min("l_suppkey").alias("low"), F.max("l_suppkey").alias("high"))
+    # Sorted by its start, a range lies within another if one that began before ends later.
+    earlier = Window.orderBy("low").rangeBetween(Window.unboundedPreceding, -1)
+    inside = ranges.withColumn("reach", F.max("high").over(earlier)).filter("reach > high")
+    return inside.agg(F.count("*").alias("files_within_others"))
+
+
 @query
 def materialized_view_refresh(spark, sf):
     """A recomputed view: a first version, then the one that readers see."""
@@ -649,7 +719,7 @@ def materialized_view_refresh(spark, sf):
 def previous_and_next_order(spark, sf):
     """Both neighbours of each order of a customer."""
     near = with_neighbours(
-        m.order_changes(spark, sf), ["o_custkey"], ["o_orderkey"], value_slot("o_orderkey", 1 << 20),
+        m.order_changes(spark, sf), ["o_custkey"], ["o_orderkey"], value_slot("o_orderkey", 1 << 10),
         carry=["o_orderkey"], before="prev", after="next",
     )
     return near.select(

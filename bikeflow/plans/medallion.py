@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bikeflow import schemas
-from bikeflow.constants import END_AT, ROUTE_PAIR_CAP, STATION_INFORMATION_FEED, STATION_STATUS_FEED, TELEMETRY_FEED
+from bikeflow.constants import END_AT, STATION_INFORMATION_FEED, STATION_STATUS_FEED, TELEMETRY_FEED
 from bikeflow.functions.udfs import great_circle_route
 from bikeflow.operators import distance, enrich, flatten, scd
 from bikeflow.operators.stations import with_station_names
@@ -142,14 +142,13 @@ class Medallion:
     def extend_matrix(
         self,
         router: Callable[..., Column] = great_circle_route,
-        cap: int | None = ROUTE_PAIR_CAP,
         tasks: int | None = None,
     ) -> DataFrame:
-        """Add the next travelled station pairs to the distance matrix; returns failed pairs."""
+        """Add the new travelled station pairs to the distance matrix; returns failed pairs."""
         known = self.matrix.read(self.spark)
         answers = work_folder(self.spark, "routes")
         added, failed = distance.extend_matrix(
-            self.trips(), self.current_stations.read(self.spark), known, router, cap, tasks, answers
+            self.trips(), self.current_stations.read(self.spark), known, router, tasks, answers
         )
         self.matrix.refresh(self.spark, known.unionByName(added))
         return failed
@@ -179,11 +178,12 @@ class Medallion:
                 table.expire(self.spark, keep)
 
     def run(self) -> DataFrame:
-        """All steps once, in order; returns the trips with station names."""
+        """All steps once, in order, the distance matrix with the built-in route; returns the trips with station names."""
         self.ingest()
         self.upsert_telemetry()
         self.upsert_status()
         self.upsert_stations()
         self.extend_trips()
         self.refresh_views()
+        self.extend_matrix()
         return self.named_trips.read(self.spark)

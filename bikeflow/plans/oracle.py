@@ -134,9 +134,29 @@ _KM = """2 * 6371.0 * asin(least(1.0, sqrt(
     + cos(radians(source_station_lat)) * cos(radians(destination_station_lat))
       * pow(sin(radians(destination_station_lon - source_station_lon) / 2), 2))))"""
 
+_ROUTED = f"""
+        WITH {_PAIRS}, legs AS (
+          SELECT *, source_station_lon = destination_station_lon AS blocked,
+            abs(destination_station_lat - source_station_lat) * 100000 AS north,
+            abs(destination_station_lon - source_station_lon) * 80000 AS east
+          FROM new_pairs)
+        SELECT source_station_id, destination_station_id,
+          CASE WHEN NOT blocked THEN round((north + east) / 1000, 1) END AS distance,
+          CASE WHEN NOT blocked THEN round(north / 4 + east / 4, 0) END AS driving_travel_time,
+          CASE WHEN blocked THEN 'Error: no road' END AS error
+        FROM legs"""
+
+
+def _index(column: str) -> str:
+    return f"""
+        SELECT {column}, row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS i FROM history
+        WHERE {column} IS NOT NULL GROUP BY {column}"""
+
+
 SQL: dict[str, str] = {
     "trips": f"WITH {_TRIPS} SELECT * FROM trips",
     "trips_streaming": f"WITH {_TRIPS} SELECT * FROM trips",
+    "trips_streaming_late": f"WITH {_TRIPS} SELECT * FROM trips",
     "trips_stream_static_join": f"WITH {_TRIPS} SELECT * FROM trips",
     "next_event": """
         SELECT event_id, user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_ts FROM events""",
@@ -163,24 +183,22 @@ SQL: dict[str, str] = {
         GROUP BY 1, 2 ORDER BY trip_count DESC, 1 NULLS LAST, 2 NULLS LAST LIMIT 5""",
     "distinct_pairs": f"WITH {_PAIRS} SELECT p AS pickup_station_id, d AS dropoff_station_id FROM travelled",
     "new_station_pairs": f"""
-        WITH {_PAIRS} SELECT * FROM new_pairs ORDER BY source_station_id, destination_station_id LIMIT 4000""",
+        WITH {_PAIRS} SELECT * FROM new_pairs""",
     "distance_matrix": f"""
         WITH {_PAIRS}, measured AS (
-          SELECT source_station_id, destination_station_id, {_KM} AS km FROM (
-            SELECT * FROM new_pairs ORDER BY source_station_id, destination_station_id LIMIT 4000))
+          SELECT source_station_id, destination_station_id, {_KM} AS km FROM new_pairs)
+        SELECT source_station_id, destination_station_id, round(km, 1) AS distance, round(km * 240, 0) AS driving_travel_time
+        FROM measured""",
+    "route_enrichment_udf": _ROUTED,
+    "route_enrichment_sql": _ROUTED,
+    "medallion_distance_matrix": f"""
+        WITH {_PAIRS}, measured AS (
+          SELECT p AS source_station_id, d AS destination_station_id, {_KM} AS km FROM (
+            SELECT p, d, s1.lat AS source_station_lat, s1.lon AS source_station_lon, s2.lat AS destination_station_lat,
+              s2.lon AS destination_station_lon
+            FROM travelled JOIN stations s1 ON s1.station_id = p JOIN stations s2 ON s2.station_id = d))
         SELECT source_station_id, destination_station_id, round(km, 1) AS distance, round(km * 240, 0) AS driving_travel_time
         FROM measured""",
-    "route_enrichment_udf": f"""
-        WITH {_PAIRS}, legs AS (
-          SELECT *, source_station_lon = destination_station_lon AS blocked,
-            abs(destination_station_lat - source_station_lat) * 100000 AS north,
-            abs(destination_station_lon - source_station_lon) * 80000 AS east
-          FROM new_pairs)
-        SELECT source_station_id, destination_station_id,
-          CASE WHEN NOT blocked THEN round((north + east) / 1000, 1) END AS distance,
-          CASE WHEN NOT blocked THEN round(north / 4 + east / 4, 0) END AS driving_travel_time,
-          CASE WHEN blocked THEN 'Error: no road' END AS error
-        FROM legs""",
     "trip_duration_buckets": f"""
         WITH {_HISTORY}, timed AS (
           SELECT *, CAST(epoch(ended_at) - epoch(started_at) AS BIGINT) AS trip_duration_seconds FROM history
@@ -282,6 +300,15 @@ SQL: dict[str, str] = {
     "zip_csv_scan": "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem",
     "ctas_roundtrip": "SELECT * FROM part",
     "cluster_write": "SELECT * FROM lineitem",
+    "cluster_layout": "SELECT CAST(0 AS BIGINT) AS files_within_others FROM (SELECT count(*) FROM lineitem)",
+    "file_listing": "SELECT DISTINCT event_type, true AS filled FROM events",
+    "rider_features": f"""
+        WITH {_HISTORY}, k AS ({_index("rideable_type")}), s AS ({_index("start_station_name")}), e AS ({_index("end_station_name")})
+        SELECT ride_id, CASE WHEN member_casual = 'member' THEN 1 ELSE 0 END AS label, k.i AS rideable_type_index,
+          s.i AS start_station_index, coalesce(e.i, (SELECT count(*) FROM e)) AS end_station_index
+        FROM history h JOIN k USING (rideable_type) JOIN s USING (start_station_name)
+        LEFT JOIN e ON e.end_station_name = h.end_station_name""",
+    "rider_classifier": f"WITH {_HISTORY} SELECT ride_id, member_casual, true AS decoded FROM history",
     "materialized_view_refresh": f"""
         WITH {_TRIPS} SELECT pickup_station_id, count(*) AS trips FROM trips GROUP BY 1""",
     "previous_and_next_order": """

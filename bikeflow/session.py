@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import tempfile
 import uuid
 
@@ -11,10 +10,14 @@ from pyspark.sql import SparkSession
 UTC = "UTC"
 
 
-def build_session(master: str | None = None, app: str = "bikeflow", **conf: str) -> SparkSession:
+def build_session(
+    master: str | None = None, app: str = "bikeflow", shuffle_tasks: int | None = None, **conf: str
+) -> SparkSession:
     """A session with the settings the library is written for.
 
-    Partition counts are left to adaptive execution; ``conf`` overrides anything.
+    ``shuffle_tasks`` is how many partitions each shuffle starts with; adaptive execution merges
+    the small ones but adds none, so give the largest shuffle's bytes over the bytes a task may
+    hold (100 TB at 256 MB: 400,000). ``conf`` overrides anything.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -23,6 +26,8 @@ def build_session(master: str | None = None, app: str = "bikeflow", **conf: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if shuffle_tasks:
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(shuffle_tasks))
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
@@ -37,38 +42,20 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# Input bytes per shuffle partition, and the most partitions a shuffle gets.
-SHUFFLE_TASK_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 40_000
-
-
-def folder_bytes(spark: SparkSession, folder: str) -> int:
-    """Size of the files below a folder, as the file system reports it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getContentSummary(path).getLength() if fs.exists(path) else 0
-
-
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Raise the shuffle partition count to fit the input, and return it.
-
-    Adaptive execution merges partitions that turn out small but cannot add any, so the count
-    is an upper bound and must follow the data. It is never lowered here.
-    """
-    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fitting = min(math.ceil(input_bytes / SHUFFLE_TASK_BYTES), MAX_SHUFFLE_PARTITIONS)
-    if fitting > now:
-        spark.conf.set("spark.sql.shuffle.partitions", str(fitting))
-    return max(now, fitting)
+def on_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
 
 
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    A machine-local folder is made only where the cluster names none, as in tests.
+    Where none is named, one is made on this machine if it is the only one, as in tests;
+    on a cluster that is an error, as executors would write where others cannot read.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not on_one_machine(spark.sparkContext.master):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bikeflow-"))
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")

@@ -15,6 +15,9 @@ from bikeflow.streaming.versioned import VersionedTable
 
 KEYS = ("rideable_id", "last_updated")
 
+# Epochs of a trip's readings, kept beside the trips to find those that late readings fall into.
+START, END = "start_epoch", "end_epoch"
+
 
 def extend_trips(
     state: VersionedTable,
@@ -27,12 +30,13 @@ def extend_trips(
 
     ``state`` holds the last reading of each bike: a row per bike, however long the history.
     The batch is chained behind it by the batch form of trip reconstruction, so a bike with
-    most of the rows is spread over tasks here as well. A trip is written when its end
-    reading arrives and is not revised.
+    most of the rows is spread over tasks here as well.
 
-    Readings behind the state are written to ``late``. When the telemetry table is given as
-    ``readings``, they also complete the trip from their true predecessor; only bikes with
-    late readings are looked up.
+    Readings behind the state are written to ``late``. When the telemetry table, which holds
+    them by then, is given as ``readings``, trips are set right: those that span a late reading
+    are withdrawn, and those that begin or end with one are added. Only bikes with late
+    readings are looked up. A pair of readings with another between them is never a trip
+    again, so a withdrawal holds for good.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -61,6 +65,8 @@ def extend_trips(
             return
         arrived = spark.read.schema(behind.schema).parquet(f"{late}/batch={batch_id}")
         if not arrived.isEmpty():
+            spanning = spanning_trips(spark.read.parquet(trips), arrived)
+            spanning.write.mode("overwrite").parquet(f"{trips}/batch={batch_id}/kind=withdrawn")
             pairs = late_pairs(arrived, readings.read(spark))
             _write_trips(pairs, f"{trips}/batch={batch_id}/kind=late", min_gap)
 
@@ -68,29 +74,41 @@ def extend_trips(
 
 
 def _write_trips(pairs: DataFrame, folder: str, min_gap: int) -> None:
-    rows = trips_from_pairs(pairs, min_gap)
+    ends = F.col("last_updated").alias(START), F.col("end.last_updated").alias(END)
+    rows = trips_from_pairs(pairs, min_gap, *ends)
     rows.sortWithinPartitions("trip_start_time_local", "pickup_station_id").write.mode("overwrite").parquet(folder)
 
 
 def late_pairs(arrived: DataFrame, stored: DataFrame) -> DataFrame:
-    """Late readings as the ``end`` of the stored reading just before each of them."""
+    """Late readings with the stored readings just before and just behind each of them."""
     bikes = arrived.select("rideable_id").distinct()
     around = stored.select(*schemas.READING_COLUMNS).join(bikes, "rideable_id", "left_semi")
     known = latest_per_key(around.unionByName(arrived), KEYS, "last_updated")
     pairs = consecutive_readings(known)
     ends = arrived.select(F.col("rideable_id"), F.col("last_updated").alias("late_at")).distinct()
-    met = (pairs["rideable_id"] == ends["rideable_id"]) & (F.col("end.last_updated") == F.col("late_at"))
+    met = (pairs["rideable_id"] == ends["rideable_id"]) & (
+        (F.col("end.last_updated") == F.col("late_at")) | (pairs["last_updated"] == F.col("late_at"))
+    )
     return pairs.join(ends, met, "left_semi")
 
 
+def spanning_trips(trips: DataFrame, arrived: DataFrame) -> DataFrame:
+    """Trips written so far that a late reading of their bike falls into."""
+    written = trips.filter("kind != 'withdrawn'").drop("batch", "kind")
+    late = arrived.select(F.col("rideable_id").alias("late_bike"), F.col("last_updated").alias("late_at")).distinct()
+    within = (F.col("late_at") > F.col(START)) & (F.col("late_at") < F.col(END))
+    return written.join(late, (F.col("rideable_id") == F.col("late_bike")) & within, "left_semi")
+
+
 def read_trips(trips: DataFrame) -> DataFrame:
-    """Trips of all micro-batches, each once.
+    """Trips of all micro-batches, each once, without those withdrawn.
 
     A reading is ahead of its bike's state only once, so those trips are unique as they are.
     A late reading that was delivered before completes the same trip again; late trips are
     few, and only they are compared with the rest.
     """
-    ahead = trips.filter("kind = 'ahead'").drop("batch", "kind")
-    late = trips.filter("kind = 'late'").drop("batch", "kind").dropDuplicates(["trip_id"])
+    gone = trips.filter("kind = 'withdrawn'").select("trip_id")
+    ahead = trips.filter("kind = 'ahead'").drop("batch", "kind", START, END)
+    late = trips.filter("kind = 'late'").drop("batch", "kind", START, END).dropDuplicates(["trip_id"])
     again = ahead.select("trip_id").join(late.select("trip_id"), "trip_id", "left_semi")
-    return ahead.unionByName(late.join(again, "trip_id", "left_anti"))
+    return ahead.unionByName(late.join(again, "trip_id", "left_anti")).join(gone, "trip_id", "left_anti")

@@ -35,15 +35,33 @@ def test_new_pairs(spark, trips, stations):
     assert pairs(distance.new_pairs(trips, stations, known)) == [("A", "C"), ("B", "A"), ("C", "D")]
 
 
-def test_cap_takes_the_first_and_the_next_run_goes_on(spark, trips, stations):
+def test_failing_pairs_keep_no_other_pair_waiting(spark, trips, stations, folder):
+    def provider(lat1, lon1, lat2, lon2):
+        if lat1 < 42.05:
+            raise TimeoutError("never answers")
+        return [{"distance": 1000.0, "duration": 10.0}]
+
     held = matrix(spark)
-    seen = []
-    for _ in range(3):
-        rows, failed = distance.extend_matrix(trips, stations, held, cap=2)
-        assert failed.isEmpty()
-        seen.append(pairs(rows))
+    for run in range(2):
+        rows, failed = distance.extend_matrix(
+            trips, stations, held, udfs.route_enricher(provider), answers=f"{folder}/{run}"
+        )
+        assert pairs(rows) == ([("B", "A"), ("C", "D")] if run == 0 else [])
+        assert pairs(failed) == [("A", "B"), ("A", "C")]
         held = held.unionByName(rows.select(*PAIR))
-    assert seen == [[("A", "B"), ("A", "C")], [("B", "A"), ("C", "D")], []]
+    with pytest.raises(ValueError):
+        distance.extend_matrix(trips, stations, held, udfs.route_enricher(provider))
+
+
+def test_pairs_are_not_gathered_before_the_provider(spark, trips, stations):
+    asked = distance.enrich_pairs(distance.new_pairs(trips, stations, matrix(spark)), tasks=8)
+    assert "SinglePartition" not in asked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_programming_errors_of_a_provider_are_raised(spark, trips, stations, folder):
+    wrong = udfs.route_enricher(lambda *point: [{"metres": 1}], failures=(OSError,))
+    with pytest.raises(Exception, match="KeyError"):
+        distance.extend_matrix(trips, stations, matrix(spark), wrong, answers=f"{folder}/answers")
 
 
 def test_unmatched_rows_with_null_keys_survive_an_anti_join(spark):

@@ -14,7 +14,7 @@ LETTERS = ["a", "", None, "é", "日"]
 
 @pytest.mark.parametrize(
     "form",
-    [udfs.first_letter_udf, udfs.first_letter_decorated, udfs.first_letter_vectorised,
+    [udfs.first_letter_scalar, udfs.first_letter_decorated, udfs.first_letter_vectorised,
      udfs.first_letter_vectorised_call, udfs.first_letter_iterator, lambda c: text.first_letter(F.col(c))],
 )
 def test_first_letter_forms(spark, form):
@@ -28,7 +28,7 @@ def test_first_letter_forms(spark, form):
 def test_registered_form(spark):
     udfs.register(spark)
     spark.createDataFrame(EMAILS, "email string").coalesce(1).createOrReplaceTempView("sales")
-    got = spark.sql("SELECT sql_vectorized_udf(email) AS firstLetter FROM sales").collect()
+    got = spark.sql("SELECT first_letter_of(email) AS firstLetter FROM sales").collect()
     assert [r.firstLetter for r in got] == LETTERS
 
 
@@ -89,13 +89,18 @@ def test_schema_name(spark):
     assert df.select(text.schema_name(F.col("u"))).first()[0] == "a_b_c_d"
 
 
-def test_shuffles_follow_the_input(spark, tmp_path):
-    (tmp_path / "f").write_bytes(b"x" * 1000)
-    assert session.folder_bytes(spark, str(tmp_path)) == 1000
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert session.size_shuffles(spark, 1000) == int(before)
-        assert session.size_shuffles(spark, 10 * session.SHUFFLE_TASK_BYTES) == 10
-        assert session.size_shuffles(spark, 10**15) == session.MAX_SHUFFLE_PARTITIONS
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError):
+        session.work_folder(Session(), "x")
+    assert session.on_one_machine("local[4]") and session.on_one_machine("local")
+    assert not session.on_one_machine("local-cluster[2,1,1024]") and not session.on_one_machine("yarn")

@@ -6,9 +6,9 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from bikeflow.plans import catalog, oracle
 
 SF = os.environ.get("SF_DIR", "/root/testdata/sf0.001")
-ROWS_ONLY = {"file_listing", "rider_classifier"}
 
 
 @pytest.fixture(scope="module")
@@ -16,19 +16,16 @@ def duck():
     return compare.connect(SF)
 
 
-def test_every_query_has_sql_or_is_known_not_to():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+def test_every_query_has_sql():
+    assert set(catalog.QUERIES) == set(oracle.SQL)
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, duck, name):
-    got = entry.queries()[name](spark, SF)
-    table = got.toArrow()
+    table = catalog.QUERIES[name](spark, SF).toArrow()
     assert table.num_rows > 0
-    if name in entry.oracle_sql():
-        expected = duck.sql(entry.oracle_sql()[name]).to_arrow_table()
-        assert compare.compare(table, expected) is None
+    assert compare.compare(table, duck.sql(oracle.SQL[name]).to_arrow_table()) is None
 
 
 def test_entry(spark):

@@ -109,13 +109,16 @@ def test_clustered_write_splits_a_hot_value(spark):
     rows = spark.range(0, 300_000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.md5(F.col("id").cast("string")).alias("t")
     )
-    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    changed = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k", "spark.sql.shuffle.partitions": "16"}
+    before = {key: spark.conf.get(key) for key in changed}
     try:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
-        sizes = sinks.clustered(rows, ["k"]).groupBy(F.spark_partition_id()).count()
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        sizes = sinks.clustered(rows, ["k", "t"]).groupBy(F.spark_partition_id()).count()
         assert sizes.agg(F.max("count")).first()[0] < 50_000
     finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def test_key_only_rows_have_a_latest_row(spark):
