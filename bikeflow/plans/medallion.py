@@ -36,7 +36,7 @@ class Medallion:
     landing: str
     warehouse: str
     glob: str = "*.json"
-    max_files: int | None = None
+    max_files: int | None = 10_000
     zone: str | None = None
     bucket_seconds: int = 86_400
     history_buckets: int = 64
@@ -186,4 +186,5 @@ class Medallion:
         self.extend_trips()
         self.refresh_views()
         self.extend_matrix()
+        self.expire()
         return self.named_trips.read(self.spark)

@@ -1,14 +1,14 @@
 """Parquet tables that change by whole folders.
 
-Each change goes to a new folder ``version=<n>``; Spark's own ``_SUCCESS`` file marks it
-complete. Readers see complete versions only, nothing that is read gets overwritten, and a
-repeated micro-batch rewrites just its own folder.
+Each change goes to a new folder ``version=<n>`` and becomes visible by one small pointer file, which names
+the folder of every bucket as of that version. Readers read one pointer, nothing that is read gets
+overwritten, and a repeated micro-batch rewrites just its own folder.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from itertools import islice
+import json
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,8 @@ from pyspark.sql.types import StructType
 from bikeflow.operators.sinks import write_clustered
 
 _BUCKET = "bucket"
+_WHOLE = ""  # stands for the bucket of a table without buckets
+_POINTERS = "_pointers"
 
 
 class VersionedTable:
@@ -48,13 +50,39 @@ class VersionedTable:
         path, fs = self._hadoop(spark, folder)
         return [status.getPath().getName() for status in fs.listStatus(path)] if fs.exists(path) else []
 
-    def versions(self, spark: SparkSession, before: int | None = None) -> Iterator[int]:
-        """Complete versions, newest first; only those below ``before`` if given."""
-        numbers = (int(n.split("=")[1]) for n in self._list(spark, self.path) if n.startswith("version="))
-        for number in sorted(numbers, reverse=True):
-            if before is None or number < before:
-                if "_SUCCESS" in self._list(spark, f"{self.path}/version={number}"):
-                    yield number
+    def _numbers(self, spark: SparkSession, folder: str, prefix: str) -> list[int]:
+        """Numbers of the entries ``<prefix><n>``, newest first."""
+        names = self._list(spark, folder)
+        return sorted((int(n.removeprefix(prefix)) for n in names if n.startswith(prefix)), reverse=True)
+
+    def versions(self, spark: SparkSession, before: int | None = None) -> list[int]:
+        """Visible versions, newest first; only those below ``before`` if given."""
+        numbers = self._numbers(spark, f"{self.path}/{_POINTERS}", "v")
+        return [n for n in numbers if before is None or n < before]
+
+    def _pointer(self, spark: SparkSession, version: int) -> dict[str, int]:
+        """Bucket name -> version that holds it. A pointer that cannot be read is an error."""
+        path, fs = self._hadoop(spark, f"{self.path}/{_POINTERS}/v{version}")
+        stream = fs.open(path)
+        try:
+            return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _commit(self, spark: SparkSession, version: int) -> None:
+        """Make a written version visible: write its pointer aside, then rename it into place."""
+        older = self.versions(spark, before=version)
+        pointer = self._pointer(spark, older[0]) if older and self.bucket is not None else {}
+        names = [_WHOLE] if self.bucket is None else self._buckets(spark, version)
+        pointer |= dict.fromkeys(names, version)
+        aside, fs = self._hadoop(spark, f"{self.path}/{_POINTERS}/new-v{version}")
+        out = fs.create(aside, True)
+        out.write(bytearray(json.dumps(pointer).encode()))
+        out.close()
+        place, _ = self._hadoop(spark, f"{self.path}/{_POINTERS}/v{version}")
+        fs.delete(place, False)
+        if not fs.rename(aside, place):
+            raise OSError(f"cannot make version {version} of {self.path} visible")
 
     def touched(self, batch: DataFrame) -> list[str]:
         """Bucket names a batch falls in; as many as there are buckets at most."""
@@ -82,57 +110,53 @@ class VersionedTable:
         return spark.createDataFrame([], self.schema) if self.schema else None
 
     def _folders(self, spark: SparkSession, before: int | None, buckets: Iterable[str] | None) -> list[str]:
-        if self.bucket is None:
-            return [f"{self.path}/version={v}" for v in islice(self.versions(spark, before), 1)]
+        visible = self.versions(spark, before)
+        if not visible:
+            lost = [n for n in self._numbers(spark, self.path, "version=") if before is None or n < before]
+            if lost:
+                raise FileNotFoundError(f"{self.path} has versions {lost} but no pointer to them")
+            return []
         wanted = None if buckets is None else {f"{_BUCKET}={b}" for b in buckets}
-        newest: dict[str, str] = {}
-        for version in self.versions(spark, before):
-            for name in self._buckets(spark, version):
-                if wanted is None or name in wanted:
-                    newest.setdefault(name, f"{self.path}/version={version}/{name}")
-            if wanted is not None and len(newest) == len(wanted):
-                break
-        return list(newest.values())
+        held = self._pointer(spark, visible[0])
+        return [f"{self.path}/version={v}/{b}".rstrip("/") for b, v in held.items() if wanted is None or b in wanted]
 
     def _buckets(self, spark: SparkSession, version: int) -> list[str]:
         names = self._list(spark, f"{self.path}/version={version}")
         return [n for n in names if n.startswith(f"{_BUCKET}=")]
 
     def expire(self, spark: SparkSession, keep: int = 10) -> list[int]:
-        """Delete versions that ``keep`` newer ones have replaced in full; returns their numbers.
+        """Forget all but the ``keep`` newest pointers and delete the versions that none of them names.
 
-        Two at least are kept: a repeated micro-batch reads the version before its own.
+        Two at least are kept: a repeated micro-batch reads the version before its own. Returns the
+        numbers of the deleted versions.
         """
-        newer: dict[str, int] = {}
-        gone = []
-        for version in self.versions(spark):
-            parts = ["whole"] if self.bucket is None else self._buckets(spark, version)
-            if all(newer.get(p, 0) >= max(keep, 2) for p in parts):
-                gone.append(version)
-            for part in parts:
-                newer[part] = newer.get(part, 0) + 1
-        for version in gone:
-            path, fs = self._hadoop(spark, f"{self.path}/version={version}")
+        visible = self.versions(spark)
+        kept, old = visible[: max(keep, 2)], visible[max(keep, 2) :]
+        named = {v for pointer in kept for v in self._pointer(spark, pointer).values()}
+        gone = [n for n in self._numbers(spark, self.path, "version=") if n in set(old) - named]
+        folders = [f"{_POINTERS}/v{n}" for n in old] + [f"version={n}" for n in gone]
+        for folder in folders:
+            path, fs = self._hadoop(spark, f"{self.path}/{folder}")
             fs.delete(path, True)
         return gone
 
     def write(self, df: DataFrame, version: int) -> None:
         """Write the whole table, or the whole of the buckets that ``df`` falls in."""
         target = f"{self.path}/version={version}"
-        if self.bucket is None:
-            if self.cluster_by:
-                write_clustered(df, target, self.cluster_by, together=self.together)
-            else:
-                df.write.mode("overwrite").parquet(target)
-            return
-        rows = df.withColumn(_BUCKET, self.bucket.cast("string"))
-        write_clustered(rows, target, self.cluster_by, [_BUCKET])
+        if self.bucket is not None:
+            rows = df.withColumn(_BUCKET, self.bucket.cast("string"))
+            write_clustered(rows, target, self.cluster_by, [_BUCKET])
+        elif self.cluster_by:
+            write_clustered(df, target, self.cluster_by, together=self.together)
+        else:
+            df.write.mode("overwrite").parquet(target)
+        self._commit(df.sparkSession, version)
 
     def refresh(self, spark: SparkSession, df: DataFrame) -> int:
         """Replace the whole table by a recomputed result; readers switch when it is complete."""
         if self.bucket is not None:
             raise ValueError("a table with buckets is changed bucket by bucket")
-        version = next(self.versions(spark), -1) + 1
+        version = next(iter(self.versions(spark)), -1) + 1
         self.write(df, version)
         return version
 

@@ -129,6 +129,53 @@ def test_unfinished_version_is_not_read(spark, folder):
     assert table.read(spark, before=1).count() == 3
 
 
+def test_a_lost_or_broken_pointer_is_an_error(spark, folder):
+    table = VersionedTable(f"{folder}/t")
+    table.refresh(spark, spark.range(3))
+    path, fs = table._hadoop(spark, f"{folder}/t/_pointers/v0")
+    out = fs.create(path, True)
+    out.write(bytearray(b'{"": '))
+    out.close()
+    with pytest.raises(ValueError):
+        table.read(spark)
+    fs.delete(path, False)
+    with pytest.raises(FileNotFoundError):
+        table.read(spark)
+
+
+def test_reading_takes_the_same_number_of_calls_at_any_version(spark, folder):
+    class Counted(VersionedTable):
+        calls = 0
+
+        def _hadoop(self, spark, folder):
+            Counted.calls += 1
+            return super()._hadoop(spark, folder)
+
+    table = Counted(f"{folder}/t", key_bucket("station_id", buckets=4), ["station_id"])
+    step = upsert_latest(table, ["station_id"], "seq")
+    costs = []
+    for i in range(6):
+        step(spark.createDataFrame([("ab"[i % 2], i, "x", "")], COLUMNS), i)
+        before = Counted.calls
+        table._folders(spark, None, None)
+        costs.append(Counted.calls - before)
+    assert len(set(costs)) == 1 and costs[0] <= 2
+
+
+def test_success_marks_are_not_needed(spark, folder):
+    name = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set(name, "false")
+    try:
+        table = VersionedTable(f"{folder}/t", key_bucket("station_id", buckets=2), ["station_id"])
+        step = upsert_latest(table, ["station_id"], "seq")
+        for i in range(3):
+            step(spark.createDataFrame([(f"s{i}", 1, "x", "")], COLUMNS), i)
+        assert table.read(spark).count() == 3
+    finally:
+        conf.unset(name)
+
+
 def test_only_touched_buckets_are_rewritten(spark, folder):
     table = VersionedTable(f"{folder}/t", key_bucket("station_id", buckets=16), ["station_id"])
     step = upsert_latest(table, ["station_id"], "seq")
