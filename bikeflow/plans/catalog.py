@@ -552,6 +552,30 @@ def medallion_distance_matrix(spark, sf):
     return tables.matrix.read(spark)
 
 
+@query
+def medallion_rejects(spark, sf):
+    """Broken and keyless documents among the telemetry: what lands is kept or rejected."""
+    folder = work_folder(spark, "rejects")
+    events = m.table(spark, sf, "events")
+    whole = m.telemetry_documents(m.telemetry_bronze(events))
+    broken = m.telemetry_documents(m.telemetry_bronze(events.filter("event_id % 5 = 0")))
+    keyless = m.telemetry_documents(m.telemetry_bronze(events.filter("event_id % 7 = 0")))
+    soon = F.regexp_replace("value", '"last_updated":[0-9]+', '"last_updated":"soon"')
+    documents = whole.unionByName(broken.select(F.expr("left(value, 40)").alias("value"))).unionByName(
+        keyless.select(soon.alias("value"))
+    )
+    m.text_files(documents, f"{folder}/landing/{k.TELEMETRY_FEED}")
+    tables = Medallion(spark, f"{folder}/landing", f"{folder}/warehouse", PART_FILES, bucket_seconds=30 * 86_400)
+    tables.ingest_feed(k.TELEMETRY_FEED)
+    tables.upsert_telemetry()
+    count = F.count("*")
+    lost = spark.read.parquet(f"{folder}/warehouse/bronze/{k.TELEMETRY_FEED}_rejects").agg(count.alias("broken"))
+    bad = spark.read.parquet(f"{folder}/warehouse/silver/telemetry_rejects").agg(count.alias("keyless"))
+    rows = spark.read.schema(schemas.TELEMETRY_BRONZE).parquet(f"{folder}/warehouse/bronze/{k.TELEMETRY_FEED}")
+    kept = rows.agg(count.alias("rows"))
+    return lost.join(bad).join(kept).select("broken", "keyless", (F.col("rows") - F.col("keyless")).alias("kept"))
+
+
 # -- UDFs --------------------------------------------------------------------------------
 
 

@@ -15,11 +15,14 @@ from bikeflow.operators import distance, enrich, flatten, scd
 from bikeflow.operators.stations import with_station_names
 from bikeflow.session import work_folder
 from bikeflow.sources.streams import stream_documents, stream_folder
-from bikeflow.streaming.ingest import append_stream, each_batch
+from bikeflow.streaming.ingest import each_batch
 from bikeflow.streaming.trips import extend_trips, read_trips
 from bikeflow.streaming.upserts import upsert_history, upsert_latest
 from bikeflow.streaming.versioned import VersionedTable, key_bucket, time_bucket
 
+# Text of documents that the reader could not take as they are.
+BROKEN = "document"
+
 UNTRACKED = ("timestamp_utc", "timestamp_local", "last_updated")
 
 
@@ -71,25 +74,33 @@ class Medallion:
 
     def _bronze(self, feed: str, station: str, flat: Callable[[DataFrame], DataFrame]) -> None:
         landed = f"{self.landing}/{feed}"
-        documents = stream_documents(self.spark, landed, self.glob, station, self.max_files)
-        # Bronze is read in full by the next step: sorted where it is, not shuffled.
-        append_stream(
-            flat(documents),
-            self._path(f"bronze/{feed}"),
-            self._checkpoint(f"bronze_{feed}"),
-            cluster_by=["station_id"],
-            gather=False,
-        )
+        documents = stream_documents(self.spark, landed, self.glob, station, self.max_files, broken=BROKEN)
+        target, rejects = self._path(f"bronze/{feed}"), self._path(f"bronze/{feed}_rejects")
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            bad = batch.filter(F.col(BROKEN).isNotNull()).select("last_updated", BROKEN)
+            bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+            rows = flat(batch.filter(F.col(BROKEN).isNull()))
+            # Bronze is read in full by the next step: sorted where it is, not shuffled.
+            rows.sortWithinPartitions("station_id").write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+        each_batch(documents, write, self._checkpoint(f"bronze_{feed}"))
 
     def _bronze_stream(self, feed: str, schema: str) -> DataFrame:
         return stream_folder(self.spark, self._path(f"bronze/{feed}"), schema, max_files=self.max_files)
 
+    def ingest_feed(self, feed: str) -> None:
+        """Documents of one feed to rows; broken ones go to the feed's rejects."""
+        station, flat = {
+            TELEMETRY_FEED: (schemas.TELEMETRY_STATION, flatten.flatten_telemetry),
+            STATION_INFORMATION_FEED: (schemas.INFORMATION_STATION, flatten.flatten_station_information),
+            STATION_STATUS_FEED: (schemas.STATUS_STATION, flatten.flatten_station_status),
+        }[feed]
+        self._bronze(feed, station, flat)
+
     def ingest(self) -> None:
-        self._bronze(TELEMETRY_FEED, schemas.TELEMETRY_STATION, flatten.flatten_telemetry)
-        self._bronze(
-            STATION_INFORMATION_FEED, schemas.INFORMATION_STATION, flatten.flatten_station_information
-        )
-        self._bronze(STATION_STATUS_FEED, schemas.STATUS_STATION, flatten.flatten_station_status)
+        for feed in (TELEMETRY_FEED, STATION_INFORMATION_FEED, STATION_STATUS_FEED):
+            self.ingest_feed(feed)
 
     # silver: keyed tables
 
@@ -105,7 +116,8 @@ class Medallion:
         rows = enrich.enrich_station_status(
             self._bronze_stream(STATION_STATUS_FEED, schemas.STATUS_BRONZE), self.zone
         )
-        step = upsert_latest(self.status, ["station_id", "last_updated"], "last_updated")
+        keys = ["station_id", "last_updated"]
+        step = upsert_latest(self.status, keys, "last_updated", self._path("silver/status_rejects"))
         each_batch(rows, step, self._checkpoint("silver_status"))
 
     def upsert_stations(self) -> None:
@@ -113,7 +125,12 @@ class Medallion:
             self._bronze_stream(STATION_INFORMATION_FEED, schemas.INFORMATION_BRONZE), self.zone
         )
         step = upsert_history(
-            self.station_log, self.station_history, ["station_id"], "last_updated", UNTRACKED
+            self.station_log,
+            self.station_history,
+            ["station_id"],
+            "last_updated",
+            UNTRACKED,
+            rejects=self._path("silver/station_rejects"),
         )
         each_batch(rows, step, self._checkpoint("silver_stations"))
 

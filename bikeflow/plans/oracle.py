@@ -299,6 +299,9 @@ SQL: dict[str, str] = {
         SELECT event_id, user_id, date_trunc('day', ts) AS capture_time, CAST(dayofyear(ts) AS VARCHAR) AS run_id FROM events""",
     "zip_csv_scan": "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem",
     "ctas_roundtrip": "SELECT * FROM part",
+    "medallion_rejects": """
+        SELECT count(*) FILTER (event_id % 5 = 0) AS broken, count(*) FILTER (event_id % 7 = 0) AS keyless, count(*) AS kept
+        FROM events""",
     "cluster_write": "SELECT * FROM lineitem",
     "cluster_layout": "SELECT CAST(0 AS BIGINT) AS files_within_others FROM (SELECT count(*) FROM lineitem)",
     "file_listing": "SELECT DISTINCT event_type, true AS filled FROM events",

@@ -15,14 +15,21 @@ def stream_documents(
     station: str | None = None,
     max_files: int | None = None,
     multi_line: bool = False,
+    broken: str | None = None,
 ) -> DataFrame:
     """Feed documents as they land; each file is taken up once per checkpoint.
 
     With the type of a ``station`` the nested object is parsed by the reader itself, in one
-    pass; else it arrives as text. The other fields are text in both cases.
+    pass; else it arrives as text. The other fields are text in both cases. A column named by
+    ``broken`` gets the text of documents that do not parse or hold values of other types.
     """
+    schema = schemas.parsed_document(station) if station else schemas.RAW_DOCUMENT
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if broken:
+        schema = T.StructType([*schema.fields, T.StructField(broken, T.StringType())])
     reader = (
-        spark.readStream.schema(schemas.parsed_document(station) if station else schemas.RAW_DOCUMENT)
+        spark.readStream.schema(schema)
+        .option("columnNameOfCorruptRecord", broken or "_corrupt_record")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
         .option("multiLine", multi_line)

@@ -53,17 +53,21 @@ def upsert_history(
     sequence: str,
     untracked: Sequence[str] = (),
     slot_width: int = SEQUENCE_SLOT,
+    rejects: str | None = None,
 ) -> BatchStep:
     """Type 2 step: keep the change log, and rebuild the ranges of the touched buckets from it.
 
-    A late row can split or merge ranges; the log holds what is needed to get them right.
+    A late row can split or merge ranges; the log holds what is needed to get them right. Rows with
+    a NULL key or sequence go to the ``rejects`` folder, if any.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()
         try:
-            good, _ = split_rejects(batch, [*keys, sequence])
+            good, bad = split_rejects(batch, [*keys, sequence])
+            if rejects:
+                bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
             touched = _merge(log, good, batch_id, [*keys, sequence], sequence)
         finally:
             batch.unpersist()

@@ -96,3 +96,5 @@ def test_bad_documents_do_not_stop_the_run(spark, tmp_path, tables):
     assert named(tables.run()) == [("a", 100, "One", "Two")]
     rejects = spark.read.parquet(str(tmp_path / "warehouse/silver/telemetry_rejects"))
     assert rejects.count() == 1
+    broken = spark.read.parquet(str(tmp_path / "warehouse/bronze/ebikes_at_station_rejects"))
+    assert [r.document for r in broken.collect()] == ["{broken"]
