@@ -36,7 +36,7 @@ from bikeflow.plans.medallion import Medallion
 from bikeflow.session import pin_utc, work_folder
 from bikeflow.sources import files, streams
 from bikeflow.streaming.ingest import append_stream, each_batch
-from bikeflow.streaming.trips import extend_trips, read_trips
+from bikeflow.streaming.trips import extend_trips, join_arrivals, read_trips
 from bikeflow.streaming.upserts import upsert_history, upsert_latest
 from bikeflow.streaming.versioned import VersionedTable, key_bucket
 
@@ -516,14 +516,16 @@ def trips_streaming_late(spark, sf):
 
 @query
 def trips_stream_static_join(spark, sf):
-    """A stream of readings joined to the windowed table: trips whose end is in the stream."""
+    """A stream of readings, in two deliveries, joined to the table as it grows: trips whose end is in the stream."""
     folder = work_folder(spark, "stream-static")
     readings = m.readings(spark, sf)
-    readings.write.parquet(f"{folder}/readings")
-    stored = spark.read.schema(readings.schema).parquet(f"{folder}/readings")
-    arriving = streams.stream_folder(spark, f"{folder}/readings", readings.schema)
-    append_stream(trip_ops.trips_against_stream(stored, arriving), f"{folder}/trips", f"{folder}/checkpoint")
-    return spark.read.parquet(f"{folder}/trips")
+    step = join_arrivals(lambda s: s.read.schema(readings.schema).parquet(f"{folder}/readings"), f"{folder}/trips")
+    # Whole bikes arrive together, so that no later reading falls between two that were joined.
+    for delivery in m.waves(readings, m.scattered("rideable_id", 2), 2):
+        delivery.write.mode("append").parquet(f"{folder}/readings")
+        arriving = streams.stream_folder(spark, f"{folder}/readings", readings.schema)
+        each_batch(arriving, step, f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/trips").drop("batch")
 
 
 def _medallion(spark: SparkSession, sf: str) -> Medallion:

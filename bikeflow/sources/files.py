@@ -32,7 +32,7 @@ def read_json(
 
 
 def sample_schema(spark: SparkSession, sample_file: str, field: str, multi_line: bool = False) -> T.StructType:
-    """Schema of one nested field, inferred from a single sample document."""
+    """Schema of one nested field, inferred from a file of samples, or from all files of a folder."""
     return read_json(spark, sample_file, multi_line=multi_line).select(field).schema
 
 

@@ -16,12 +16,15 @@ def stream_documents(
     max_files: int | None = None,
     multi_line: bool = False,
     broken: str | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """Feed documents as they land; each file is taken up once per checkpoint.
 
     With the type of a ``station`` the nested object is parsed by the reader itself, in one
     pass; else it arrives as text. The other fields are text in both cases. A column named by
     ``broken`` gets the text of documents that do not parse or hold values of other types.
+    Files that are done move to the ``archive`` folder, if any, so that the landing folder stays
+    short to list.
     """
     schema = schemas.parsed_document(station) if station else schemas.RAW_DOCUMENT
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -36,6 +39,8 @@ def stream_documents(
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.json(folder)
 
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bikeflow import constants as k
 from bikeflow import schemas
 from bikeflow.operators.enrich import split_rejects
 from bikeflow.operators.scd import latest_per_key
-from bikeflow.operators.trips import consecutive_readings, trips_from_pairs
+from bikeflow.operators.trips import consecutive_readings, trips_against_stream, trips_from_pairs
 from bikeflow.streaming.ingest import BatchStep
 from bikeflow.streaming.versioned import VersionedTable
 
@@ -73,6 +75,20 @@ def extend_trips(
     return step
 
 
+def join_arrivals(readings: Callable[[SparkSession], DataFrame], trips: str) -> BatchStep:
+    """Step that joins a micro-batch of readings, as trip ends, to the table as it is at that time.
+
+    ``readings`` opens the table; only the bikes that arrive are windowed.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        bikes = batch.select("rideable_id").distinct()
+        stored = readings(batch.sparkSession).join(bikes, "rideable_id", "left_semi")
+        trips_against_stream(stored, batch).write.mode("overwrite").parquet(f"{trips}/batch={batch_id}")
+
+    return step
+
+
 def _write_trips(pairs: DataFrame, folder: str, min_gap: int) -> None:
     ends = F.col("last_updated").alias(START), F.col("end.last_updated").alias(END)
     rows = trips_from_pairs(pairs, min_gap, *ends)
