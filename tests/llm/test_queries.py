@@ -64,6 +64,31 @@ def test_stages_keep_the_columns_and_act_in_order(spark):
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == kept[names[3]]
 
 
+def test_stages_equal_brute_force(spark):
+    """Lines, near copies and benchmark passages on the small table, each stage on what the one before kept."""
+    from test_pairs import brute, brute_lines
+    from test_scans import brute_hits
+
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    now = stages["line dedup"](spark, docs, SF).collect()
+    want = {i: t for i, t in brute_lines(rows).items()}
+    kept = {r.doc_id: r.text for r in now}
+    assert all(kept[i] == want[i] for i in kept)
+    assert all(not want[i].strip() for i in want.keys() - kept.keys())
+
+    now = stages["n-gram Jaccard join"](spark, spark.createDataFrame(now, docs.schema), SF).collect()
+    group = brute(list(kept.items()), 5, 8, 10)
+    assert {r.doc_id for r in now} == set(group.values())
+
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    left = stages["benchmark decontamination"](spark, spark.createDataFrame(now, docs.schema), SF)
+    hits = {r.doc_id: brute_hits(r.text, items) for r in now}
+    clean = {i for i, (n, hit, _) in hits.items() if not (hit and 20 * hit >= n)}
+    assert {r.doc_id for r in left.collect()} == clean
+
+
 def test_run_equals_its_stages(spark):
     found = corpus_pipeline.run(spark, SF)
     assert found.agg(F.sum("length")).first()[0] > 0 and corpus_pipeline.ORACLE_SQL is None
