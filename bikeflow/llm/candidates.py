@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bikeflow.llm.graph import connected_components
-from bikeflow.llm.tables import landed
+from bikeflow.llm.tables import Workspace
 
 BLOCK_ROWS = 2000
 BLOCK_ELEMENTS = 1_000_000
@@ -87,13 +87,13 @@ def _cells(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa
     yield found()
 
 
-def verified_links(members: DataFrame, num: int, den: int) -> DataFrame:
+def verified_links(members: DataFrame, num: int, den: int, work: Workspace) -> DataFrame:
     """Edges (a, b) that connect what the links within each group connect.
 
-    ``members``: group, id, elements (sorted distinct 64-bit hashes, as bytes).
+    ``members``: group, id, elements (sorted distinct 64-bit hashes, as bytes). They land in ``work``
+    under their name, from where the caller may drop them once the edges are used.
     """
-    spark = members.sparkSession
-    members = landed(spark, members, "members")
+    members = work.land(members, "members")
     weight = F.octet_length("elements") / 8
     blocks = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum(weight) / BLOCK_ELEMENTS)).alias("blocks")
     sizes = members.groupBy("group").agg(blocks, F.count("*").alias("rows")).filter("rows > 1")

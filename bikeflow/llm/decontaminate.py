@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bikeflow.llm import textbytes as tb
-from bikeflow.llm.tables import table
+from bikeflow.llm.tables import packed, table, text_batches, unpacked
 
 WINDOW = 13
 CONTAMINATED_SHARE = 20  # n_hit * share >= n_words
-MAX_PATTERN_WORDS = 4_000_000
+MAX_PATTERN_WORDS = 200_000
 
 WORD_BYTES = tb.byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 _TABLE_BITS = 20
@@ -109,7 +109,7 @@ def _keys(blocks: np.ndarray, block: int) -> np.ndarray:
     return (h >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
 
 
-def _scan(batches: Iterator[pa.RecordBatch], text: str, patterns: Patterns, spans: bool):
+def _scan(batches: Iterator[pa.RecordBatch], text: str, patterns: Patterns, spans: bool, with_text: bool):
     for batch in batches:
         n_words = np.zeros(batch.num_rows, np.int64)
         n_hit = np.zeros(batch.num_rows, np.int64)
@@ -138,8 +138,8 @@ def _scan(batches: Iterator[pa.RecordBatch], text: str, patterns: Patterns, span
             n_hit[row:past] = covered[before[1:]] - covered[before[:-1]]
         named = [sorted(set(chain.from_iterable(patterns.items[n][p] for n, p in set(x)))) for x in items]
         columns = [pa.array(n_words), pa.array(n_hit), pa.array(where, _SPANS), pa.array(named, pa.list_(pa.string()))]
-        kept = [batch.column(i) for i in range(batch.num_columns) if batch.schema.names[i] != text]
-        names = [x for x in batch.schema.names if x != text]
+        names = [x for x in batch.schema.names if with_text or x != text]
+        kept = [batch.column(x) for x in names]
         yield pa.RecordBatch.from_arrays([*kept, *columns], [*names, "n_words", "n_hit", "hit_spans", "items"])
 
 
@@ -153,29 +153,34 @@ def benchmark_hits(
     item_text: str = "text",
     window: int = WINDOW,
     max_pattern_words: int = MAX_PATTERN_WORDS,
+    with_text: bool = False,
 ) -> DataFrame:
     """``keys`` of each document with n_words, n_hit and the sorted ids of the items that occur in it.
 
     With more than ``max_pattern_words`` words in the benchmark, ``keys`` must identify a document.
     """
-    spark = docs.sparkSession
+    spark = text_batches(docs)
     wanted = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("item_text"))
     wanted = wanted.filter("item is not null and item_text is not null and item_text != ''")
     size = wanted.agg(F.coalesce(F.sum(F.length("item_text")), F.lit(0))).first()[0]
     shards = max(1, math.ceil(size / (4 * max_pattern_words)))
     docs = docs.select(*keys, text)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != text)
+    kept = [f for f in docs.schema.fields if with_text or f.name != text]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
     scans = []
     for shard in range(shards):
         part = wanted if shards == 1 else wanted.filter(F.pmod(F.xxhash64("item"), F.lit(shards)) == shard)
         held = spark.sparkContext.broadcast(Patterns([(r[0], r[1]) for r in part.collect()], window))
-        scan = docs.mapInArrow(lambda it, held=held: _scan(it, text, held.value, shards > 1), f"{kinds}, {_SCAN}")
+        scan = docs.mapInArrow(
+            lambda it, held=held: _scan(it, text, held.value, shards > 1, with_text), f"{kinds}, {_SCAN}"
+        )
         scans.append(scan)
     if shards == 1:
         return scans[0].drop("hit_spans")
     both = scans[0]
     for scan in scans[1:]:
         both = both.unionByName(scan)
+    keys = [f.name for f in kept]
     found = both.groupBy(*keys).agg(
         F.max("n_words").alias("n_words"),
         F.flatten(F.collect_list("hit_spans")).alias("spans"),
@@ -191,14 +196,9 @@ def contaminated():
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents, all columns, without the contaminated ones; one scan, no shuffle.
-
-    The text goes through the scan a second time as another column, so clashing names do not matter.
-    """
-    names = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("text").alias("scanned"))
-    hits = benchmark_hits(packed, benchmark, keys=["row"], text="scanned", **options)
-    return hits.filter(~contaminated()).select("row.*")
+    """The documents, all columns, without the contaminated ones; one scan, no shuffle."""
+    hits = benchmark_hits(packed(docs), benchmark, keys=["row"], with_text=True, **options)
+    return unpacked(hits.filter(~contaminated()), docs.columns)
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bikeflow.llm import textbytes as tb
-from bikeflow.llm.tables import in_fold, table
+from bikeflow.llm.tables import in_fold, packed, table, text_batches, unpacked
 
 UNKNOWN = "und"
-SAMPLE_ROWS = 24  # per language
+SAMPLE_ROWS = 16  # per language
 EXCERPT = 1500  # characters of a sampled row
 BLOCK = 512
 # A text whose two best languages are this close is in none of them.
@@ -44,33 +43,46 @@ _FORM[0x41:0x5B] = np.arange(0x61, 0x7B)
 _GAP = 0  # stands between excerpts; no text has it
 
 
-def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
-    """Transitions of each state; state 0 is the start."""
-    moves, link, length, last = [{}], [-1], [0], 0
+def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
+    """Transition table: a row per state and a column per symbol below ``width``; 0, the start, is none.
+
+    The symbol -1 ends a text: what follows it is matched from the start.
+    """
+    table = np.zeros((2 * len(symbols) + 2, width), np.int32)
+    link, length, last, states = [-1], [0], 0, 1
     for c in symbols:
-        state = len(moves)
-        moves.append({})
+        if c < 0:
+            last = 0
+            continue
+        q = int(table[last, c])
+        if q and length[q] == length[last] + 1:  # known from an earlier text
+            last = q
+            continue
+        state, p = states, last
+        states += 1
         link.append(0)
         length.append(length[last] + 1)
-        p = last
-        while p >= 0 and c not in moves[p]:
-            moves[p][c] = state
+        while p >= 0 and not table[p, c]:
+            table[p, c] = state
             p = link[p]
         if p >= 0:
-            q = moves[p][c]
+            q = int(table[p, c])
             if length[q] == length[p] + 1:
                 link[state] = q
             else:
-                copy = len(moves)
-                moves.append(dict(moves[q]))
+                copy = states
+                states += 1
+                table[copy] = table[q]
                 link.append(link[q])
                 length.append(length[p] + 1)
-                while p >= 0 and moves[p].get(c) == q:
-                    moves[p][c] = copy
+                while p >= 0 and table[p, c] == q:
+                    table[p, c] = copy
                     p = link[p]
-                link[q] = link[state] = copy
+                link[q] = copy
+                if state != q:
+                    link[state] = copy
         last = state
-    return moves
+    return table[:states].copy()
 
 
 class Parser:
@@ -87,14 +99,14 @@ class Parser:
         self.bits = np.array([np.log2(max(2, len(f))) for f in forms])
         tables, self.roots, base = [], [], 0
         for form in forms:
-            moves = suffix_automaton(list(form))
-            moves = np.array([(s, self.code[c], t) for s, m in enumerate(moves) for c, t in m.items() if c != _GAP]).reshape(-1, 3), len(moves)
-            step = np.full((moves[1], self.width), -1, np.int32)
-            step[moves[0][:, 0], moves[0][:, 1]] = base + moves[0][:, 2] * self.width
-            step[:, self.pad] = base + np.arange(moves[1]) * self.width
+            symbols = np.where(np.frombuffer(form, np.uint8) == _GAP, -1, self.code[np.frombuffer(form, np.uint8)])
+            moves = suffix_automaton(symbols.tolist(), self.width)
+            step = moves * np.int32(self.width) + np.int32(base)
+            step[moves == 0] = -1
+            step[:, self.pad] = base + np.arange(len(moves)) * self.width
             tables.append(step)
             self.roots.append(base)
-            base += moves[1] * self.width
+            base += step.size
         self.table = np.concatenate([t.ravel() for t in tables]) if tables else np.zeros(0, np.int32)
         # Where a symbol leads from the start; a symbol that no phrase holds leads back to it.
         first = [np.where(t[0] < 0, r, t[0]) for t, r in zip(tables, self.roots)]
@@ -124,13 +136,8 @@ class Parser:
         return (phrases * self.bits[:, None] / np.maximum(sizes, 1)).T
 
 
-@lru_cache(maxsize=1)
-def _parser(samples) -> Parser:
-    return Parser(samples)
-
-
-def _predict(batches: Iterator[pa.RecordBatch], text: str, samples) -> Iterator[pa.RecordBatch]:
-    parser = _parser(samples)
+def _predict(batches: Iterator[pa.RecordBatch], text: str, samples, with_text: bool) -> Iterator[pa.RecordBatch]:
+    parser = Parser(samples)
     names = np.array([*parser.langs, UNKNOWN], object)
     for batch in batches:
         texts = batch.column(text)
@@ -149,7 +156,7 @@ def _predict(batches: Iterator[pa.RecordBatch], text: str, samples) -> Iterator[
                 t = t.as_py()
                 if not t or not _LETTER.search(t):
                     best[k], score[k] = len(parser.langs), 0.0
-        kept = [c for c in batch.schema.names if c != text]
+        kept = [c for c in batch.schema.names if with_text or c != text]
         arrays = [batch.column(c) for c in kept]
         yield pa.RecordBatch.from_arrays(
             [*arrays, pa.array(names[best], pa.string()), pa.array(np.clip(score, 0, 1))], [*kept, "lang_pred", "score"]
@@ -179,18 +186,23 @@ def language_samples(labelled: DataFrame, *, key: str = "doc_id", text: str = "t
     return tuple((name, tuple(held[name])) for name in sorted(held))
 
 
-def predict_language(docs: DataFrame, samples, *, keys: list[str], text: str = "text") -> DataFrame:
+def predict_language(
+    docs: DataFrame, samples, *, keys: list[str], text: str = "text", with_text: bool = False
+) -> DataFrame:
     """``keys`` with lang_pred and score, the relative gap between the two best entropies."""
+    text_batches(docs)
     docs = docs.select(*keys, text)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != text)
-    return docs.mapInArrow(lambda it: _predict(it, text, samples), f"{kinds}, lang_pred string, score double")
+    kept = [f for f in docs.schema.fields if with_text or f.name != text]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    return docs.mapInArrow(
+        lambda it: _predict(it, text, samples, with_text), f"{kinds}, lang_pred string, score double"
+    )
 
 
 def keep_identified(docs: DataFrame, samples, *, min_score: float = MIN_SCORE) -> DataFrame:
     """The documents, all columns, that are in some known language."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("parsed"))
-    found = predict_language(packed, samples, keys=["row"], text="parsed")
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("row.*")
+    found = predict_language(packed(docs), samples, keys=["row"], with_text=True)
+    return unpacked(found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)), docs.columns)
 
 
 def held_out(doc_id):

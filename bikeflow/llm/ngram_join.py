@@ -6,10 +6,10 @@ For each band of set sizes the largest possible symmetric difference D of a simi
 with D + 1 lanes or more at least one lane is equal (pigeonhole): (band, lane, value) is the join key.
 A document takes part in its own band and in those of larger documents it may still be similar to.
 
-Lanes that hold one shingle or none say little and make long lists. With ``slack`` further lanes,
-D + 1 + slack in all, at least slack + 1 lanes of a similar pair are equal; a document with at most
-slack such poor lanes leaves them out, and still one equal lane remains. A document with more of them
-keeps them all. No link is lost either way.
+Not all lanes are needed. Lanes have an order that depends on their content only: those with most shingles
+first, as lanes with one or none say little and make long lists. Of two documents that may differ in d lanes,
+the first d + 1 lanes of either in that order have one in common, so each emits as many as its own size and
+the band allow for. No link is lost.
 
 Copies of equal sets are folded by digest first. Candidates are verified exactly (``candidates``).
 
@@ -20,7 +20,6 @@ of them; a null id has no component; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import cache
 
@@ -32,10 +31,10 @@ from pyspark.sql import functions as F
 from bikeflow.llm import textbytes as tb
 from bikeflow.llm.candidates import SETS, candidate_groups, set_bytes, verified_links
 from bikeflow.llm.graph import connected_components
-from bikeflow.llm.tables import landed, small_side, table
+from bikeflow.llm.tables import Workspace, landed, small_side, table, text_batches
 
 WORD_BYTES = tb.byte_class((0x00, 0x08), (0x0E, 0x1F), (0x21, 0xFF))
-BAND_RATIO = 1.4
+BAND_RATIO = 2
 
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -55,18 +54,12 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
 
 
 @cache
-def bands(num: int, den: int, largest: int) -> list[tuple[int, int, int, int]]:
-    """(smallest size, past largest size, D, lanes) of each band up to a set size."""
+def bands(num: int, den: int, largest: int) -> list[tuple[int, int, int]]:
+    """(smallest size, past largest size, lanes) of each band up to a set size."""
     found, low = [], 1
     while low <= largest:
-        high = max(low + 1, int(low * BAND_RATIO))
-        apart = (den - num) * 2 * (high - 1) // (den + num)
-        lanes = apart + 1
-        for _ in range(4):  # room for the poor lanes of most documents
-            mean = low * num / den / lanes
-            poor = lanes * math.exp(-mean) * (1 + mean)
-            lanes = apart + 1 + min(math.ceil(poor + 3 * math.sqrt(poor)), math.ceil(0.2 * apart))
-        found.append((low, high, apart, lanes))
+        high = low * BAND_RATIO
+        found.append((low, high, (den - num) * 2 * (high - 1) // (den + num) + 1))
         low = high
     return found
 
@@ -74,16 +67,17 @@ def bands(num: int, den: int, largest: int) -> list[tuple[int, int, int, int]]:
 def sketch_keys(found: np.ndarray, num: int, den: int) -> np.ndarray:
     """The join keys of one set."""
     size, keys = len(found), []
-    for band, (low, high, apart, lanes) in enumerate(bands(num, den, 1 << max(4, size.bit_length() + 1))):
+    for band, (low, high, lanes) in enumerate(bands(num, den, 1 << max(4, size.bit_length() + 1))):
+        apart = (den - num) * (size + min(high - 1, size * den // num)) // (den + num)
         if size >= high or low * num > size * den or not apart:
             continue  # another band, or only equal sets are similar there
         spread = tb.mix(found + np.uint64(band + 1))
         lane = ((spread >> np.uint64(32)) * np.uint64(lanes) >> np.uint64(32)).astype(np.int64)
         value = np.zeros(lanes, np.uint64)
         np.bitwise_xor.at(value, lane, spread)
-        poor = np.bincount(lane, minlength=lanes) <= 1
+        held = np.bincount(lane, minlength=lanes)
         key = tb.mix(value + tb.mix(np.arange(lanes, dtype=np.uint64) + np.uint64(band << 32)))
-        keys.append(key[~poor] if poor.sum() < lanes - apart else key)
+        keys.append(key[np.lexsort((key, -held))[: apart + 1]])
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
@@ -137,21 +131,23 @@ def similar_components(
     docs: DataFrame, *, width: int, num: int, den: int, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``key``, n_shingles and component_id (smallest id reachable by links of num/den or more)."""
-    spark = docs.sparkSession
+    spark = text_batches(docs)
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    sized = landed(spark, rows.mapInArrow(lambda it: _sizes(it, "text", width), "id long, n long, one long, two long"), "sizes")
+    work = Workspace(spark, "similar-documents")
+    sized = work.land(rows.mapInArrow(lambda it: _sizes(it, "text", width), "id long, n long, one long, two long"), "sizes")
     known = rows.filter("id is not null")
 
     keys = known.mapInArrow(lambda it: _keys(it, "text", width, num, den), "key long, id long")
-    groups = landed(spark, candidate_groups(keys), "groups")
+    groups = work.land(candidate_groups(keys), "groups")
     chosen = known.join(small_side(groups, groups.count()), "id").select("group", "id", "text")
-    links = verified_links(chosen.mapInArrow(lambda it: _members(it, "text", width), SETS), num, den)
+    links = verified_links(chosen.mapInArrow(lambda it: _members(it, "text", width), SETS), num, den, work)
 
     classes = sized.filter("n > 0 and id is not null")
     first = classes.groupBy("n", "one", "two").agg(F.min("id").alias("a"), F.count("*").alias("rows"))
     first = first.filter("rows > 1").drop("rows")
     copies = classes.join(first, ["n", "one", "two"]).select("a", F.col("id").alias("b"))
     found = connected_components(links.unionByName(copies))
+    work.drop("groups", "members")
     return sized.join(found, "id", "left").select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
     )

@@ -22,16 +22,18 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from bikeflow.llm.tables import table
+from bikeflow.llm.tables import table, text_batches
 from bikeflow.llm.token_counts import tokenizer_path
 
 MODEL = "byte_bpe_50k.json"
@@ -63,11 +65,9 @@ class Ids:
     """
 
     def __init__(self, path: str, ranks: str | None = None):
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
-        self.plain = None
+        self.path, self.plain = path, None
+        with open(path, encoding="utf-8") as f:
+            self.special = [t["content"] for t in json.load(f)["added_tokens"]]
         if ranks:
             import tiktoken
 
@@ -75,6 +75,12 @@ class Ids:
                 held = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, f)}
             self.plain = tiktoken.Encoding("plain", pat_str=WORDS, mergeable_ranks=held, special_tokens={})
 
+    @cached_property
+    def model(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def encode(self, text: str) -> bytes:
         if self.plain and PLAIN.fullmatch(text) and not any(s in text for s in self.special):
             ids = self.plain.encode_ordinary(text)
@@ -209,6 +215,7 @@ def pack(
     pool_tokens: int = POOL_TOKENS,
 ) -> DataFrame:
     """One row per piece: ``keys``, its place in the document and in its sequence, crc32 of its ids."""
+    text_batches(docs)
     docs = docs.select(*keys, text)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != text)
     packed = docs.mapInArrow(lambda it: _pack(it, text, model, ranks, window, tiers, step_group, pool_tokens), f"{kinds}, {SCHEMA}")

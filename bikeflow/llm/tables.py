@@ -11,6 +11,20 @@ from bikeflow.session import work_folder
 BROADCAST_ROWS = 1_000_000
 
 
+# Rows of texts that go to a Python worker at once. Spark's default of 10,000 lets a task hold 10,000
+# whole texts on both sides of the pipe; results do not depend on it.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_batches(docs: DataFrame) -> SparkSession:
+    """The frame's session, with batches small enough for whole texts."""
+    spark = docs.sparkSession
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+    return spark
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -25,6 +39,38 @@ def landed(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+class Workspace:
+    """A fresh shared folder for the intermediate tables of one operator."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.count = spark, work_folder(spark, name), 0
+        self.held: dict[str, list[str]] = {}
+
+    def land(self, frame: DataFrame, name: str) -> DataFrame:
+        self.count += 1
+        folder = f"{self.folder}/{name}-{self.count}"
+        frame.write.parquet(folder)
+        self.held.setdefault(name, []).append(folder)
+        return self.spark.read.schema(frame.schema).parquet(folder)
+
+    def drop(self, *names: str) -> None:
+        """Delete tables that no later result reads."""
+        for folder in (f for name in names for f in self.held.pop(name, [])):
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def packed(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The text and, as one column ``row``, all others: added columns then clash with none of them."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    return docs.select((F.struct(*rest) if rest else F.lit(None).cast("int")).alias("row"), F.col(f"`{text}`").alias("text"))
+
+
+def unpacked(rows: DataFrame, columns: list[str], text: str = "text") -> DataFrame:
+    """The columns that ``packed`` folded, in their order."""
+    return rows.select(*[F.col("text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in columns])
+
+
 def small_side(frame: DataFrame, rows: int) -> DataFrame:
     """Broadcast a key table of known size while it is below the bound, else shuffle it.
 

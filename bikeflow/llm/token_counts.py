@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bikeflow.llm.tables import table
+from bikeflow.llm.tables import table, text_batches
 from bikeflow.session import work_folder
 
 MODEL = "piece_bpe_32k.model"
@@ -84,7 +84,7 @@ def _stored(spark: SparkSession, store: str) -> DataFrame:
 
 def count_tokens(docs: DataFrame, store: str, *, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, n_bytes and n_tokens of each row; the store is extended with texts not yet in it."""
-    spark = docs.sparkSession
+    spark = text_batches(docs)
     with open(model, "rb") as f:
         version = hashlib.sha256(f.read()).hexdigest()
     content = F.coalesce(F.col(text), F.lit(""))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bikeflow.llm import textbytes as tb
-from bikeflow.llm.tables import in_fold, landed, small_side, table
+from bikeflow.llm.tables import in_fold, landed, small_side, table, text_batches
 
 ORDER = 6
 DISCOUNT = 0.75
@@ -252,7 +252,7 @@ def score_toxicity(
     docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic"
 ) -> DataFrame:
     """``key`` and score of every document; ``labels`` are the ids and classes to learn from."""
-    spark = docs.sparkSession
+    spark = text_batches(docs)
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     known = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull())
     known = known.groupBy(F.col(key).alias("id")).agg(F.max(F.col(label).cast("int")).alias("toxic"))
