@@ -38,6 +38,9 @@ SHARD_ROWS = 4096
 BLOCK_QUERIES = 512
 PAIRS_PER_TASK = 4
 LEAF = 64
+# A node whose net is larger has no structure at this scale that a bound could use: it stays a leaf.
+MOST_CHILDREN = 64
+LEAF_COLUMNS = 2048
 SHRINK = 0.7  # children cover with this share of their parent's radius
 
 TREE = "shard long, n long, centre array<double>, radius double, ids binary, vectors binary, width long"
@@ -67,6 +70,8 @@ def cover_tree(points: np.ndarray, rows: np.ndarray, radius: float | None = None
     nearest, place = apart.copy(), np.zeros(len(rows), np.int64)
     net = [int(np.argmin(apart))]
     while nearest.max() > reach:  # the farthest point becomes the next centre
+        if len(net) == MOST_CHILDREN:
+            return node
         k = int(np.argmax(nearest))
         distance = np.sqrt(((own - own[k]) ** 2).sum(axis=1))
         closer = distance < nearest
@@ -100,15 +105,27 @@ class Search:
         return float(np.maximum(self.scores[rows, -1], self.floor[rows]).min())
 
     def leaf(self, rows: np.ndarray, found: np.ndarray) -> None:
-        self.tested += len(rows) * len(found)
-        scores = self.queries[rows] @ self.data[found].T
-        ids = np.broadcast_to(self.data_ids[found], scores.shape)
-        scores = np.where(ids == self.query_ids[rows][:, None], -np.inf, scores)
-        scores = np.concatenate([self.scores[rows], scores], axis=1)
-        ids = np.concatenate([self.ids[rows], ids], axis=1)
-        order = np.lexsort((ids, -scores))[:, : self.k]
-        self.scores[rows] = np.take_along_axis(scores, order, 1)
-        self.ids[rows] = np.take_along_axis(ids, order, 1)
+        """Score every pair and keep each query's k best, ties by id."""
+        for at in range(0, len(found), LEAF_COLUMNS):
+            part = found[at : at + LEAF_COLUMNS]
+            self.tested += len(rows) * len(part)
+            scores, ids = self.queries[rows] @ self.data[part].T, self.data_ids[part]
+            scores[ids[None, :] == self.query_ids[rows][:, None]] = -np.inf
+            limit = np.maximum(self.scores[rows, -1], self.floor[rows])
+            if len(part) > self.k:
+                limit = np.maximum(limit, np.partition(scores, -self.k, axis=1)[:, -self.k])
+            who, column = np.nonzero((scores >= limit[:, None]) & (scores > -np.inf))
+            if not len(who):
+                continue
+            held = np.repeat(np.arange(len(rows)), self.k)
+            who_all = np.concatenate([held, who])
+            values = np.concatenate([self.scores[rows].ravel(), scores[who, column]])
+            names = np.concatenate([self.ids[rows].ravel(), ids[column]])
+            order = np.lexsort((names, -values, who_all))
+            place = np.arange(len(order)) - np.searchsorted(who_all[order], np.arange(len(rows)))[who_all[order]]
+            best = order[place < self.k]
+            self.scores[rows] = values[best].reshape(len(rows), self.k)
+            self.ids[rows] = names[best].reshape(len(rows), self.k)
 
     def walk(self, query: Node, nodes: list[Node]) -> None:
         centres = np.stack([n.centre for n in nodes])
