@@ -166,3 +166,82 @@ def test_licence_rules(spark):
     swapped = ". ".join(license_scan.SENTENCES[k] for k in ("mit-notice", "mit-grant", "as-is"))
     row = license_scan.scan_licenses(spark.createDataFrame([(swapped,)], "text string"), keys=[]).first()
     assert row.licenses == "" and row.sentence_ids == "mit-notice,mit-grant,as-is"
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE FOR ANY CLAIM.
+"""
+APACHE = """/*
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS.
+ */
+"""
+GPL = """# This program is free software{} you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation{} either version {} of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+ENDORSE = """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_wrapped_licence_texts(spark):
+    cases = [
+        (MIT, "MIT"),
+        (MIT.replace("\n", "\r\n"), "MIT"),
+        (APACHE, "Apache-2.0"),
+        (APACHE.replace("\n * ", " ").replace("\n *", " "), "Apache-2.0"),
+        (GPL.format(":", ",", 3), "GPL-3.0-or-later"),
+        (GPL.format(";", ";", 2), "GPL-2.0-or-later"),
+        (BSD, "BSD-2-Clause"),
+        (BSD + ENDORSE, "BSD-3-Clause"),
+        ("This project is licensed under the MIT License - see the LICENSE file for details.", "MIT"),
+        ("This project is licensed\nunder the MIT\nLicense.\n", "MIT"),
+        ("// SPDX-License-Identifier: LGPL-2.1-or-later\n#include <a.h>\n", "LGPL-2.1-or-later"),
+        ("SPDX-License-Identifier: MIT OR Apache-2.0", "MIT,Apache-2.0"),
+        ("Licensed under the GNU General Public License version 2\nor later.", "GPL-2.0-or-later"),
+        ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy", "MPL-2.0"),
+        ("Copyright 2020. Released under the MIT License. All rights reserved.", "MIT,proprietary"),
+        ("It is not\nreleased under the MIT license we think", ""),
+    ]
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(cases)], "doc_id long, text string")
+    found = {r.doc_id: r.licenses for r in license_scan.scan_licenses(docs, keys=["doc_id"]).collect()}
+    assert found == {k: want for k, (_, want) in enumerate(cases)}
