@@ -6,8 +6,9 @@ two words and a bucket of patterns per hashed suffix block. Documents are scanne
 per stride: a cursor that stands on a block which no pattern holds skips the whole stride; where the
 shift is zero the suffix bucket gives the patterns, and their words are compared one by one.
 
-Documents are not shuffled. The patterns of one scan are bounded (``max_pattern_words``); a larger
-benchmark is searched in several scans whose hits are united per document.
+Documents are not shuffled. The patterns of one set are bounded (``max_pattern_words``); a larger benchmark
+is several broadcast sets, which the one scan loads one behind the other for each group of texts, so the hits
+of all sets meet in the row's own task and rows are never regrouped by key.
 
 Defined cases: null texts and texts without words have no words, no hits and are not contaminated;
 null items, items without words and null item ids are no patterns; items with equal text are all
@@ -31,12 +32,12 @@ from bikeflow.llm.tables import packed, table, text_batches, unpacked
 WINDOW = 13
 CONTAMINATED_SHARE = 20  # n_hit * share >= n_words
 MAX_PATTERN_WORDS = 200_000
+GROUP_BYTES = 8 << 20  # of texts that are held while several pattern sets pass
 
 WORD_BYTES = tb.byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 _TABLE_BITS = 20
 _BLOCK = 2
-_SPANS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-_SCAN = "n_words long, n_hit long, hit_spans array<struct<first:long,last:long>>, items array<string>"
+_SCAN = "n_words long, n_hit long, items array<string>"
 
 
 def _words(text: str) -> list[bytes]:
@@ -109,38 +110,65 @@ def _keys(blocks: np.ndarray, block: int) -> np.ndarray:
     return (h >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
 
 
-def _scan(batches: Iterator[pa.RecordBatch], text: str, patterns: Patterns, spans: bool, with_text: bool):
+class _Slice:
+    """Words of some texts of a batch, and what was found in them."""
+
+    def __init__(self, row: int, past: int, data: np.ndarray, offsets: np.ndarray):
+        self.row, self.past, self.data = row, past, tb.LOWER[data]
+        self.starts, self.ends, self.before = tb.word_bounds(self.data, offsets, WORD_BYTES)
+        self.hashes = tb.span_hashes(self.data, self.starts, self.ends)
+        self.hit = np.zeros(len(self.starts) + 1, np.int64)
+
+    def spell(self, a: int, b: int) -> bytes:
+        return b" ".join(self.data[self.starts[i] : self.ends[i]].tobytes() for i in range(a, b))
+
+    def search(self, patterns: Patterns, items: list[set]) -> None:
+        found: dict[int, set] = {}
+        # One run for the whole slice; an occurrence across two texts is none.
+        for start, n, p in patterns.find(self.hashes, 0, self.spell):
+            doc = int(np.searchsorted(self.before, start, "right")) - 1
+            if start + n <= self.before[doc + 1]:
+                self.hit[start] += 1
+                self.hit[start + n] -= 1
+                found.setdefault(self.row + doc, set()).add((n, p))
+        for row, seen in found.items():
+            items[row].update(chain.from_iterable(patterns.items[n][p] for n, p in seen))
+
+
+def _groups(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches of about ``limit`` bytes together."""
+    held, size = [], 0
     for batch in batches:
-        n_words = np.zeros(batch.num_rows, np.int64)
-        n_hit = np.zeros(batch.num_rows, np.int64)
-        where: list = [[] for _ in range(batch.num_rows)]
-        items: list = [[] for _ in range(batch.num_rows)]
-        for row, past, data, offsets in tb.slices(batch.column(text)):
-            data = tb.LOWER[data]
-            starts, ends, before = tb.word_bounds(data, offsets, WORD_BYTES)
-            n_words[row:past] = np.diff(before)
-            hashes = tb.span_hashes(data, starts, ends)
-
-            def spell(a, b):
-                return b" ".join(data[starts[i] : ends[i]].tobytes() for i in range(a, b))
-
-            # One run for the whole slice; an occurrence across two texts is none.
-            hit = np.zeros(len(starts) + 1, np.int64)
-            for start, n, p in patterns.find(hashes, 0, spell):
-                doc = int(np.searchsorted(before, start, "right")) - 1
-                if start + n <= before[doc + 1]:
-                    hit[start] += 1
-                    hit[start + n] -= 1
-                    items[row + doc].append((n, p))
-                    if spans:
-                        where[row + doc].append({"first": start - int(before[doc]), "last": start - int(before[doc]) + n - 1})
-            covered = np.concatenate([[0], np.cumsum(np.cumsum(hit)[:-1] > 0)])
-            n_hit[row:past] = covered[before[1:]] - covered[before[:-1]]
-        named = [sorted(set(chain.from_iterable(patterns.items[n][p] for n, p in set(x)))) for x in items]
-        columns = [pa.array(n_words), pa.array(n_hit), pa.array(where, _SPANS), pa.array(named, pa.list_(pa.string()))]
-        names = [x for x in batch.schema.names if with_text or x != text]
-        kept = [batch.column(x) for x in names]
-        yield pa.RecordBatch.from_arrays([*kept, *columns], [*names, "n_words", "n_hit", "hit_spans", "items"])
+        held.append(batch)
+        size += batch.nbytes
+        if size >= limit:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _scan(batches: Iterator[pa.RecordBatch], text: str, sets: list, with_text: bool):
+    """Each text against all pattern sets; of several sets, one at a time is in memory."""
+    for group in _groups(batches, GROUP_BYTES if len(sets) > 1 else 0):
+        cut = [[_Slice(*x) for x in tb.slices(batch.column(text))] for batch in group]
+        items: list = [[set() for _ in range(batch.num_rows)] for batch in group]
+        for held in sets:
+            patterns = held.value if len(sets) == 1 else held.load_from_path(held._path)
+            for slices, found in zip(cut, items):
+                for s in slices:
+                    s.search(patterns, found)
+        for batch, slices, found in zip(group, cut, items):
+            n_words = np.zeros(batch.num_rows, np.int64)
+            n_hit = np.zeros(batch.num_rows, np.int64)
+            for s in slices:
+                n_words[s.row : s.past] = np.diff(s.before)
+                covered = np.concatenate([[0], np.cumsum(np.cumsum(s.hit)[:-1] > 0)])
+                n_hit[s.row : s.past] = covered[s.before[1:]] - covered[s.before[:-1]]
+            columns = [pa.array(n_words), pa.array(n_hit), pa.array([sorted(x) for x in found], pa.list_(pa.string()))]
+            names = [x for x in batch.schema.names if with_text or x != text]
+            kept = [batch.column(x) for x in names]
+            yield pa.RecordBatch.from_arrays([*kept, *columns], [*names, "n_words", "n_hit", "items"])
 
 
 def benchmark_hits(
@@ -155,9 +183,8 @@ def benchmark_hits(
     max_pattern_words: int = MAX_PATTERN_WORDS,
     with_text: bool = False,
 ) -> DataFrame:
-    """``keys`` of each document with n_words, n_hit and the sorted ids of the items that occur in it.
-
-    With more than ``max_pattern_words`` words in the benchmark, ``keys`` must identify a document.
+    """``keys`` of each document with n_words, n_hit and the sorted ids of the items that occur in it. ``max_pattern_words`` bounds a
+    pattern set, and does not change the result.
     """
     spark = text_batches(docs)
     wanted = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("item_text"))
@@ -167,27 +194,11 @@ def benchmark_hits(
     docs = docs.select(*keys, text)
     kept = [f for f in docs.schema.fields if with_text or f.name != text]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    scans = []
+    sets = []
     for shard in range(shards):
         part = wanted if shards == 1 else wanted.filter(F.pmod(F.xxhash64("item"), F.lit(shards)) == shard)
-        held = spark.sparkContext.broadcast(Patterns([(r[0], r[1]) for r in part.collect()], window))
-        scan = docs.mapInArrow(
-            lambda it, held=held: _scan(it, text, held.value, shards > 1, with_text), f"{kinds}, {_SCAN}"
-        )
-        scans.append(scan)
-    if shards == 1:
-        return scans[0].drop("hit_spans")
-    both = scans[0]
-    for scan in scans[1:]:
-        both = both.unionByName(scan)
-    keys = [f.name for f in kept]
-    found = both.groupBy(*keys).agg(
-        F.max("n_words").alias("n_words"),
-        F.flatten(F.collect_list("hit_spans")).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-    )
-    words = F.flatten(F.transform("spans", lambda s: F.sequence(s["first"], s["last"])))
-    return found.select(*keys, "n_words", F.size(F.array_distinct(words)).cast("long").alias("n_hit"), "items")
+        sets.append(spark.sparkContext.broadcast(Patterns([(r[0], r[1]) for r in part.collect()], window)))
+    return docs.mapInArrow(lambda it: _scan(it, text, sets, with_text), f"{kinds}, {_SCAN}")
 
 
 def contaminated():

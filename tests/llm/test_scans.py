@@ -59,6 +59,19 @@ def test_hits_equal_brute_force_for_any_pattern_length(spark):
         assert {r.doc_id: (r.n_words, r.n_hit, list(r["items"])) for r in got} == expected
 
 
+def test_rows_of_equal_and_null_ids_stay_apart_with_several_pattern_sets(spark):
+    rows = [(1, "one two three"), (1, "four five"), (None, "one two"), (None, "six"), (2, "one two three"), (2, "one two three")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    items = [(1, "one two"), (2, "two three"), (3, "five"), (4, "unseen words here")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = sorted((str(i), *brute_hits(t, items)) for i, t in rows)
+    for limit in (1_000_000, 1):
+        got = decontaminate.benchmark_hits(docs, benchmark, keys=["doc_id"], max_pattern_words=limit).collect()
+        assert sorted((str(r.doc_id), r.n_words, r.n_hit, list(r["items"])) for r in got) == want
+        kept = decontaminate.drop_contaminated(docs, benchmark, max_pattern_words=limit).collect()
+        assert [tuple(r) for r in kept] == [(None, "six")]
+
+
 def test_clashing_names_and_empty_tables(docs, empty, spark):
     benchmark = spark.createDataFrame([(1, "one")], "item_id long, text string")
     none = benchmark.limit(0)
