@@ -78,6 +78,11 @@ def test_samples_are_bounded_and_distinct(spark):
     assert language_id.language_samples(docs.limit(0)) == ()
 
 
+def test_a_language_gives_24_excerpts(spark):
+    docs = spark.createDataFrame([(k, f"text number {k} of many", "en") for k in range(500)], "doc_id long, text string, lang string")
+    assert [len(texts) for _, texts in language_id.language_samples(docs)] == [24]
+
+
 def test_toxicity_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     got = toxicity.op1_toxicity(spark, SF).join(labels, "doc_id").filter("held_out").select("score", "predicted", "toxic").toPandas()
