@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bikeflow.llm import decontaminate, language_id, license_scan, line_dedup, ngram_join, packing, token_counts, topk_search, toxicity, url_filter
+from bikeflow.llm import collocations, decontaminate, language_id, license_scan, line_dedup, ngram_join, packing, token_counts, topk_search, toxicity, url_filter
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": ngram_join.op8_ngram_jaccard_join,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_exact_topk_search": topk_search.op10_exact_topk_search,
+    "op13_phrase_collocations": collocations.op13_phrase_collocations,
 }
 
 SQL = {
@@ -23,4 +24,5 @@ SQL = {
     "op6_license_scans": license_scan.OP6_SQL,
     "op8_ngram_jaccard_join": ngram_join.OP8_SQL,
     "op10_exact_topk_search": topk_search.OP10_SQL,
+    "op13_phrase_collocations": collocations.OP13_SQL,
 }
