@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bikeflow.llm import collocations, decontaminate, language_id, license_scan, line_dedup, ngram_join, packing, token_counts, topk_search, toxicity, url_filter
+from bikeflow.llm import collocations, decontaminate, language_id, license_scan, line_dedup, ngram_join, packing, token_counts, token_files, topk_search, toxicity, url_filter, whitening
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_ngram_jaccard_join": ngram_join.op8_ngram_jaccard_join,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_exact_topk_search": topk_search.op10_exact_topk_search,
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
+    "op12_token_binary": token_files.op12_token_binary,
     "op13_phrase_collocations": collocations.op13_phrase_collocations,
 }
 
