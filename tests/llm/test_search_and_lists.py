@@ -9,18 +9,17 @@ from bikeflow.llm import license_scan, topk_search, url_filter
 
 
 def brute_top(rows, k):
-    usable = {}
+    usable = []
     for i, v in rows:
-        if i is not None and v and all(x is not None and np.isfinite(x) for x in v):
-            w = [int(np.floor(64 * float(np.float32(x)))) for x in v]
-            usable[i] = min(usable.get(i, w), w)
+        if v and all(x is not None and np.isfinite(x) for x in v):
+            usable.append((i, [int(np.floor(64 * float(np.float32(x)))) for x in v]))
     dot = lambda a, b: sum(x * y for x, y in zip(a, b))
     want = []
-    for q in usable:
-        if q % 20 == 0:
-            best = sorted(((-dot(usable[q], v), i) for i, v in usable.items() if i != q))[:k]
-            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
-    return sorted(want)
+    for at, (q, w) in enumerate(usable):
+        if q is not None and q % 20 == 0:
+            best = sorted((-dot(w, v), i is None, i or 0) for other, (i, v) in enumerate(usable) if other != at)[:k]
+            want += [(q, r + 1, None if none else i, -s) for r, (s, none, i) in enumerate(best)]
+    return sorted(want, key=repr)
 
 
 @pytest.mark.parametrize("kind", ["clustered", "random", "equal", "odd", "few"])
@@ -43,10 +42,30 @@ def test_top_k_equals_brute_force(spark, monkeypatch, kind):
         rows = [(i, rng.normal(size=4).tolist()) for i in range(60)]
         rows += [(60, None), (61, []), (62, [1.0, None, 2.0, 3.0]), (63, [float("nan")] * 4), (64, [float("inf"), 0.0, 0.0, 0.0])]
         rows += [(None, [1.0] * 4), (80, [1.0, 2.0]), (80, [0.5, 2.0]), (100, [1.0] * 6), (-20, [-1.0] * 4)]
+        # The ids of queries and of candidates on several rows, equal and not, and equal rows without an id.
+        rows += [(80, [1.0, 2.0]), (7, rows[7][1]), (7, [9.0] * 4), (7, [9.0] * 4), (40, rows[40][1]), (None, [1.0] * 4), (None, [9.0] * 4)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
     vectors = topk_search.integer_vectors(table, "vec_id", "embedding")
     got = topk_search.top_k(vectors, vectors.filter("id % 20 = 0"))
-    assert sorted(map(tuple, got.collect())) == brute_top(rows, topk_search.K)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_top(rows, topk_search.K)
+
+
+def test_repeated_ids_are_candidates(spark):
+    table = spark.createDataFrame([(20, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.5, 0.0])], "vec_id long, embedding array<float>")
+    vectors = topk_search.integer_vectors(table, "vec_id", "embedding")
+    got = topk_search.top_k(vectors, vectors.filter("id = 20")).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(1, 8192), (1, 4096), (2, 2048)]
+
+
+def test_groups_and_shards_are_pruned_where_vectors_have_structure(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "SHARD_ROWS", 100)
+    monkeypatch.setattr(topk_search, "BLOCK_QUERIES", 20)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(10, 12)) * 10
+    rows = [(i, (centres[i % 10] + rng.normal(size=12) * 0.1).tolist()) for i in range(2000)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    vectors = topk_search.integer_vectors(table, "vec_id", "embedding")
+    assert topk_search.explain_pruning(vectors, vectors.filter("id % 20 = 0")) > 0.5
 
 
 def test_no_vectors(spark):
@@ -72,11 +91,15 @@ def test_the_tree_covers_and_the_walk_prunes():
     tree = topk_search.cover_tree(points, np.arange(len(points)))
     check(tree)
     ids = np.arange(len(points))
-    queries = points[::20]
-    search = topk_search.Search(5, queries, ids[::20], points, ids, np.full(len(queries), -np.inf))
-    search.walk(topk_search.cover_tree(queries, np.arange(len(queries))), [tree])
+    queries, query_rows = points[::20], ids[::20]
+    order, nodes = topk_search.landed_tree(tree, points)
+    again = topk_search.opened_tree(nodes, points[order])
+    points, ids = points[order], ids[order]
+    check(again)
+    search = topk_search.Search(5, queries, query_rows, points, ids, ids, np.full(len(queries), -np.inf))
+    search.walk(topk_search.cover_tree(queries, np.arange(len(queries))), [again])
     scores = queries @ points.T
-    scores[np.arange(len(queries)), ids[::20]] = -np.inf
+    scores[query_rows[:, None] == ids[None, :]] = -np.inf
     assert np.allclose(np.sort(search.scores, axis=1), np.sort(scores, axis=1)[:, -5:])
     assert search.tested < 0.5 * scores.size
 
