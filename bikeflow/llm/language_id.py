@@ -6,7 +6,7 @@ times log2 of the sample's length per byte estimate the cross entropy; the langu
 estimate wins. A phrase does not cross the end of a block of 512 bytes, which lets numpy walk all
 blocks of many texts through all automata in step; every byte of every text is parsed.
 
-The sample is drawn evenly: per language the rows are counted, rows whose id hash falls below the
+The sample is drawn evenly: per language (the 500 with most rows) the rows are counted, rows whose id hash falls below the
 share that gives about twice the wanted number are fetched, and those of smallest hash are taken, one
 of each distinct text. Only that fetch, bounded by its share, comes to the driver.
 
@@ -18,18 +18,19 @@ letter is of it, with score 1; copies and repeated rows are predicted one by one
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bikeflow.llm import textbytes as tb
-from bikeflow.llm.tables import in_fold, packed, table, text_batches, unpacked
+from bikeflow.llm.tables import SharedArray, in_fold, packed, table, text_batches, unpacked
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 24  # per language
+LANGUAGES = 500  # that are learned: those with most labelled rows
 EXCERPT = 1500  # characters of a sampled row
 BLOCK = 512
 # A text whose two best languages are this close is in none of them.
@@ -86,7 +87,10 @@ def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
 
 
 class Parser:
-    """All languages' automata in one transition table."""
+    """All languages' automata in one transition table.
+
+    Built once. Tasks get it with the table left out, which they map from the shared file that ``publish`` wrote.
+    """
 
     def __init__(self, samples: tuple[tuple[str, tuple[str, ...]], ...]):
         self.langs = [lang for lang, _ in samples]
@@ -112,6 +116,16 @@ class Parser:
         first = [np.where(t[0] < 0, r, t[0]) for t, r in zip(tables, self.roots)]
         self.first = np.stack(first).astype(np.int32) if first else np.zeros((0, self.width), np.int32)
 
+    def publish(self, spark: SparkSession) -> Parser:
+        self.shared = SharedArray(spark, self.table, "automata")
+        return self
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "table": None}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state, table=state["shared"].open())
+
     def entropies(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Bits per byte of each text (rows) against each language (columns)."""
         sizes = np.diff(offsets)
@@ -136,46 +150,37 @@ class Parser:
         return (phrases * self.bits[:, None] / np.maximum(sizes, 1)).T
 
 
-def _predict(batches: Iterator[pa.RecordBatch], text: str, samples, with_text: bool) -> Iterator[pa.RecordBatch]:
-    parser = Parser(samples)
+def _verdicts(texts: pa.Array, parser: Parser) -> list[pa.Array]:
+    """Language and score of each text."""
     names = np.array([*parser.langs, UNKNOWN], object)
-    for batch in batches:
-        texts = batch.column(text)
-        best, score = np.full(len(texts), len(parser.langs)), np.zeros(len(texts))
-        if parser.langs:
-            for first, last, data, offsets in tb.slices(texts):
-                cost = parser.entropies(data, offsets)
-                order = np.argsort(cost, axis=1, kind="stable")
-                best[first:last] = order[:, 0]
-                if len(parser.langs) > 1:
-                    low, next_low = np.take_along_axis(cost, order[:, :2], 1).T
-                    score[first:last] = 1 - low / np.maximum(next_low, 1e-12)
-                else:
-                    score[first:last] = 1.0
-            for k, t in enumerate(texts):
-                t = t.as_py()
-                if not t or not _LETTER.search(t):
-                    best[k], score[k] = len(parser.langs), 0.0
-        kept = [c for c in batch.schema.names if with_text or c != text]
-        arrays = [batch.column(c) for c in kept]
-        yield pa.RecordBatch.from_arrays(
-            [*arrays, pa.array(names[best], pa.string()), pa.array(np.clip(score, 0, 1))], [*kept, "lang_pred", "score"]
-        )
+    best, score = np.full(len(texts), len(parser.langs)), np.zeros(len(texts))
+    if parser.langs:
+        for first, last, data, offsets in tb.slices(texts):
+            cost = parser.entropies(data, offsets)
+            order = np.argsort(cost, axis=1, kind="stable")
+            best[first:last] = order[:, 0]
+            if len(parser.langs) > 1:
+                low, next_low = np.take_along_axis(cost, order[:, :2], 1).T
+                score[first:last] = 1 - low / np.maximum(next_low, 1e-12)
+            else:
+                score[first:last] = 1.0
+        for k, t in enumerate(texts):
+            t = t.as_py()
+            if not t or not _LETTER.search(t):
+                best[k], score[k] = len(parser.langs), 0.0
+    return [pa.array(names[best], pa.string()), pa.array(np.clip(score, 0, 1))]
 
 
 def language_samples(labelled: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang"):
     """((language, excerpts), ...) of at most SAMPLE_ROWS excerpts each."""
     rows = labelled.filter(F.col(lang).isNotNull() & (F.col(text) != ""))
     rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(key).cast("string")).alias("draw"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return ()
-    limit = F.lit(None).cast("double")
-    for name, n in counts.items():
-        share = min(1.0, (2 * SAMPLE_ROWS + 10) / n)
-        limit = F.when(F.col("lang") == name, F.lit(float(-(2**63) + share * 2**64))).otherwise(limit)
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    share = F.least(F.lit(1.0), F.lit(2.0 * SAMPLE_ROWS + 10) / F.col("n"))
+    limits = counts.select("lang", (F.lit(-(2.0**63)) + share * 2.0**64).alias("limit"))
+    rows = rows.join(F.broadcast(limits), "lang")  # LANGUAGES rows at most
     room = F.greatest(F.char_length("text") - EXCERPT, F.lit(0)) + 1
-    drawn = rows.filter(F.col("draw") <= limit).select(
+    drawn = rows.filter("draw <= limit").select(
         "lang", "draw", F.substring("text", F.pmod("draw", room).cast("int") + 1, F.lit(EXCERPT)).alias("text")
     )
     held: dict[str, dict[str, None]] = {}
@@ -186,23 +191,31 @@ def language_samples(labelled: DataFrame, *, key: str = "doc_id", text: str = "t
     return tuple((name, tuple(held[name])) for name in sorted(held))
 
 
-def predict_language(
-    docs: DataFrame, samples, *, keys: list[str], text: str = "text", with_text: bool = False
-) -> DataFrame:
+def language_of(spark: SparkSession, samples) -> Callable[[Column], Column]:
+    """A column function from text to lang_pred and score. Texts go to Python, nothing but verdicts comes back."""
+    parser = Parser(samples).publish(spark)
+
+    def verdicts(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            yield pa.StructArray.from_arrays(_verdicts(batch, parser), ["lang_pred", "score"])
+
+    verdicts.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    # Not pushed below other steps, which would ask twice.
+    return F.arrow_udf(verdicts, "lang_pred string, score double").asNondeterministic()
+
+
+def predict_language(docs: DataFrame, samples, *, keys: list[str], text: str = "text") -> DataFrame:
     """``keys`` with lang_pred and score, the relative gap between the two best entropies."""
-    text_batches(docs)
-    docs = docs.select(*keys, text)
-    kept = [f for f in docs.schema.fields if with_text or f.name != text]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return docs.mapInArrow(
-        lambda it: _predict(it, text, samples, with_text), f"{kinds}, lang_pred string, score double"
-    )
+    verdict = language_of(text_batches(docs), samples)
+    return docs.select(*keys, verdict(F.col(text)).alias("verdict")).select(*keys, "verdict.lang_pred", "verdict.score")
 
 
 def keep_identified(docs: DataFrame, samples, *, min_score: float = MIN_SCORE) -> DataFrame:
     """The documents, all columns, that are in some known language."""
-    found = predict_language(packed(docs), samples, keys=["row"], with_text=True)
-    return unpacked(found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)), docs.columns)
+    verdict = language_of(text_batches(docs), samples)
+    found = packed(docs).withColumn("verdict", verdict(F.col("text")))
+    known = (F.col("verdict.lang_pred") != UNKNOWN) & (F.col("verdict.score") >= min_score)
+    return unpacked(found.filter(known), docs.columns)
 
 
 def held_out(doc_id):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,20 +13,60 @@ from bikeflow.session import work_folder
 BROADCAST_ROWS = 1_000_000
 
 
-# Rows of texts that go to a Python worker at once. Spark's default of 10,000 lets a task hold 10,000
-# whole texts on both sides of the pipe; results do not depend on it.
+# Rows and bytes of texts that go to a Python worker at once. Spark's default of 10,000 rows lets a task hold
+# 10,000 whole texts on both sides of the pipe; a text longer than the bytes is a batch of its own. Results do
+# not depend on either.
 BATCH_ROWS = 1_000
-_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_BYTES = 2 << 20
+_BATCH_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS,
+    "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES,
+}
 
 
 def text_batches(docs: DataFrame) -> SparkSession:
-    """The frame's session, with batches small enough for whole texts."""
+    """The frame's session, with batches small enough for whole texts.
+
+    Plans read the settings when they run, so they stay set; smaller ones of the caller's are left.
+    """
     spark = docs.sparkSession
-    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
-        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+    for name, most in _BATCH_SETTINGS.items():
+        if not 0 < int(spark.conf.get(name).rstrip("b")) <= most:
+            spark.conf.set(name, str(most))
     return spark
 
 
+def shared_place(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder's address, and the path in it, for files that tasks write or open themselves."""
+    if folder.startswith("file:"):
+        folder = "/" + folder.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(folder)
+
+
+def mapped(system: fs.FileSystem, path: str, kind) -> np.ndarray:
+    """The numbers of a file, mapped where it lies on a mounted disk, else fetched."""
+    if isinstance(system, fs.LocalFileSystem):
+        size = system.get_file_info(path).size
+        return np.memmap(path, kind, "r") if size else np.zeros(0, kind)
+    with system.open_input_file(path) as f:
+        return np.frombuffer(f.read(), kind)
+
+
+class SharedArray:
+    """Numbers in a shared file, which the workers of a machine map together instead of holding a copy each."""
+
+    def __init__(self, spark: SparkSession, numbers: np.ndarray, name: str):
+        self.folder, self.kind = work_folder(spark, name), numbers.dtype.str
+        system, path = shared_place(self.folder)
+        system.create_dir(path, recursive=True)
+        with system.open_output_stream(f"{path}/numbers") as out:
+            out.write(np.ascontiguousarray(numbers).tobytes())
+
+    def open(self) -> np.ndarray:
+        system, path = shared_place(self.folder)
+        return mapped(system, f"{path}/numbers", self.kind)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 

@@ -71,7 +71,7 @@ def _power_table(size: int, base: int) -> np.ndarray:
         steps = np.full(max(size, SLICE_BYTES + 1), base, np.uint64)
         steps[0] = 1
         held = np.multiply.accumulate(steps)
-        if size <= 4 * SLICE_BYTES:
+        if size <= SLICE_BYTES + 1:  # workers live on: what they keep is bounded
             _powers[base] = held
     return held[:size]
 

@@ -32,12 +32,11 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bikeflow.llm.tables import table, text_batches
+from bikeflow.llm.tables import mapped, shared_place, table, text_batches
 from bikeflow.llm.token_counts import tokenizer_path
 from bikeflow.session import work_folder
 
@@ -111,18 +110,13 @@ def id_kind(path: str) -> np.dtype:
     return np.dtype("<u2" if most < 1 << 16 else "<u4")
 
 
-def _place(folder: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a folder's address, and the path in it."""
-    return fs.FileSystem.from_uri(folder if "://" in folder or not folder.startswith("file:") else "file://" + folder.removeprefix("file:"))
-
-
 class _Shard:
     """Files of one shard while they are written, under a name of this attempt's own."""
 
     def __init__(self, folder: str, task: int, number: int):
         self.name = f"{task:06d}-{number:04d}-{uuid.uuid4().hex}"
         self.task, self.number = task, number
-        self.system, path = _place(folder)
+        self.system, path = shared_place(folder)
         self.path = f"{path}/{self.name}"
         self.out = self.system.open_output_stream(f"{self.path}.ids")
         self.offsets, self.keys, self.unnamed, self.tokens = [0], [], 0, 0
@@ -194,21 +188,12 @@ class TokenFiles:
         return rows.mapInArrow(lambda it: _read(it, folder, kind, with_ids), schema)
 
 
-def _mapped(system: fs.FileSystem, path: str, kind: str) -> np.ndarray:
-    """The numbers of a file, mapped where it lies on a mounted disk, else fetched."""
-    if isinstance(system, fs.LocalFileSystem):
-        size = system.get_file_info(path).size
-        return np.memmap(path, kind, "r") if size else np.zeros(0, kind)
-    with system.open_input_file(path) as f:
-        return np.frombuffer(f.read(), kind)
-
-
 class Shard:
     """One shard, opened for reading."""
 
     def __init__(self, folder: str, name: str, kind: str, unnamed: int = 0):
-        system, path = _place(folder)
-        self.ids, self.offsets, self.keys = (_mapped(system, f"{path}/{name}.{end}", k) for end, k in (("ids", kind), ("offsets", "<u8"), ("keys", "<i8")))
+        system, path = shared_place(folder)
+        self.ids, self.offsets, self.keys = (mapped(system, f"{path}/{name}.{end}", k) for end, k in (("ids", kind), ("offsets", "<u8"), ("keys", "<i8")))
         self.unnamed = unnamed
 
     def __len__(self) -> int:
@@ -255,7 +240,7 @@ def write_tokens(
 ) -> TokenFiles:
     """Encode ``docs`` into a fresh folder that all executors reach. ``shard_tokens`` bounds a file, not the result."""
     spark = text_batches(docs)
-    system, path = _place(folder)
+    system, path = shared_place(folder)
     system.create_dir(path, recursive=True)
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text"))
     rows = rows.withColumns({"tie": F.xxhash64("text"), "turn": F.monotonically_increasing_id()})

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from bikeflow.llm import token_files
+from bikeflow.llm import tables, token_files
 from bikeflow.llm.token_counts import tokenizer_path
 from bikeflow.session import work_folder
 
@@ -71,7 +71,7 @@ def test_shards_places_and_cases(spark, model):
         docs = docs.withColumn(clash, F.lit(1))
     folder = work_folder(spark, "token-files-test")
     files = token_files.write_tokens(docs, folder, model=PATH, shard_tokens=100)
-    (folder_system, path) = token_files._place(folder)
+    (folder_system, path) = tables.shared_place(folder)
     with folder_system.open_output_stream(f"{path}/000000-0000-left-by-a-lost-task.ids") as out:
         out.write(b"123")
     found = sorted(files.documents(with_ids=True).collect(), key=lambda r: r.start)
@@ -110,7 +110,7 @@ def test_one_id_on_most_rows_is_dealt_out(spark):
 def test_a_missing_or_cut_file_is_an_error(spark):
     folder = work_folder(spark, "token-files-test")
     files = token_files.write_tokens(spark.createDataFrame([(1, "a b c")], SCHEMA), folder, model=PATH)
-    system, path = token_files._place(folder)
+    system, path = tables.shared_place(folder)
     with system.open_output_stream(f"{path}/{files.manifest.first()['name']}.ids") as out:
         out.write(b"\1\0")
     with pytest.raises(Exception, match="manifest names"):
