@@ -1,5 +1,6 @@
 """Decontamination, token counts and packing against brute force, on awkward rows."""
 
+import random
 import re
 import zlib
 
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bikeflow.llm import decontaminate, packing, token_counts
+from bikeflow.session import work_folder
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -39,13 +41,11 @@ def brute_hits(text, items, window=13):
         for i in range(len(words) - n + 1) if n else ():
             if tuple(words[i : i + n]) in windows:
                 hit |= set(range(i, i + n))
-                found.add(str(item))
+                found |= {str(item)} - {"None"}
     return len(words), len(hit), sorted(found)
 
 
 def test_hits_equal_brute_force_for_any_pattern_length(spark):
-    import random
-
     rng = random.Random(5)
     vocabulary = ["a", "b", "C", "dé", "ñ", "e1", "f", "gg"]
     texts = [" ".join(rng.choices(vocabulary, k=rng.randint(0, 60))) for _ in range(60)] + TEXTS
@@ -53,7 +53,7 @@ def test_hits_equal_brute_force_for_any_pattern_length(spark):
     items += [(20, " ".join(texts[3].split()[:14])), (21, "... !"), (22, None), (None, "a"), (1, "b"), (30, "gg"), (31, "gg")]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    expected = {i: brute_hits(t, [x for x in items if x[0] is not None]) for i, t in enumerate(texts)}
+    expected = {i: brute_hits(t, items) for i, t in enumerate(texts)}
     for limit in (1_000_000, 5):
         got = decontaminate.benchmark_hits(docs, benchmark, keys=["doc_id"], max_pattern_words=limit).collect()
         assert {r.doc_id: (r.n_words, r.n_hit, list(r["items"])) for r in got} == expected
@@ -72,6 +72,30 @@ def test_rows_of_equal_and_null_ids_stay_apart_with_several_pattern_sets(spark):
         assert [tuple(r) for r in kept] == [(None, "six")]
 
 
+def test_an_item_without_an_id_is_a_pattern(spark):
+    words = " ".join(f"w{k}" for k in range(13))
+    benchmark = spark.createDataFrame([(None, words), (None, words), (4, "other words")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"a {words} b"), (2, "w0 w1")], "doc_id long, text string")
+    got = decontaminate.benchmark_hits(docs, benchmark, keys=["doc_id"]).orderBy("doc_id").collect()
+    assert [(r.n_words, r.n_hit, r["items"]) for r in got] == [(15, 13, []), (2, 0, [])]
+    assert [r.doc_id for r in decontaminate.drop_contaminated(docs, benchmark).collect()] == [2]
+
+
+def test_many_sets_find_what_one_does(spark):
+    """Twenty sets and more, built in tasks; none of them is sent to the driver."""
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(300)]
+    items = [(k % 90, " ".join(rng.choices(words, k=20))) for k in range(100)]
+    texts = [" ".join(rng.choices(words, k=50)) + " " + " ".join(rng.choice(items)[1].split()[3:18]) for _ in range(50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id long, text string").repartition(4)
+    folder = work_folder(spark, "patterns-test")
+    sets = decontaminate.pattern_sets(benchmark, folder, item="item_id", text="text", window=13, max_words=100)
+    assert len(sets) >= 15 and all(set(s) == {"name", "lengths", "blocks"} for s in sets)
+    got = {r.doc_id: tuple(r)[1:] for r in decontaminate.benchmark_hits(docs, benchmark, keys=["doc_id"], max_pattern_words=100).collect()}
+    assert got == {i: brute_hits(t, items) for i, t in enumerate(texts)}
+
+
 def test_clashing_names_and_empty_tables(docs, empty, spark):
     benchmark = spark.createDataFrame([(1, "one")], "item_id long, text string")
     none = benchmark.limit(0)
