@@ -99,3 +99,16 @@ def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         now = stage(spark, now, SF)
         assert now.count() == 0
+
+
+def test_columns_named_like_the_operators_own_pass_through_every_stage(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = ["n_dropped", "n_lines", "row", "numbers", "verdict", "hits", "n_words", "n_hit", "items", "lang_pred", "score", "id", "key", "group"]
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(k))
+    now = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, SF)
+        assert now.columns == docs.columns
+        assert [tuple(r) for r in now.select(*names).distinct().collect()] == [tuple(range(len(names)))]
+    assert corpus_pipeline.STAGES[-1][1](spark, now, SF).count()
