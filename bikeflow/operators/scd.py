@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 
 from bikeflow import constants as k
 from bikeflow.functions import text
-from bikeflow.operators.neighbours import value_slot, with_neighbours
-
-# Integer sequence values per slot: a day of epoch seconds.
-SEQUENCE_SLOT = 86_400
+from bikeflow.operators.neighbours import SPLIT, in_slots, rank_cuts, slot_window
 
 
 def latest_per_key(changes: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
@@ -33,41 +30,51 @@ def history(
     keys: Sequence[str],
     sequence: str,
     untracked: Sequence[str] = (),
-    slot_width: int = SEQUENCE_SLOT,
     unique: bool = False,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Validity ranges per key: a new range starts when a tracked column changes.
 
     Columns in ``untracked``, and the sequence itself, do not open a range; they show the
-    latest value within it. The open range has a NULL end. ``sequence`` must be an integer.
-    ``unique`` says that (keys, sequence) is unique already, which saves a shuffle.
+    latest value within it. The open range has a NULL end.
+    ``unique`` says that (keys, sequence) is unique already, which saves a shuffle. ``ranges``
+    is into how many shares hot keys are cut (see ``neighbours``).
+
+    One window compares each row with its neighbours; a second one, over the first and last rows of
+    ranges in the same slots, takes the end of each range to its start, with no further shuffle. Of a key that
+    is split, the last range of a slot may end in a later one: a row per slot and key meets those.
     """
+    keys = list(keys)
+    cuts = rank_cuts(changes, keys, [sequence], ranges)
     log = changes if unique else latest_per_key(changes, [*keys, sequence], sequence)
     loose = [c for c in log.columns if c in untracked or c == sequence]
     tracked = [c for c in log.columns if c not in keys and c not in loose]
-    slot = value_slot(sequence, slot_width)
 
     log = log.withColumns({"__state": F.struct(*tracked) if tracked else F.lit(0), "__seq": F.col(sequence)})
-    near = with_neighbours(
-        log, keys, ["__seq"], slot, carry=["__seq", "__state"], before="__prev", after="__next"
-    )
+    near = in_slots(log, keys, ["__seq"], ["__seq", "__state"], "__prev", "__next", cuts, ranges)
     opens = F.col("__prev").isNull() | ~F.col("__prev.__state").eqNullSafe(F.col("__state"))
     closes = F.col("__next").isNull() | ~F.col("__next.__state").eqNullSafe(F.col("__state"))
 
     # Only the first and last row of each range matter from here on.
-    marks = (
-        near.withColumns({"__opens": opens, "__closes": closes})
-        .filter("__opens or __closes")
-        .withColumn("__final", F.struct(*loose, F.col("__next.__seq").alias("__end")))
-        .drop("__prev", "__next", "__state")
-    )
-    paired = with_neighbours(marks, keys, ["__seq"], slot, carry=["__final"], after="__mate")
-    final = F.when(F.col("__closes"), F.col("__final")).otherwise(F.col("__mate.__final"))
-    ranges = paired.filter("__opens").withColumn("__final", final)
+    by_slot = slot_window(keys, ["__seq"])
+    final = F.struct(*loose, F.col("__next.__seq").alias("__end"))
+    marks = near.withColumns({"__opens": opens, "__closes": closes}).filter("__opens or __closes")
+    marks = marks.withColumn("__final", final).drop("__prev", "__next", "__state")
+    marks = marks.withColumns({"__mate": F.lead("__final").over(by_slot), "__turn": F.row_number().over(by_slot)})
+    whole = F.col("__closes") | F.col("__mate").isNotNull()
+    inside = marks.filter(F.col("__opens") & whole)
+
+    over = marks.filter(F.col(SPLIT) & ((F.col("__turn") == 1) | (F.col("__opens") & ~whole)))
+    by_key = Window.partitionBy(*keys).orderBy("__seq")
+    over = over.withColumns({"__first": F.col("__opens") & ~whole, "__mate": F.lead("__final").over(by_key)})
+    found = inside.unionByName(over.filter("__first").drop("__first"))
+
+    last = F.when(F.col("__closes"), F.col("__final")).otherwise(F.col("__mate"))
+    found = found.withColumn("__final", last)
     columns: list[Column] = [
         F.col(f"__final.{c}").alias(c) if c in loose else F.col(c) for c in changes.columns
     ]
-    return ranges.select(
+    return found.select(
         *columns, F.col("__seq").alias(k.START_AT), F.col("__final.__end").alias(k.END_AT)
     )
 

@@ -2,43 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bikeflow import constants as k
 from bikeflow import schemas
 from bikeflow.functions import text, times
-from bikeflow.operators.neighbours import time_slot, value_slot, with_neighbours
-
-READING_SLOT = 86_400
+from bikeflow.operators.neighbours import with_neighbours
 
 
 def next_event(
-    events: DataFrame, key: str, ts: str, tie: str, name: str = "next_ts", slot_seconds: int = 60
+    events: DataFrame, key: str, ts: str, tie: str, name: str = "next_ts", ranges: int | None = None
 ) -> DataFrame:
-    """Time of the following event of the same key.
-
-    Events may be any number per second, so the slots are short: they are what splits a hot key.
-    """
-    near = with_neighbours(
-        events, [key], [ts, tie], time_slot(ts, slot_seconds), carry=[ts], after="__next"
-    )
+    """Time of the following event of the same key."""
+    near = with_neighbours(events, [key], [ts, tie], carry=[ts], after="__next", ranges=ranges)
     return near.withColumn(name, F.col(f"__next.{ts}")).drop("__next")
 
 
-def consecutive_readings(readings: DataFrame, slot_width: int = READING_SLOT) -> DataFrame:
-    """Each reading with the next one of its bike in ``end`` (NULL for the last).
+def consecutive_readings(readings: DataFrame, ranges: int | None = None, also: Sequence[str] = ()) -> DataFrame:
+    """Each reading with the next one of its bike in ``end`` (NULL for the last), and more columns of both if asked for.
 
-    Readings must be unique per (rideable_id, last_updated), as the type 1 table keeps them:
-    then a slot of one day holds 86,400 readings of a bike at most.
+    Readings must be unique per (rideable_id, last_updated), as the type 1 table keeps them.
     """
-    usable = readings.select(*schemas.READING_COLUMNS).filter(
+    usable = readings.select(*schemas.READING_COLUMNS, *also).filter(
         "rideable_id is not null and last_updated is not null"
     )
-    carry = [c for c in schemas.READING_COLUMNS if c != "rideable_id"]
-    return with_neighbours(
-        usable, ["rideable_id"], ["last_updated"], value_slot("last_updated", slot_width), carry, after="end"
-    )
+    carry = [c for c in usable.columns if c != "rideable_id"]
+    return with_neighbours(usable, ["rideable_id"], ["last_updated"], carry, after="end", ranges=ranges)
 
 
 def moved(start: str = "", end: str = "end.") -> Column:
@@ -93,10 +85,10 @@ def trips_from_pairs(pairs: DataFrame, min_gap: int = k.MIN_TRIP_SECONDS, *extra
 
 
 def reconstruct_trips(
-    readings: DataFrame, min_gap: int = k.MIN_TRIP_SECONDS, slot_width: int = READING_SLOT
+    readings: DataFrame, min_gap: int = k.MIN_TRIP_SECONDS, ranges: int | None = None
 ) -> DataFrame:
-    """Trips of a whole telemetry table: one shuffle, no self-join."""
-    return trips_from_pairs(consecutive_readings(readings, slot_width), min_gap)
+    """Trips of a whole telemetry table: one shuffle of the readings, no self-join."""
+    return trips_from_pairs(consecutive_readings(readings, ranges), min_gap)
 
 
 def trips_against_stream(readings: DataFrame, arrivals: DataFrame, min_gap: int = k.MIN_TRIP_SECONDS) -> DataFrame:

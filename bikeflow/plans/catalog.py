@@ -30,21 +30,22 @@ from bikeflow.operators import (
     stations as station_ops,
     trips as trip_ops,
 )
-from bikeflow.operators.neighbours import value_slot, with_neighbours
+from bikeflow.operators.neighbours import with_neighbours
 from bikeflow.plans import mappings as m
 from bikeflow.plans.medallion import Medallion
 from bikeflow.session import pin_utc, work_folder
 from bikeflow.sources import files, streams
 from bikeflow.streaming.ingest import append_stream, each_batch
-from bikeflow.streaming.trips import extend_trips, join_arrivals, read_trips
+from bikeflow.streaming.trips import extend_trips, join_arrivals, read_trips, spans_around
 from bikeflow.streaming.upserts import upsert_history, upsert_latest
-from bikeflow.streaming.versioned import VersionedTable, key_bucket
+from bikeflow.streaming.partitions import MaterializedView, PartitionedTable, key_bucket, time_bucket
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Landing files that Spark writes for these queries.
 PART_FILES = "part-*"
+WEEK = 7 * 86_400
 
 
 def query(fn: Query) -> Query:
@@ -409,9 +410,7 @@ def scd1_repeated_snapshot(spark, sf):
 
 @query
 def scd2_history(spark, sf):
-    return scd.history(
-        m.order_changes(spark, sf), ["o_custkey"], "o_orderkey", ["o_totalprice"], slot_width=1 << 10
-    )
+    return scd.history(m.order_changes(spark, sf), ["o_custkey"], "o_orderkey", ["o_totalprice"])
 
 
 @query
@@ -423,7 +422,6 @@ def scd2_current(spark, sf):
         ["station_id"],
         "o_orderkey",
         ["o_totalprice"],
-        slot_width=1 << 10,
     )
     return scd.current_stations(ranges)
 
@@ -465,7 +463,8 @@ def _order_stream(spark: SparkSession, sf: str, folder: str) -> Iterator[DataFra
 @query
 def scd1_streaming(spark, sf):
     folder = work_folder(spark, "scd1")
-    target = VersionedTable(f"{folder}/latest", key_bucket("o_custkey", buckets=4), ["o_custkey"])
+    target = PartitionedTable(f"{folder}/latest", key_bucket("o_custkey", buckets=4), ["o_custkey"])
+    target.create(spark, m.order_changes(spark, sf).schema)
     step = upsert_latest(target, ["o_custkey"], "o_orderkey")
     for arriving in _order_stream(spark, sf, folder):
         each_batch(arriving, step, f"{folder}/checkpoint")
@@ -476,9 +475,9 @@ def scd1_streaming(spark, sf):
 def scd2_streaming(spark, sf):
     folder = work_folder(spark, "scd2")
     bucket = key_bucket("o_custkey", buckets=4)
-    log = VersionedTable(f"{folder}/log", bucket, ["o_custkey"])
-    ranges = VersionedTable(f"{folder}/ranges", bucket, ["o_custkey"])
-    step = upsert_history(log, ranges, ["o_custkey"], "o_orderkey", ["o_totalprice"], slot_width=1 << 10)
+    log = PartitionedTable(f"{folder}/log", bucket, ["o_custkey"])
+    ranges = PartitionedTable(f"{folder}/ranges", bucket, ["o_custkey"])
+    step = upsert_history(log, ranges, ["o_custkey"], "o_orderkey", ["o_totalprice"])
     for arriving in _order_stream(spark, sf, folder):
         each_batch(arriving, step, f"{folder}/checkpoint")
     return ranges.read(spark)
@@ -491,7 +490,8 @@ def trips_streaming(spark, sf):
     rows = enrich.enrich_telemetry(m.telemetry_bronze(m.table(spark, sf, "events")))
     first, last = rows.agg(F.min("last_updated"), F.max("last_updated")).first()
     third = F.floor((F.col("last_updated") - first) * 3 / (last - first + 1))
-    step = extend_trips(VersionedTable(f"{folder}/state"), f"{folder}/trips", f"{folder}/late")
+    state = PartitionedTable(f"{folder}/state", key_bucket("rideable_id", buckets=4), ["rideable_id"])
+    step = extend_trips(state, f"{folder}/trips", f"{folder}/late")
     for delivery in m.waves(rows, third, 3):
         delivery.write.mode("append").parquet(f"{folder}/readings")
         arriving = streams.stream_folder(spark, f"{folder}/readings", rows.schema)
@@ -504,9 +504,10 @@ def trips_streaming_late(spark, sf):
     """Telemetry in three deliveries in no order of time: trips are set right as late readings come."""
     folder = work_folder(spark, "late-trips")
     rows = m.readings(spark, sf)
-    table = VersionedTable(f"{folder}/telemetry", key_bucket("rideable_id", buckets=4), ["rideable_id"])
+    table = PartitionedTable(f"{folder}/telemetry", time_bucket("last_updated", WEEK), ["rideable_id"])
+    state = PartitionedTable(f"{folder}/state", key_bucket("rideable_id", buckets=4), ["rideable_id"])
     store = upsert_latest(table, ["rideable_id", "last_updated"], "last_updated")
-    step = extend_trips(VersionedTable(f"{folder}/state"), f"{folder}/trips", f"{folder}/late", table)
+    step = extend_trips(state, f"{folder}/trips", f"{folder}/late", spans_around(table))
     for delivery in m.waves(rows, m.scattered("ebike_time_id", 3), 3):
         delivery.write.mode("append").parquet(f"{folder}/readings")
         for name, work in (("table", store), ("trips", step)):
@@ -519,13 +520,15 @@ def trips_stream_static_join(spark, sf):
     """A stream of readings, in two deliveries, joined to the table as it grows: trips whose end is in the stream."""
     folder = work_folder(spark, "stream-static")
     readings = m.readings(spark, sf)
-    step = join_arrivals(lambda s: s.read.schema(readings.schema).parquet(f"{folder}/readings"), f"{folder}/trips")
-    # Whole bikes arrive together, so that no later reading falls between two that were joined.
-    for delivery in m.waves(readings, m.scattered("rideable_id", 2), 2):
+    table = PartitionedTable(f"{folder}/telemetry", time_bucket("last_updated", WEEK), ["rideable_id"])
+    store = upsert_latest(table, ["rideable_id", "last_updated"], "last_updated")
+    step = join_arrivals(spans_around(table), f"{folder}/trips")
+    # In no order of time: many a reading falls between two that were joined before.
+    for delivery in m.waves(readings, m.scattered("ebike_time_id", 2), 2):
         delivery.write.mode("append").parquet(f"{folder}/readings")
-        arriving = streams.stream_folder(spark, f"{folder}/readings", readings.schema)
-        each_batch(arriving, step, f"{folder}/checkpoint")
-    return spark.read.parquet(f"{folder}/trips").drop("batch")
+        for name, work in (("table", store), ("trips", step)):
+            each_batch(streams.stream_folder(spark, f"{folder}/readings", readings.schema), work, f"{folder}/{name}-checkpoint")
+    return read_trips(spark.read.parquet(f"{folder}/trips"))
 
 
 def _medallion(spark: SparkSession, sf: str) -> Medallion:
@@ -573,8 +576,7 @@ def medallion_rejects(spark, sf):
     count = F.count("*")
     lost = spark.read.parquet(f"{folder}/warehouse/bronze/{k.TELEMETRY_FEED}_rejects").agg(count.alias("broken"))
     bad = spark.read.parquet(f"{folder}/warehouse/silver/telemetry_rejects").agg(count.alias("keyless"))
-    rows = spark.read.schema(schemas.TELEMETRY_BRONZE).parquet(f"{folder}/warehouse/bronze/{k.TELEMETRY_FEED}")
-    kept = rows.agg(count.alias("rows"))
+    kept = tables.bronze(k.TELEMETRY_FEED).agg(count.alias("rows"))
     return lost.join(bad).join(kept).select("broken", "keyless", (F.col("rows") - F.col("keyless")).alias("kept"))
 
 
@@ -733,11 +735,11 @@ def cluster_layout(spark, sf):
 @query
 def materialized_view_refresh(spark, sf):
     """A recomputed view: a first version, then the one that readers see."""
-    view = VersionedTable(work_folder(spark, "view"))
+    view = MaterializedView(work_folder(spark, "view"))
     trip_rows = m.trips(spark, sf)
     counts = trip_rows.groupBy("pickup_station_id").agg(F.count("*").alias("trips"))
-    view.refresh(spark, counts.withColumn("trips", F.lit(0).cast("bigint")))
-    view.refresh(spark, counts)
+    view.refresh(counts.withColumn("trips", F.lit(0).cast("bigint")))
+    view.refresh(counts)
     return view.read(spark)
 
 
@@ -745,8 +747,7 @@ def materialized_view_refresh(spark, sf):
 def previous_and_next_order(spark, sf):
     """Both neighbours of each order of a customer."""
     near = with_neighbours(
-        m.order_changes(spark, sf), ["o_custkey"], ["o_orderkey"], value_slot("o_orderkey", 1 << 10),
-        carry=["o_orderkey"], before="prev", after="next",
+        m.order_changes(spark, sf), ["o_custkey"], ["o_orderkey"], carry=["o_orderkey"], before="prev", after="next"
     )
     return near.select(
         "o_custkey", "o_orderkey", F.col("prev.o_orderkey").alias("prev_key"), F.col("next.o_orderkey").alias("next_key")

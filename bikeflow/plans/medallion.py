@@ -12,18 +12,21 @@ from bikeflow import schemas
 from bikeflow.constants import END_AT, STATION_INFORMATION_FEED, STATION_STATUS_FEED, TELEMETRY_FEED
 from bikeflow.functions.udfs import great_circle_route
 from bikeflow.operators import distance, enrich, flatten, scd
+from bikeflow.operators.sinks import write_clustered
 from bikeflow.operators.stations import with_station_names
 from bikeflow.session import work_folder
 from bikeflow.sources.streams import stream_documents, stream_folder
-from bikeflow.streaming.ingest import each_batch
-from bikeflow.streaming.trips import extend_trips, read_trips
+from bikeflow.streaming.ingest import each_batch, merge_batches, read_batches
+from bikeflow.streaming.partitions import BUCKET, Folder, MaterializedView, PartitionedTable, key_bucket, own_bucket, time_bucket
+from bikeflow.streaming.trips import extend_trips, read_trips, spans_around
 from bikeflow.streaming.upserts import upsert_history, upsert_latest
-from bikeflow.streaming.versioned import VersionedTable, key_bucket, time_bucket
 
 # Text of documents that the reader could not take as they are.
 BROKEN = "document"
 
 UNTRACKED = ("timestamp_utc", "timestamp_local", "last_updated")
+NAMES = ("pickup_station_name", "dropoff_station_name")
+MATRIX_BUCKETS = 16
 
 
 @dataclass
@@ -32,7 +35,9 @@ class Medallion:
 
     Every step takes up what is new since its last run and can be run again at any time.
     ``glob`` selects the landing files; ``max_files`` bounds a micro-batch.
-    ``bucket_seconds`` is the time span that an upsert rewrites as a unit.
+    ``bucket_seconds`` is the time span that an upsert rewrites as a unit; ``history_buckets`` deals stations out by hash,
+    and without it every station has a partition of its own. Landing files that are done move below
+    ``archive``, if given. ``keep_batches`` is how many folders of micro-batches may stand before they are merged.
     """
 
     spark: SparkSession
@@ -42,27 +47,29 @@ class Medallion:
     max_files: int | None = 10_000
     zone: str | None = None
     bucket_seconds: int = 86_400
-    history_buckets: int = 64
+    history_buckets: int | None = None
+    bike_buckets: int = 64
+    archive: str | None = None
+    keep_batches: int = 32
 
     def __post_init__(self) -> None:
         span = time_bucket("last_updated", self.bucket_seconds)
-        by_station = key_bucket("station_id", buckets=self.history_buckets)
-        self.telemetry = VersionedTable(self._path("silver/telemetry"), span, ["rideable_id", "last_updated"])
-        self.status = VersionedTable(self._path("silver/station_status"), span, ["station_id", "last_updated"])
-        self.station_log = VersionedTable(self._path("silver/station_log"), by_station, ["station_id"])
-        self.station_history = VersionedTable(
-            self._path("silver/station_history"), by_station, ["station_id", END_AT]
-        )
-        self.current_stations = VersionedTable(self._path("gold/stations"))
-        self.last_readings = VersionedTable(self._path("gold/last_readings"))
-        self.matrix = VersionedTable(
-            self._path("gold/distance_matrix"), cluster_by=["source_station_id"], schema=schemas.DISTANCE_MATRIX
-        )
-        self.named_trips = VersionedTable(
-            self._path("gold/trips_with_names"),
-            cluster_by=["trip_start_time_local"],
-            together=F.to_date("trip_start_time_local"),
+        by_station = key_bucket("station_id", buckets=self.history_buckets) if self.history_buckets else own_bucket("station_id")
+        by_bike = key_bucket("rideable_id", buckets=self.bike_buckets)
+        by_source = key_bucket("source_station_id", buckets=MATRIX_BUCKETS)
+        self.telemetry = PartitionedTable(self._path("silver/telemetry"), span, ["rideable_id", "last_updated"])
+        self.status = PartitionedTable(self._path("silver/station_status"), span, ["station_id", "last_updated"])
+        self.station_log = PartitionedTable(self._path("silver/station_log"), by_station, ["station_id"])
+        self.station_history = PartitionedTable(self._path("silver/station_history"), by_station, ["station_id", END_AT])
+        self.current_stations = MaterializedView(self._path("gold/stations"))
+        self.last_readings = PartitionedTable(self._path("gold/last_readings"), by_bike, ["rideable_id"])
+        self.matrix = PartitionedTable(
+            self._path("gold/distance_matrix"), by_source, ["source_station_id"], schema=schemas.DISTANCE_MATRIX
         )
+        day = F.date_format("trip_start_time_local", "yyyy-MM-dd")
+        self.named_trips = PartitionedTable(self._path("gold/trips_with_names"), day, ["trip_start_time_local"])
+        # The stations that the named trips have their names from.
+        self.names_given = MaterializedView(self._path("gold/names_given"))
 
     def _path(self, name: str) -> str:
         return f"{self.warehouse.rstrip('/')}/{name}"
@@ -74,15 +81,15 @@ class Medallion:
 
     def _bronze(self, feed: str, station: str, flat: Callable[[DataFrame], DataFrame]) -> None:
         landed = f"{self.landing}/{feed}"
-        documents = stream_documents(self.spark, landed, self.glob, station, self.max_files, broken=BROKEN)
+        done = f"{self.archive.rstrip('/')}/{feed}" if self.archive else None
+        documents = stream_documents(self.spark, landed, self.glob, station, self.max_files, broken=BROKEN, archive=done)
         target, rejects = self._path(f"bronze/{feed}"), self._path(f"bronze/{feed}_rejects")
 
         def write(batch: DataFrame, batch_id: int) -> None:
             bad = batch.filter(F.col(BROKEN).isNotNull()).select("last_updated", BROKEN)
             bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
-            rows = flat(batch.filter(F.col(BROKEN).isNull()))
-            # Bronze is read in full by the next step: sorted where it is, not shuffled.
-            rows.sortWithinPartitions("station_id").write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+            # Files hold ranges of stations, which their statistics skip by.
+            write_clustered(flat(batch.filter(F.col(BROKEN).isNull())), f"{target}/batch={batch_id}", ["station_id"])
 
         each_batch(documents, write, self._checkpoint(f"bronze_{feed}"))
 
@@ -102,6 +109,10 @@ class Medallion:
         for feed in (TELEMETRY_FEED, STATION_INFORMATION_FEED, STATION_STATUS_FEED):
             self.ingest_feed(feed)
 
+    def bronze(self, feed: str) -> DataFrame:
+        """All rows of one feed so far."""
+        return read_batches(self.spark, self._path(f"bronze/{feed}"))
+
     # silver: keyed tables
 
     def upsert_telemetry(self) -> None:
@@ -141,20 +152,65 @@ class Medallion:
             self._bronze_stream(TELEMETRY_FEED, schemas.TELEMETRY_BRONZE), self.zone
         )
         step = extend_trips(
-            self.last_readings, self._path("gold/trips"), self._path("gold/late_readings"), self.telemetry
+            self.last_readings, self._path("gold/trips"), self._path("gold/late_readings"), spans_around(self.telemetry)
         )
         each_batch(rows, step, self._checkpoint("gold_trips"))
 
     def trips(self) -> DataFrame:
-        return read_trips(self.spark.read.parquet(self._path("gold/trips")))
+        return read_trips(read_batches(self.spark, self._path("gold/trips")))
 
-    def refresh_views(self) -> None:
-        """Recompute the current stations and the trips with names."""
-        self.current_stations.refresh(
-            self.spark, scd.current_stations(self.station_history.read(self.spark))
-        )
+    def refresh_stations(self) -> None:
+        """Recompute the current stations."""
+        self.current_stations.refresh(scd.current_stations(self.station_history.read(self.spark)))
+
+    def name_trips(self) -> None:
+        """Bring the trips with names up to date: new and withdrawn trips, and the trips of stations renamed since.
+
+        Only days that hold such trips are rewritten.
+        """
         stations = self.current_stations.read(self.spark)
-        self.named_trips.refresh(self.spark, with_station_names(self.trips(), stations))
+        given = self.names_given.read(self.spark)
+        if given is not None and self.named_trips.buckets(self.spark):
+            self._rename(stations, given)
+        self.names_given.refresh(stations.select("station_id", "name"))
+
+        folder = self._path("gold/trips")
+        if not Folder(self.spark, folder).names():
+            return
+        kind = F.regexp_extract("_metadata.file_path", "kind=([a-z]+)", 1).alias("kind")
+        schema = self.spark.read.parquet(folder).drop("batch", "kind").schema
+        rows = stream_folder(self.spark, folder, schema, max_files=self.max_files).select("*", kind)
+        each_batch(rows, lambda batch, number: self._add_named(batch, stations, number), self._checkpoint("gold_named"))
+
+    def _add_named(self, batch: DataFrame, stations: DataFrame, number: int) -> None:
+        gone = batch.filter("kind = 'withdrawn'").select("trip_id").distinct()
+        new = batch.filter("kind != 'withdrawn'").drop("kind").dropDuplicates(["trip_id"])
+        named = with_station_names(new, stations)
+        self.named_trips.create(self.spark, named.schema)
+
+        def change(stored: DataFrame, _: list[str]) -> DataFrame:
+            kept = stored.join(new.select("trip_id"), "trip_id", "left_anti").select(*named.columns)
+            return kept.unionByName(named).join(gone, "trip_id", "left_anti").select(*named.columns)
+
+        self.named_trips.merge(batch.drop("kind"), change, number)
+
+    def _rename(self, stations: DataFrame, given: DataFrame) -> None:
+        old = given.select("station_id", F.col("name").alias("old"), F.lit(True).alias("known"))
+        both = stations.select("station_id", "name").join(old, "station_id", "full")
+        changed = both.filter(F.col("known").isNull() | ~F.col("name").eqNullSafe(F.col("old"))).select("station_id")
+        if changed.isEmpty():
+            return
+        stored = self.named_trips.read(self.spark, named=True)
+        ends = (stored.select(BUCKET, F.col(f"{role}_station_id").alias("station_id")) for role in ("pickup", "dropoff"))
+        first, second = (rows.join(changed, "station_id", "left_semi").select(BUCKET).distinct() for rows in ends)
+        days = [r[0] for r in first.union(second).distinct().collect()]  # partitions of the table at most
+        if days:
+            self.named_trips.merge(stored.drop(BUCKET).limit(0), lambda kept, _: with_station_names(kept.drop(*NAMES), stations), "names", days)
+
+    def refresh_views(self) -> None:
+        """Bring the current stations and the trips with names up to date."""
+        self.refresh_stations()
+        self.name_trips()
 
     def extend_matrix(
         self,
@@ -162,12 +218,13 @@ class Medallion:
         tasks: int | None = None,
     ) -> DataFrame:
         """Add the new travelled station pairs to the distance matrix; returns failed pairs."""
-        known = self.matrix.read(self.spark)
+        known = self.matrix.create(self.spark).read(self.spark)
         answers = work_folder(self.spark, "routes")
         added, failed = distance.extend_matrix(
-            self.trips(), self.current_stations.read(self.spark), known, router, tasks, answers
+            self.named_trips.read(self.spark), self.current_stations.read(self.spark), known, router, tasks, answers
         )
-        self.matrix.refresh(self.spark, known.unionByName(added))
+        pair = ["source_station_id", "destination_station_id"]
+        self.matrix.merge(added, lambda stored, _: stored.join(added.select(*pair), pair, "left_anti").unionByName(added))
         return failed
 
     def tables(self) -> dict[str, DataFrame]:
@@ -188,11 +245,11 @@ class Medallion:
             if frame is not None:
                 frame.createOrReplaceTempView(name)
 
-    def expire(self, keep: int = 10) -> None:
-        """Remove table versions that ``keep`` newer ones have replaced."""
-        for table in vars(self).values():
-            if isinstance(table, VersionedTable):
-                table.expire(self.spark, keep)
+    def tidy(self) -> None:
+        """Merge the folders of micro-batches, which all streams of a run have taken up by its end."""
+        for feed in (TELEMETRY_FEED, STATION_INFORMATION_FEED, STATION_STATUS_FEED):
+            merge_batches(self.spark, self._path(f"bronze/{feed}"), self.keep_batches)
+        merge_batches(self.spark, self._path("gold/trips"), self.keep_batches, ["kind"])
 
     def run(self) -> DataFrame:
         """All steps once, in order, the distance matrix with the built-in route; returns the trips with station names."""
@@ -203,5 +260,5 @@ class Medallion:
         self.extend_trips()
         self.refresh_views()
         self.extend_matrix()
-        self.expire()
+        self.tidy()
         return self.named_trips.read(self.spark)

@@ -2,118 +2,206 @@
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bikeflow import constants as k
 from bikeflow import schemas
 from bikeflow.operators.enrich import split_rejects
+from bikeflow.operators.neighbours import with_neighbours
 from bikeflow.operators.scd import latest_per_key
-from bikeflow.operators.trips import consecutive_readings, trips_against_stream, trips_from_pairs
+from bikeflow.operators.trips import consecutive_readings, trips_from_pairs
 from bikeflow.streaming.ingest import BatchStep
-from bikeflow.streaming.versioned import VersionedTable
+from bikeflow.streaming.partitions import BUCKET, Folder, PartitionedTable
 
 KEYS = ("rideable_id", "last_updated")
 
-# Epochs of a trip's readings, kept beside the trips to find those that late readings fall into.
-START, END = "start_epoch", "end_epoch"
+# Readings around some arrived ones: (session, arrived) -> stored rows, the neighbours of each arrived row among them.
+LookUp = Callable[[SparkSession, DataFrame], DataFrame]
+
+
+def whole_table(readings: Callable[[SparkSession], DataFrame]) -> LookUp:
+    """Look up the bikes that arrived in all of a table."""
+
+    def look_up(spark: SparkSession, arrived: DataFrame) -> DataFrame:
+        bikes = arrived.select("rideable_id").distinct()
+        return readings(spark).select(*schemas.READING_COLUMNS).join(bikes, "rideable_id", "left_semi")
+
+    return look_up
+
+
+def spans_around(table: PartitionedTable, opened: list | None = None) -> LookUp:
+    """Look up readings in the partitions of a table by ``time_bucket("last_updated")`` that hold neighbours.
+
+    A neighbour is nearly always in the span of the reading or in one next to it, and these are opened. For readings that
+    have none there on a side, the bike's other spans are found from two columns of the rest of the table, and the nearest of
+    them are opened as well. ``opened`` collects the names of the partitions read in full.
+    """
+
+    def look_up(spark: SparkSession, arrived: DataFrame) -> DataFrame:
+        names = table.buckets(spark)
+        at = arrived.select("rideable_id", "last_updated").distinct().withColumn("span", table.bucket)
+        spans = {r.span for r in at.select("span").distinct().collect()}  # as many as there are partitions at most
+        near = {n for span in spans for n in _beside(names, span)}
+
+        # Who lacks a neighbour in its own span and the ones beside it?
+        bikes = at.select("rideable_id").distinct()
+        times = table.read(spark, near, named=True).select("rideable_id", "last_updated", F.col(BUCKET).alias("span"))
+        times = times.join(bikes, "rideable_id", "left_semi").unionByName(at.select("rideable_id", "last_updated", "span")).distinct()
+        pairs = with_neighbours(times, ["rideable_id"], ["last_updated"], ["span"], "before", "after")
+        beside = _neighbour_spans(spark, names, spans)
+        lone = pairs.join(at, ["rideable_id", "last_updated"], "left_semi").join(F.broadcast(beside), "span")
+        lone = lone.select(
+            "rideable_id", "span",
+            (F.col("low").isNotNull() & (F.col("before").isNull() | (F.col("before.span") < F.col("low")))).alias("back"),
+            (F.col("high").isNotNull() & (F.col("after").isNull() | (F.col("after.span") > F.col("high")))).alias("on"),
+        ).filter("back or on").groupBy("rideable_id", "span").agg(F.max("back").alias("back"), F.max("on").alias("on"))
+
+        # Where else are those bikes? A row per bike and partition at most.
+        rest = [n for n in names if n not in near]
+        far = set()
+        if rest and not lone.isEmpty():
+            held = table.read(spark, rest, named=True).select("rideable_id", F.col(BUCKET).alias("span"))
+            held = held.join(lone.select("rideable_id").distinct(), "rideable_id", "left_semi").distinct()
+            held = held.withColumns({"held": F.col("span"), "back": F.lit(False), "on": F.lit(False)})
+            order = Window.partitionBy("rideable_id").orderBy("span")
+            rows = held.unionByName(lone.withColumn("held", F.lit(None).cast("string")))
+            rows = rows.withColumns({
+                "low": F.last("held", True).over(order.rowsBetween(Window.unboundedPreceding, -1)),
+                "high": F.first("held", True).over(order.rowsBetween(1, Window.unboundedFollowing)),
+            })
+            wanted = rows.select(F.explode(F.array(F.when(F.col("back"), F.col("low")), F.when(F.col("on"), F.col("high")))).alias("span"))
+            far = {r.span for r in wanted.filter("span is not null").distinct().collect()}
+        if opened is not None:
+            opened.extend(sorted(near | far))
+        return table.read(spark, near | far).select(*schemas.READING_COLUMNS).join(bikes, "rideable_id", "left_semi")
+
+    return look_up
+
+
+def _beside(names: list[str], span: str) -> list[str]:
+    """A partition, if there, and the ones before and behind it."""
+    low, high = bisect.bisect_left(names, span), bisect.bisect_right(names, span)
+    return names[max(0, low - 1) : high + 1]
+
+
+def _neighbour_spans(spark: SparkSession, names: list[str], spans: set[str]) -> DataFrame:
+    """(span, low, high): the partitions beside each span; null where the table ends there."""
+    rows = []
+    for span in spans:
+        low, high = bisect.bisect_left(names, span), bisect.bisect_right(names, span)
+        rows.append((span, names[low - 1] if low else None, names[high] if high < len(names) else None))
+    return spark.createDataFrame(rows, "span string, low string, high string")
+
+
+def settle(arrived: DataFrame, around: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs that begin or end with an arrived reading, pairs that were adjacent before it came between).
+
+    ``around`` holds stored readings, with the neighbours of the arrived ones; the arrived may be among them.
+    """
+    fresh = latest_per_key(arrived.select(*schemas.READING_COLUMNS), KEYS, "last_updated").withColumn("late", F.lit(True))
+    old = around.select(*schemas.READING_COLUMNS).join(fresh, list(KEYS), "left_anti").withColumn("late", F.lit(False))
+    pairs = consecutive_readings(old.unionByName(fresh), also=["late"])
+    added = pairs.filter(F.col("late") | F.col("end.late"))
+    # What an arrived reading is followed by was adjacent to what precedes it.
+    broken = added.filter("not late").select("rideable_id", "last_updated").distinct()
+    before = consecutive_readings(old, also=["late"]).join(broken, list(KEYS), "left_semi")
+    return added, before.filter("end is not null")
 
 
 def extend_trips(
-    state: VersionedTable,
+    state: PartitionedTable,
     trips: str,
     late: str,
-    readings: VersionedTable | None = None,
+    look_up: LookUp | None = None,
     min_gap: int = k.MIN_TRIP_SECONDS,
+    rejects: str | None = None,
 ) -> BatchStep:
     """Step that appends the trips which the readings of a micro-batch complete.
 
-    ``state`` holds the last reading of each bike: a row per bike, however long the history.
-    The batch is chained behind it by the batch form of trip reconstruction, so a bike with
-    most of the rows is spread over tasks here as well.
+    ``state`` holds the last reading of each bike: a row per bike, however long the history, in partitions of
+    which a batch rewrites those of its bikes. The batch is chained behind it by the batch form of trip
+    reconstruction, so a bike with most of the rows is spread over tasks here as well. What a batch is compared with lands
+    before the state moves on, so a repeated batch compares with the same.
 
-    Readings behind the state are written to ``late``. When the telemetry table, which holds
-    them by then, is given as ``readings``, trips are set right: those that span a late reading
-    are withdrawn, and those that begin or end with one are added. Only bikes with late
-    readings are looked up. A pair of readings with another between them is never a trip
-    again, so a withdrawal holds for good.
+    Readings behind the state are written to ``late``. With ``look_up`` into the telemetry table, which holds
+    them by then, trips are set right: those that span a late reading are withdrawn, and those that begin or
+    end with one are added. A pair of readings with another between them is never a trip again, so a withdrawal
+    holds for good. Readings with a NULL key go to the ``rejects`` folder, if any.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        good, _ = split_rejects(batch.select(*schemas.READING_COLUMNS), KEYS)
+        good, bad = split_rejects(batch.select(*schemas.READING_COLUMNS), KEYS)
+        if rejects:
+            bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
         fresh = latest_per_key(good, KEYS, "last_updated")
-        last = state.read(spark, before=batch_id, schema=fresh.schema)
-        if last is None:
-            placed = fresh.withColumn("seen", F.lit(None).cast("bigint")).persist()
-        else:
-            seen = last.select("rideable_id", F.col("last_updated").alias("seen"))
-            placed = fresh.join(seen, "rideable_id", "left").persist()
-        try:
-            chain = placed.filter("seen is null or last_updated > seen").drop("seen")
-            if last is not None:
-                chain = chain.unionByName(last)
-            _write_trips(consecutive_readings(chain), f"{trips}/batch={batch_id}/kind=ahead", min_gap)
-            state.write(latest_per_key(chain, ["rideable_id"], "last_updated"), batch_id)
-            if last is None:
-                return
-            behind = placed.filter("last_updated < seen").drop("seen")
-            behind.write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
-        finally:
-            placed.unpersist()
-        if readings is None:
+        placed = _placed(state, fresh, f"{late}/_placed", batch_id)
+        ahead = placed.filter("last is null or last_updated > last.last_updated")
+        known = placed.filter("last is not null").select("rideable_id", "last.*").distinct()
+        chain = ahead.drop("last").unionByName(known)
+        _write_trips(consecutive_readings(chain), f"{trips}/batch={batch_id}/kind=ahead", min_gap)
+        newest = latest_per_key(ahead.drop("last"), ["rideable_id"], "last_updated")
+        state.merge(newest, lambda stored, _: latest_per_key(newest.unionByName(stored), ["rideable_id"], "last_updated"), batch_id)
+
+        behind = placed.filter("last_updated < last.last_updated").drop("last")
+        if behind.isEmpty():
+            return
+        behind.write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
+        if look_up is None:
             return
         arrived = spark.read.schema(behind.schema).parquet(f"{late}/batch={batch_id}")
-        if not arrived.isEmpty():
-            spanning = spanning_trips(spark.read.parquet(trips), arrived)
-            spanning.write.mode("overwrite").parquet(f"{trips}/batch={batch_id}/kind=withdrawn")
-            pairs = late_pairs(arrived, readings.read(spark))
-            _write_trips(pairs, f"{trips}/batch={batch_id}/kind=late", min_gap)
+        _write_settled(*settle(arrived, look_up(spark, arrived)), f"{trips}/batch={batch_id}", min_gap)
 
     return step
 
 
-def join_arrivals(readings: Callable[[SparkSession], DataFrame], trips: str) -> BatchStep:
-    """Step that joins a micro-batch of readings, as trip ends, to the table as it is at that time.
-
-    ``readings`` opens the table; only the bikes that arrive are windowed.
+def _placed(state: PartitionedTable, fresh: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    """The batch with the last reading of each bike before it (``last``), landed once per batch."""
+    spark = fresh.sparkSession
+    state.create(spark, fresh.schema)
+    names = sorted(r[0] for r in fresh.select(state.bucket).distinct().collect())
+    rest = [c for c in schemas.READING_COLUMNS if c != "rideable_id"]
+    last = state.read(spark, names).select("rideable_id", F.struct(*rest).alias("last"))
+    placed = fresh.join(last, "rideable_id", "left")
+    work, mark = Folder(spark, folder), f"batch={batch_id}.done"
+    print_of = fresh.agg(F.count("*"), F.sum(F.xxhash64(*fresh.columns).cast("decimal(38,0)")).cast("string")).first()
+    if work.get(mark) != list(print_of):
+        work.delete(mark)
+        placed.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        work.put(mark, list(print_of))
+    for name in work.names():
+        if not name.startswith(f"batch={batch_id}"):
+            work.delete(name)
+    return spark.read.schema(placed.schema).parquet(f"{folder}/batch={batch_id}")
+
+
+def join_arrivals(look_up: LookUp, trips: str, min_gap: int = k.MIN_TRIP_SECONDS) -> BatchStep:
+    """Step that joins a micro-batch of readings, in any order, to the table that holds them by then.
+
+    Trips that begin or end with an arrived reading are added, those that it falls into are withdrawn: the static side is
+    looked up around the arrivals only.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        bikes = batch.select("rideable_id").distinct()
-        stored = readings(batch.sparkSession).join(bikes, "rideable_id", "left_semi")
-        trips_against_stream(stored, batch).write.mode("overwrite").parquet(f"{trips}/batch={batch_id}")
+        arrived, _ = split_rejects(batch.select(*schemas.READING_COLUMNS), KEYS)
+        added, before = settle(arrived, look_up(batch.sparkSession, arrived))
+        _write_settled(added, before, f"{trips}/batch={batch_id}", min_gap)
 
     return step
 
 
-def _write_trips(pairs: DataFrame, folder: str, min_gap: int) -> None:
-    ends = F.col("last_updated").alias(START), F.col("end.last_updated").alias(END)
-    rows = trips_from_pairs(pairs, min_gap, *ends)
-    rows.sortWithinPartitions("trip_start_time_local", "pickup_station_id").write.mode("overwrite").parquet(folder)
+def _write_settled(added: DataFrame, before: DataFrame, folder: str, min_gap: int) -> None:
+    _write_trips(before, f"{folder}/kind=withdrawn", min_gap)
+    _write_trips(added, f"{folder}/kind=late", min_gap)
 
 
-def late_pairs(arrived: DataFrame, stored: DataFrame) -> DataFrame:
-    """Late readings with the stored readings just before and just behind each of them."""
-    bikes = arrived.select("rideable_id").distinct()
-    around = stored.select(*schemas.READING_COLUMNS).join(bikes, "rideable_id", "left_semi")
-    known = latest_per_key(around.unionByName(arrived), KEYS, "last_updated")
-    pairs = consecutive_readings(known)
-    ends = arrived.select(F.col("rideable_id"), F.col("last_updated").alias("late_at")).distinct()
-    met = (pairs["rideable_id"] == ends["rideable_id"]) & (
-        (F.col("end.last_updated") == F.col("late_at")) | (pairs["last_updated"] == F.col("late_at"))
-    )
-    return pairs.join(ends, met, "left_semi")
-
-
-def spanning_trips(trips: DataFrame, arrived: DataFrame) -> DataFrame:
-    """Trips written so far that a late reading of their bike falls into."""
-    written = trips.filter("kind != 'withdrawn'").drop("batch", "kind")
-    late = arrived.select(F.col("rideable_id").alias("late_bike"), F.col("last_updated").alias("late_at")).distinct()
-    within = (F.col("late_at") > F.col(START)) & (F.col("late_at") < F.col(END))
-    return written.join(late, (F.col("rideable_id") == F.col("late_bike")) & within, "left_semi")
+def _write_trips(pairs: DataFrame, folder: str, min_gap: int) -> None:
+    rows = trips_from_pairs(pairs, min_gap)
+    rows.sortWithinPartitions("trip_start_time_local", "pickup_station_id").write.mode("overwrite").parquet(folder)
 
 
 def read_trips(trips: DataFrame) -> DataFrame:
@@ -124,7 +212,7 @@ def read_trips(trips: DataFrame) -> DataFrame:
     few, and only they are compared with the rest.
     """
     gone = trips.filter("kind = 'withdrawn'").select("trip_id")
-    ahead = trips.filter("kind = 'ahead'").drop("batch", "kind", START, END)
-    late = trips.filter("kind = 'late'").drop("batch", "kind", START, END).dropDuplicates(["trip_id"])
+    ahead = trips.filter("kind = 'ahead'").drop("batch", "kind")
+    late = trips.filter("kind = 'late'").drop("batch", "kind").dropDuplicates(["trip_id"])
     again = ahead.select("trip_id").join(late.select("trip_id"), "trip_id", "left_semi")
     return ahead.unionByName(late.join(again, "trip_id", "left_anti")).join(gone, "trip_id", "left_anti")

@@ -1,7 +1,7 @@
 """Keyed upserts per micro-batch: type 1 tables and type 2 histories.
 
 Order is settled by the sequence column, never by arrival, so late and repeated rows end up
-where they belong. Only the buckets that a batch falls in are read and rewritten.
+where they belong. Only the partitions that a batch falls in are read and rewritten.
 """
 
 from __future__ import annotations
@@ -11,68 +11,61 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from bikeflow.operators.enrich import split_rejects
-from bikeflow.operators.scd import SEQUENCE_SLOT, history, latest_per_key
+from bikeflow.operators.scd import history, latest_per_key
 from bikeflow.streaming.ingest import BatchStep
-from bikeflow.streaming.versioned import VersionedTable
-
-
-def _merge(table: VersionedTable, batch: DataFrame, version: int, keys: Sequence[str], sequence: str) -> list[str]:
-    """Upsert ``batch`` and return the touched buckets. The stored side is older than ``version``."""
-    spark = batch.sparkSession
-    touched = table.touched(batch)
-    if not touched:
-        return touched
-    stored = table.read(spark, before=version, buckets=touched, schema=batch.schema)
-    rows = batch if stored is None else batch.unionByName(stored)
-    table.write(latest_per_key(rows, keys, sequence), version)
-    return touched
+from bikeflow.streaming.partitions import PartitionedTable
 
 
 def upsert_latest(
-    table: VersionedTable, keys: Sequence[str], sequence: str, rejects: str | None = None
+    table: PartitionedTable, keys: Sequence[str], sequence: str, rejects: str | None = None
 ) -> BatchStep:
     """Type 1 step: one row per key. Rows with a NULL key go to the ``rejects`` folder, if any."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            good, bad = split_rejects(batch, keys)
-            if rejects:
-                bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
-            _merge(table, good, batch_id, keys, sequence)
-        finally:
-            batch.unpersist()
+        good, bad = split_rejects(batch, keys)
+        if rejects:
+            bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+        # A key arrives once, however often the batch holds it.
+        fresh = latest_per_key(good, keys, sequence)
+        table.merge(fresh, lambda stored, _: latest_per_key(fresh.unionByName(stored), keys, sequence), batch_id)
 
     return step
 
 
 def upsert_history(
-    log: VersionedTable,
-    ranges: VersionedTable,
+    log: PartitionedTable,
+    ranges: PartitionedTable,
     keys: Sequence[str],
     sequence: str,
     untracked: Sequence[str] = (),
-    slot_width: int = SEQUENCE_SLOT,
     rejects: str | None = None,
 ) -> BatchStep:
-    """Type 2 step: keep the change log, and rebuild the ranges of the touched buckets from it.
+    """Type 2 step: keep the change log, and set the ranges right of the keys that changed.
 
-    A late row can split or merge ranges; the log holds what is needed to get them right. Rows with
-    a NULL key or sequence go to the ``rejects`` folder, if any.
+    A late row can split, extend or join ranges, and where a split range goes on is known to the log only; so
+    the ranges of a changed key come from its log, and those of all other keys pass as they are. Log
+    and ranges have the same partitions. Rows with a NULL key or sequence go to the ``rejects`` folder, if any.
     """
+    keys = list(keys)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.persist()
-        try:
-            good, bad = split_rejects(batch, [*keys, sequence])
-            if rejects:
-                bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
-            touched = _merge(log, good, batch_id, [*keys, sequence], sequence)
-        finally:
-            batch.unpersist()
-        if touched:
-            changes = log.read(spark, before=batch_id + 1, buckets=touched, schema=batch.schema)
-            ranges.write(history(changes, keys, sequence, untracked, slot_width, unique=True), batch_id)
+        good, bad = split_rejects(batch, [*keys, sequence])
+        if rejects:
+            bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+        entry = [*keys, sequence]
+        fresh = latest_per_key(good, entry, sequence)
+        touched = log.merge(fresh, lambda stored, _: latest_per_key(fresh.unionByName(stored), entry, sequence), batch_id)
+        if not touched:
+            return
+        changed = good.select(*keys).distinct()
+        mine = log.read(spark, touched).join(changed, keys, "left_semi")
+        new = history(mine, keys, sequence, untracked, unique=True)
+        ranges.create(spark, new.schema)
+
+        def settled(stored: DataFrame, _: list[str]) -> DataFrame:
+            return new.unionByName(stored.join(changed, keys, "left_anti"))
+
+        ranges.merge(changed, settled, batch_id)
 
     return step

@@ -2,7 +2,12 @@ import json
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from bikeflow.plans.medallion import Medallion
+from bikeflow.sources.streams import stream_folder
+from bikeflow.streaming.ingest import each_batch, merge_batches, read_batches
+from bikeflow.streaming.partitions import Folder
 
 
 def land(folder, feed, name, stations, at):
@@ -69,7 +74,7 @@ def test_incremental_runs(spark, tmp_path, tables):
     assert tables.matrix.read(spark).count() == 2
     tables.register_views()
     assert spark.sql("SELECT count(*) FROM trips JOIN stations ON pickup_station_id = station_id").first()[0] == 2
-    tables.expire(keep=2)
+    tables.tidy()
     assert tables.matrix.read(spark).count() == 2 and tables.telemetry.read(spark).count() == 6
 
 
@@ -98,3 +103,91 @@ def test_bad_documents_do_not_stop_the_run(spark, tmp_path, tables):
     assert rejects.count() == 1
     broken = spark.read.parquet(str(tmp_path / "warehouse/bronze/ebikes_at_station_rejects"))
     assert [r.document for r in broken.collect()] == ["{broken"]
+
+
+def day_files(tmp_path):
+    folder = tmp_path / "warehouse/gold/trips_with_names"
+    found = {}
+    for f in folder.glob("bucket=*/*.parquet"):
+        found.setdefault(f.parent.name.removeprefix("bucket="), set()).add((f.name, f.stat().st_mtime_ns))
+    return found
+
+
+def test_only_days_with_changes_are_named_anew(spark, tmp_path, tables):
+    day, landing = 86_400, tmp_path / "landing"
+    land(landing, "station_information", "i1", information({"1": "One", "2": "Two", "3": "Three", "4": "Four"}), 1000)
+    land(landing, "station_status", "s", [{"station_id": "1"}], 1000)
+    # Day 0 and 1 between stations 1 and 2, day 2 between 3 and 4.
+    for n, (at, place) in enumerate([(50_000, "1"), (51_000, "2"), (50_000 + day, "1"), (50_000 + 2 * day, "3"), (51_000 + 2 * day, "4")]):
+        bike = "a" if place in "12" else "b"
+        land(landing, "ebikes_at_station", f"e_{n}", telemetry({place: [(bike, 50, 9.0 - n)]}), at)
+    assert len(named(tables.run())) == 3
+    first = day_files(tmp_path)
+    assert sorted(first) == ["1970-01-01", "1970-01-03"]
+
+    # Nothing new: no file is touched. A renamed station: only the days of its trips.
+    tables.run()
+    assert day_files(tmp_path) == first
+    land(landing, "station_information", "i2", information({"1": "One", "2": "Two", "3": "Drei", "4": "Four"}), 2000)
+    assert ("b", 1000, "Drei", "Four") in named(tables.run())
+    second = day_files(tmp_path)
+    assert second["1970-01-01"] == first["1970-01-01"] and second["1970-01-03"] != first["1970-01-03"]
+
+    # A late reading withdraws one trip and brings two; the day of the other trips stays.
+    land(landing, "ebikes_at_station", "late", telemetry({"4": [("a", 50, 8.9)]}), 50_500)
+    got = named(tables.run())
+    assert ("a", 1000, "One", "Two") not in got and ("a", 500, "One", "Four") in got and ("a", 500, "Four", "Two") in got
+    assert day_files(tmp_path)["1970-01-03"] == second["1970-01-03"]
+    assert named(tables.trips().selectExpr("*", "pickup_station_id pickup_station_name", "dropoff_station_id dropoff_station_name")) == sorted(
+        (b, s, {"One": "motivate_BOS_1", "Two": "motivate_BOS_2", "Drei": "motivate_BOS_3", "Four": "motivate_BOS_4"}[p],
+         {"One": "motivate_BOS_1", "Two": "motivate_BOS_2", "Drei": "motivate_BOS_3", "Four": "motivate_BOS_4"}[d]) for b, s, p, d in got)
+
+
+def test_landing_files_move_to_the_archive(spark, tmp_path):
+    tables = Medallion(spark, str(tmp_path / "landing"), str(tmp_path / "warehouse"), archive=str(tmp_path / "archive"))
+    landing = tmp_path / "landing"
+    for n in range(3):
+        land(landing, "ebikes_at_station", f"e_{n}", telemetry({"1": [("a", 50, 9.0)]}), 1000 + n)
+        tables.ingest_feed("ebikes_at_station")
+    # Spark moves the files of a batch away when it has begun the next one.
+    land(landing, "ebikes_at_station", "e_9", telemetry({"1": [("a", 50, 9.0)]}), 2000)
+    tables.ingest_feed("ebikes_at_station")
+    assert len(list((landing / "ebikes_at_station").glob("*.json"))) < 4
+    assert list((tmp_path / "archive").rglob("*.json"))
+    assert tables.bronze("ebikes_at_station").count() == 4
+
+
+def test_fifty_batches_are_few_folders(spark, tmp_path):
+    target, landed = str(tmp_path / "bronze"), str(tmp_path / "in")
+    rows, seen = [], []
+
+    def take(batch, number):
+        seen.extend(r.id for r in batch.collect())
+
+    for n in range(50):
+        part = spark.range(n * 10, n * 10 + 10).withColumn("kind", F.lit("ab"[n % 2]))
+        part.coalesce(1).write.partitionBy("kind").parquet(f"{target}/batch={n}")
+        rows += range(n * 10, n * 10 + 10)
+        if n % 7 == 6:
+            each_batch(stream_folder(spark, target, "id bigint"), take, f"{landed}/cp")
+            merge_batches(spark, target, 4, ["kind"])
+            assert sorted(r.id for r in read_batches(spark, target).collect()) == rows
+    each_batch(stream_folder(spark, target, "id bigint"), take, f"{landed}/cp")
+    assert sorted(seen) == rows
+    merge_batches(spark, target, 0, ["kind"])
+    assert sorted((r.id, r.kind) for r in read_batches(spark, target).collect()) == [(i, "ab"[i // 10 % 2]) for i in rows]
+    assert len(list((tmp_path / "bronze").glob("batch=*"))) == 0 and len(list((tmp_path / "bronze_merged").glob("*.done"))) <= 6
+
+
+def test_a_merge_that_died_counts_no_row_twice(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "t")
+    for n in range(6):
+        spark.range(n, n + 1).write.parquet(f"{target}/batch={n}")
+    real = Folder.delete
+    monkeypatch.setattr(Folder, "delete", lambda self, name: (_ for _ in ()).throw(RuntimeError("died")))
+    with pytest.raises(RuntimeError):
+        merge_batches(spark, target, 2)
+    monkeypatch.setattr(Folder, "delete", real)
+    assert sorted(r.id for r in read_batches(spark, target).collect()) == list(range(6))
+    merge_batches(spark, target, 2)
+    assert sorted(r.id for r in read_batches(spark, target).collect()) == list(range(6))

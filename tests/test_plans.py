@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from bikeflow.operators import reports, scd, sinks, stations as station_ops, trips as trip_ops
+from bikeflow.operators.neighbours import SLOT, slotted
 from bikeflow.plans import mappings as m
 
 SF = "/root/testdata/sf0.001"
@@ -30,15 +31,18 @@ def test_latest_row_filter_runs_before_the_shuffle(spark):
     assert "WindowGroupLimit" in before and "WindowGroupLimit" in after
 
 
-def test_trips_have_no_join_and_slot_the_bikes(spark, folder):
+def test_trips_shuffle_readings_once_by_bike_and_slot(spark, folder):
     m.readings(spark, SF).write.parquet(f"{folder}/r")
     trips = trip_ops.reconstruct_trips(spark.read.parquet(f"{folder}/r"))
     trips.collect()
     text = plan(trips).split("Initial Plan")[0]
-    assert "Join" not in text
-    assert "ReusedExchange" in text
-    # The big shuffle is by bike and day; only day edges go by bike alone.
-    assert "hashpartitioning(rideable_id" in text and "__slot" in text
+    # Only the cuts are joined, a row per range at most; nothing is windowed by the bike alone.
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 1
+    windows = [line for line in text.splitlines() if " Window " in line]
+    assert len(windows) == 1 and "[rideable_id" in windows[0] and "__slot" in windows[0]
+    # The readings cross one shuffle; the other ones carry bike and time, or the cuts.
+    wide = [line for line in text.splitlines() if "Exchange hashpartitioning(rideable_id" in line and "__slot" in line]
+    assert len(wide) == 1
     # Columns that trips do not need are not read.
     assert "make_and_model" not in text
 
@@ -68,8 +72,8 @@ def test_hot_key_is_spread_over_tasks(spark):
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("rideable_id"),
         F.col("id").alias("last_updated"),
     )
-    slotted = rows.repartition(8, "rideable_id", F.floor(F.col("last_updated") / 100))
-    sizes = slotted.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    placed = slotted(rows, ["rideable_id"], ["last_updated"], ranges=64).repartition(8, "rideable_id", SLOT)
+    sizes = placed.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     whole = rows.repartition(8, "rideable_id").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert sizes < whole / 2
 

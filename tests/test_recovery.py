@@ -5,30 +5,51 @@ import pytest
 from test_scd import COLUMNS, expected_ranges, random_changes, ranges
 from test_trips import brute_force, random_readings, short, silver
 
-from bikeflow.operators.neighbours import value_slot, with_neighbours
+from bikeflow.operators.neighbours import with_neighbours
 from bikeflow.sources.streams import stream_folder
 from bikeflow.streaming.ingest import each_batch
 from bikeflow.streaming.trips import extend_trips, read_trips
 from bikeflow.streaming.upserts import upsert_history
-from bikeflow.streaming.versioned import VersionedTable, key_bucket
+from bikeflow.streaming.partitions import Folder, PartitionedTable, key_bucket
 
 
 class Crash(Exception):
     pass
 
 
-class DiesOnce(VersionedTable):
-    """One version is written the first time but never becomes visible."""
+class DiesOnce(PartitionedTable):
+    """The merge of one batch dies: before its copy counts, behind that, or with half of the partitions in place."""
 
-    def __init__(self, *args, dies_at, **kwargs):
-        super().__init__(*args, **kwargs)
-        self.dies_at = dies_at
+    dies_at, where = None, "before"
 
-    def _commit(self, spark, version):
-        if version == self.dies_at:
-            self.dies_at = None
-            raise Crash
-        super()._commit(spark, version)
+    def _written(self, spark, staged, mark):
+        if self._now(staged) and self.where == "before":
+            self._die()
+        super()._written(spark, staged, mark)
+
+    def _take(self, spark, staged, names):
+        if self._now(staged) and self.where != "before":
+            if self.where == "half":
+                # Spark deletes a partition before it moves the new one there.
+                Folder(spark, self.path).delete(f"bucket={names[0]}")
+            self._die()
+        super()._take(spark, staged, names)
+
+    def _now(self, staged):
+        return staged.endswith(f"step={self.dies_at}")
+
+    def _die(self):
+        self.dies_at = None
+        raise Crash
+
+
+def dying(path, bucket, cluster_by, where):
+    table = DiesOnce(path, bucket, cluster_by)
+    table.dies_at, table.where = 1, where
+    return table
+
+
+WHERE = pytest.mark.parametrize("where", ["before", "behind", "half"])
 
 
 def drain_with_one_crash(spark, folder, schema, step):
@@ -40,9 +61,10 @@ def drain_with_one_crash(spark, folder, schema, step):
     run()
 
 
-def test_trips_after_a_crash(spark, folder):
+@WHERE
+def test_trips_after_a_crash(spark, folder, where):
     readings = random_readings(200)
-    state = DiesOnce(f"{folder}/state", dies_at=1)
+    state = dying(f"{folder}/state", key_bucket("rideable_id", buckets=2), ["rideable_id"], where)
     step = extend_trips(state, f"{folder}/trips", f"{folder}/late")
     for i, low in enumerate((0, 2500)):
         part = silver(spark, [r for r in readings if low <= r[1] < low + 2500])
@@ -54,12 +76,16 @@ def test_trips_after_a_crash(spark, folder):
     assert short(read_trips(spark.read.parquet(f"{folder}/trips"))) == brute_force(readings)
 
 
-def test_history_after_a_crash(spark, folder):
+@WHERE
+@pytest.mark.parametrize("which", ["log", "out"])
+def test_history_after_a_crash(spark, folder, where, which):
     rows = random_changes(80)
     bucket = key_bucket("station_id", buckets=2)
-    log = VersionedTable(f"{folder}/log", bucket, ["station_id"])
-    out = DiesOnce(f"{folder}/out", bucket, ["station_id"], dies_at=1)
-    step = upsert_history(log, out, ["station_id"], "seq", ["seen"], slot_width=7)
+    log, out = (
+        (dying(f"{folder}/{n}", bucket, ["station_id"], where) if n == which else PartitionedTable(f"{folder}/{n}", bucket, ["station_id"]))
+        for n in ("log", "out")
+    )
+    step = upsert_history(log, out, ["station_id"], "seq", ["seen"])
     for i in range(2):
         part = spark.createDataFrame(rows[i::2], COLUMNS)
         part.write.mode("append").parquet(f"{folder}/in")
@@ -70,11 +96,11 @@ def test_history_after_a_crash(spark, folder):
     assert ranges(out.read(spark)) == expected_ranges(rows)
 
 
-@pytest.mark.parametrize("width", [1, 5, 1000])
-def test_neighbours_against_brute_force(spark, width):
+@pytest.mark.parametrize("cuts", [1, 3, 40])
+def test_neighbours_against_brute_force(spark, cuts):
     rows = sorted({(key or "", seq) for key, seq, _, _ in random_changes(150)})
     df = spark.createDataFrame(rows, "k string, s bigint")
-    near = with_neighbours(df, ["k"], ["s"], value_slot("s", width), carry=["s"], before="b", after="a")
+    near = with_neighbours(df, ["k"], ["s"], carry=["s"], before="b", after="a", ranges=cuts)
     got = sorted((r.k, r.s, r.b.s if r.b else None, r.a.s if r.a else None) for r in near.collect())
     expected = []
     for i, (key, seq) in enumerate(rows):

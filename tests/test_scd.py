@@ -1,12 +1,15 @@
+import pathlib
 import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from bikeflow.operators import scd
 from bikeflow.streaming.upserts import upsert_history, upsert_latest
-from bikeflow.streaming.versioned import VersionedTable, key_bucket
+from bikeflow.streaming.partitions import Folder, MaterializedView, PartitionedTable, key_bucket, own_bucket
 
 COLUMNS = "station_id string, seq bigint, name string, seen string"
 
@@ -46,10 +49,10 @@ CASES = {
 
 
 @pytest.mark.parametrize("case", CASES)
-@pytest.mark.parametrize("width", [1, 3, 86_400])
-def test_history_cases(spark, case, width):
+@pytest.mark.parametrize("cuts", [1, 2, 5])
+def test_history_cases(spark, case, cuts):
     df = spark.createDataFrame(CASES[case], COLUMNS)
-    got = scd.history(df, ["station_id"], "seq", ["seen"], slot_width=width)
+    got = scd.history(df, ["station_id"], "seq", ["seen"], ranges=cuts)
     assert ranges(got) == expected_ranges(CASES[case])
 
 
@@ -59,11 +62,11 @@ def test_history_cases(spark, case, width):
         st.tuples(st.sampled_from("abc"), st.integers(-20, 40), st.sampled_from(["x", "y", None])),
         min_size=1, max_size=60, unique_by=lambda t: t[:2],
     ),
-    st.sampled_from([1, 4, 100]),
+    st.sampled_from([1, 4, 25]),
 )
-def test_history_against_brute_force(spark, changes, width):
+def test_history_against_brute_force(spark, changes, cuts):
     rows = [(k, s, n, f"{k}{s}") for k, s, n in changes]
-    got = ranges(scd.history(spark.createDataFrame(rows, COLUMNS), ["station_id"], "seq", ["seen"], width))
+    got = ranges(scd.history(spark.createDataFrame(rows, COLUMNS), ["station_id"], "seq", ["seen"], ranges=cuts))
     assert got == expected_ranges(rows)
     for key in {r[0] for r in got}:
         mine = sorted((r for r in got if r[0] == key), key=lambda r: r[4])
@@ -71,6 +74,19 @@ def test_history_against_brute_force(spark, changes, width):
         assert all(a[5] == b[4] for a, b in zip(mine, mine[1:]))
 
 
+def test_a_range_over_many_slots_ends_where_it_should(spark):
+    """One hot key, cut into more slots than it has ranges: starts and ends lie slots apart."""
+    rows = [("hot", s, "x" if s < 500 or s > 900 else "y", str(s)) for s in range(1200)] + [("b", 3, None, "3")]
+    got = scd.history(spark.createDataFrame(rows, COLUMNS).repartition(5), ["station_id"], "seq", ["seen"], ranges=16)
+    assert ranges(got) == expected_ranges(rows)
+
+
+def test_repeated_changes_and_cuts_at_them(spark):
+    rows = [("a", s, "xyz"[s // 7 % 3], str(s)) for s in range(60)]
+    df = spark.createDataFrame(rows * 5, COLUMNS).repartition(7)
+    assert ranges(scd.history(df, ["station_id"], "seq", ["seen"], ranges=9)) == expected_ranges(rows)
+
+
 def test_equal_sequences_give_one_row_on_every_run(spark):
     rows = [("a", 1, name, "s") for name in ("x", "y", "z")]
     picks = set()
@@ -98,8 +114,8 @@ def test_history_in_shuffled_batches_equals_one_batch(spark, folder):
     rows = random_changes()
     random.Random(1).shuffle(rows)
     bucket = key_bucket("station_id", buckets=3)
-    log, out = VersionedTable(f"{folder}/log", bucket, ["station_id"]), VersionedTable(f"{folder}/out", bucket, ["station_id"])
-    step = upsert_history(log, out, ["station_id"], "seq", ["seen"], slot_width=7)
+    log, out = PartitionedTable(f"{folder}/log", bucket, ["station_id"]), PartitionedTable(f"{folder}/out", bucket, ["station_id"])
+    step = upsert_history(log, out, ["station_id"], "seq", ["seen"])
     for i in range(4):
         step(spark.createDataFrame(rows[i::4], COLUMNS), i)
     # The last micro-batch is repeated, as after a crash.
@@ -108,7 +124,7 @@ def test_history_in_shuffled_batches_equals_one_batch(spark, folder):
 
 
 def test_upsert_keeps_latest_and_sets_null_keys_aside(spark, folder):
-    table = VersionedTable(f"{folder}/t", key_bucket("station_id", buckets=2), ["station_id"])
+    table = PartitionedTable(f"{folder}/t", key_bucket("station_id", buckets=2), ["station_id"])
     step = upsert_latest(table, ["station_id"], "seq", rejects=f"{folder}/rejects")
     step(spark.createDataFrame([("a", 5, "new", ""), ("b", 1, "b1", ""), (None, 1, "?", "")], COLUMNS), 0)
     step(spark.createDataFrame([("a", 2, "late", ""), ("b", 2, "b2", "")], COLUMNS), 1)
@@ -117,84 +133,87 @@ def test_upsert_keeps_latest_and_sets_null_keys_aside(spark, folder):
     assert spark.read.parquet(f"{folder}/rejects").count() == 1
 
 
-def test_unfinished_version_is_not_read(spark, folder):
-    table = VersionedTable(f"{folder}/t")
-    table.refresh(spark, spark.range(3))
-    spark.range(5).write.parquet(f"{folder}/t/version=1")
-    import os
-    os.remove(f"{folder}/t/version=1/_SUCCESS")
-    assert table.read(spark).count() == 3
-    assert table.refresh(spark, spark.range(7)) == 1
-    assert table.read(spark).count() == 7
-    assert table.read(spark, before=1).count() == 3
-
-
-def test_a_lost_or_broken_pointer_is_an_error(spark, folder):
-    table = VersionedTable(f"{folder}/t")
-    table.refresh(spark, spark.range(3))
-    path, fs = table._hadoop(spark, f"{folder}/t/_pointers/v0")
-    out = fs.create(path, True)
-    out.write(bytearray(b'{"": '))
-    out.close()
-    with pytest.raises(ValueError):
-        table.read(spark)
-    fs.delete(path, False)
-    with pytest.raises(FileNotFoundError):
-        table.read(spark)
-
-
-def test_reading_takes_the_same_number_of_calls_at_any_version(spark, folder):
-    class Counted(VersionedTable):
-        calls = 0
-
-        def _hadoop(self, spark, folder):
-            Counted.calls += 1
-            return super()._hadoop(spark, folder)
-
-    table = Counted(f"{folder}/t", key_bucket("station_id", buckets=4), ["station_id"])
-    step = upsert_latest(table, ["station_id"], "seq")
-    costs = []
-    for i in range(6):
-        step(spark.createDataFrame([("ab"[i % 2], i, "x", "")], COLUMNS), i)
-        before = Counted.calls
-        table._folders(spark, None, None)
-        costs.append(Counted.calls - before)
-    assert len(set(costs)) == 1 and costs[0] <= 2
-
-
-def test_success_marks_are_not_needed(spark, folder):
-    name = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    conf.set(name, "false")
-    try:
-        table = VersionedTable(f"{folder}/t", key_bucket("station_id", buckets=2), ["station_id"])
-        step = upsert_latest(table, ["station_id"], "seq")
-        for i in range(3):
-            step(spark.createDataFrame([(f"s{i}", 1, "x", "")], COLUMNS), i)
-        assert table.read(spark).count() == 3
-    finally:
-        conf.unset(name)
-
-
-def test_only_touched_buckets_are_rewritten(spark, folder):
-    table = VersionedTable(f"{folder}/t", key_bucket("station_id", buckets=16), ["station_id"])
+def files(folder):
+    """Data files below a folder, with when they were written."""
+    return {str(f): f.stat().st_mtime_ns for f in pathlib.Path(folder).rglob("*.parquet") if "_staged" not in str(f)}
+
+
+def test_only_touched_partitions_are_rewritten(spark, folder):
+    table = PartitionedTable(f"{folder}/t", key_bucket("station_id", buckets=16), ["station_id"])
     step = upsert_latest(table, ["station_id"], "seq")
     step(spark.createDataFrame([(c, 1, "x", "") for c in "abcdefghijklmnop"], COLUMNS), 0)
+    before = files(f"{folder}/t")
     step(spark.createDataFrame([("a", 2, "y", "")], COLUMNS), 1)
-    assert len([n for n in table._list(spark, f"{folder}/t/version=1") if n.startswith("bucket=")]) == 1
+    after = files(f"{folder}/t")
+    changed = {f.split("bucket=")[1].split("/")[0] for f in set(before.items()) ^ set(after.items()) for f in [f[0]]}
+    assert len(changed) == 1 and len({f.split("bucket=")[1].split("/")[0] for f in after}) > 5
     assert table.read(spark).count() == 16
-    with pytest.raises(ValueError):
-        table.refresh(spark, spark.range(1))
 
 
-def test_expiry_keeps_what_is_current(spark, folder):
-    table = VersionedTable(f"{folder}/t", key_bucket("station_id", buckets=64), ["station_id"], schema=COLUMNS)
-    assert table.read(spark).isEmpty()
+def test_a_batch_of_one_station_reads_and_writes_its_rows_only(spark, folder, monkeypatch):
+    log, out = (PartitionedTable(f"{folder}/{n}", own_bucket("station_id"), ["station_id"]) for n in ("log", "out"))
+    step = upsert_history(log, out, ["station_id"], "seq", ["seen"])
+    rows = random_changes()
+    step(spark.createDataFrame(rows, COLUMNS), 0)
+    asked, before = [], {n: files(f"{folder}/{n}") for n in ("log", "out")}
+    real = PartitionedTable.read
+    monkeypatch.setattr(PartitionedTable, "read", lambda t, s, buckets=None, named=False: asked.append(buckets) or real(t, s, buckets, named))
+    more = [("c", 1000, "z", "late"), ("c", -5, "early", "early"), ("c", 30, "mid", "mid")]
+    step(spark.createDataFrame(more, COLUMNS), 1)
+    monkeypatch.undo()
+    assert asked and all(len(names) == 1 and names[0].startswith("c-") for names in asked)
+    for n in ("log", "out"):
+        moved = {f for f, _ in set(before[n].items()) ^ set(files(f"{folder}/{n}").items())}
+        assert moved and all("/bucket=c-" in f for f in moved)
+    assert ranges(out.read(spark)) == expected_ranges([*(r for r in rows if r[:2] != ("c", 30)), *more])
+
+
+def test_ranges_of_other_keys_in_a_partition_pass_as_they_are(spark, folder):
+    rows = random_changes()
+    log, out = (PartitionedTable(f"{folder}/{n}", key_bucket("station_id", buckets=2), ["station_id"]) for n in ("log", "out"))
+    step = upsert_history(log, out, ["station_id"], "seq", ["seen"])
+    for i in range(5):
+        step(spark.createDataFrame(rows[i::5], COLUMNS), i)
+    assert ranges(out.read(spark)) == expected_ranges(rows)
+
+
+def test_an_empty_target_has_its_columns(spark, folder):
+    table = PartitionedTable(f"{folder}/t", key_bucket("station_id"), schema=COLUMNS)
+    assert table.read(spark).isEmpty() and table.read(spark).columns == ["station_id", "seq", "name", "seen"]
+    PartitionedTable(f"{folder}/t", key_bucket("station_id"), schema=COLUMNS).create(spark)
+    again = PartitionedTable(f"{folder}/t", key_bucket("station_id"))
+    assert again.read(spark).isEmpty() and again.buckets(spark) == []
+    assert PartitionedTable(f"{folder}/none", key_bucket("station_id")).read(spark) is None
+
+
+def test_partitions_that_lose_their_rows_go(spark, folder):
+    table = PartitionedTable(f"{folder}/t", F.col("station_id"))
+    table.merge(spark.createDataFrame([("a", 1, "x", ""), ("b", 1, "x", "")], COLUMNS), lambda stored, names: spark.createDataFrame([("a", 1, "x", ""), ("b", 1, "x", "")], COLUMNS))
+    table.merge(spark.createDataFrame([("a", 2, "x", "")], COLUMNS), lambda stored, names: stored.limit(0))
+    assert [r.station_id for r in table.read(spark).collect()] == ["b"] and table.buckets(spark) == ["b"]
+
+
+def test_other_rows_under_the_number_of_an_old_batch_are_no_repetition(spark, folder):
+    """A stream that starts anew counts its batches from 0 again."""
+    table = PartitionedTable(f"{folder}/t", key_bucket("station_id", buckets=2))
     step = upsert_latest(table, ["station_id"], "seq")
-    step(spark.createDataFrame([("a", 0, "x", ""), ("b", 0, "x", "")], COLUMNS), 0)
-    for i in range(1, 5):
-        step(spark.createDataFrame([("a", i, "x", "")], COLUMNS), i)
-    # Version 0 still holds the only rows of b; versions 3 and 4 are the two newest of a.
-    assert table.expire(spark, keep=2) == [2, 1]
-    assert sorted((r.station_id, r.seq) for r in table.read(spark).collect()) == [("a", 4), ("b", 0)]
-    assert table.expire(spark, keep=2) == []
+    step(spark.createDataFrame([("a", 1, "x", "")], COLUMNS), 0)
+    step(spark.createDataFrame([("b", 1, "x", "")], COLUMNS), 0)
+    step(spark.createDataFrame([("b", 1, "x", "")], COLUMNS), 0)
+    assert sorted(r.station_id for r in table.read(spark).collect()) == ["a", "b"]
+
+
+def test_a_reader_of_a_view_finishes_after_the_switch(spark, folder):
+    view = MaterializedView(f"{folder}/v")
+    assert view.read(spark) is None
+    view.refresh(spark.range(3))
+    opened = view.read(spark)
+    view.refresh(spark.range(5))
+    assert (opened.count(), view.read(spark).count()) == (3, 5)
+    # A refresh that died is never current, in this catalog or in another one that finds the folder.
+    spark.range(9).write.parquet(f"{folder}/v/refresh=2")
+    spark.sql(f"DROP VIEW {view.name}")
+    assert MaterializedView(f"{folder}/v").read(spark).count() == 5
+    for n in range(4):
+        view.refresh(spark.range(n))
+    assert view.read(spark).count() == 3 and len(Folder(spark, view.path).names()) <= 8
