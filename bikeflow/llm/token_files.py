@@ -12,9 +12,6 @@ give every shard its place among all documents and all ids, so tasks need not kn
 manifest lands last and names the files that count, so what a lost or repeated task has left behind is never read.
 Reading maps the files of a shard into memory and touches only the pages that a document's ids lie in.
 
-Words are encoded once per task and remembered where white space separates pieces in this vocabulary; texts with
-characters outside a plain set, or with special strings, are encoded whole.
-
 Defined cases: a null text is empty, its document the end id alone; null ids come first; rows with equal ids
 stand side by side, in the order of a hash of their texts, and copies of a text in any order, as they cannot be told apart; ids that a third of
 the rows share are dealt out over several ranges; an empty table gives no shard; other columns are not read.
@@ -28,7 +25,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -43,63 +40,82 @@ from bikeflow.session import work_folder
 MODEL = "word_bpe_49k.json"
 END_TOKEN = 1
 SHARD_TOKENS = 1 << 26
-GROUP_CHARACTERS = 1 << 20  # of texts whose unknown words are encoded together
-REMEMBERED_WORDS = 200_000
-LONGEST_REMEMBERED = 40
 
-# Fixed value: the published pattern of words in vocabularies of this kind. No word holds white space.
+# How vocabularies of this kind normalise texts and cut them into words.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# In these characters the white space of Python's split and of the vocabulary is the same.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+WORD_END = "</w>"
+
+# In these characters every text is in normal form, and the classes below are those of the pattern above.
 PLAIN = re.compile("[\t\n\r -~¡-ɏ]*")
+LETTERS, NUMBERS = "a-zªµºß-öø-ɏⱥⱦ", "0-9²³¹¼-¾"
+# The pattern's alternatives; which comes first matters for those with an apostrophe only.
+PLAIN_WORDS = re.compile(rf"[{LETTERS}]+|[{NUMBERS}]|'(?:[stmd]|re|ve|ll)|[^\s{LETTERS}{NUMBERS}]+")
+MARK = "\x01"  # stands for the end of a word; no plain text has it
 
 MANIFEST = "task int, shard int, name string, docs long, unnamed long, tokens long"
 
 
+def _bytes_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable ones themselves, then the others in turn."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
 class Encoder:
-    """Texts to the bytes of their ids, the end id behind them."""
+    """Texts to the bytes of their ids, the end id behind them.
 
-    def __init__(self, path: str, end: int | None = END_TOKEN):
-        from tokenizers import Tokenizer
+    Plain texts without special strings are cut into words, each with a mark at its end, and encoded by ``tiktoken``, whose
+    ranks are the same vocabulary with the mark in place of its word end: several times faster, in one thread, with the same
+    ids. All other texts are encoded by ``tokenizers``, and so are all with a vocabulary of another kind.
+    """
 
+    def __init__(self, path: str, end: int | None = END_TOKEN):
         with open(path, encoding="utf-8") as f:
             described = json.load(f)
-        self.model = Tokenizer.from_file(path)
-        self.kind = id_kind(path)
+        self.path, self.kind = path, id_kind(path)
         self.end = b"" if end is None else np.array([end], self.kind).tobytes()
         self.special = [t["content"] for t in described["added_tokens"]]
-        before = (described.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
-        rule = {"pattern": {"Regex": WORD_PATTERN}, "behavior": "Removed", "invert": True}
-        self.splits = all(before[0].get(k) == v for k, v in rule.items())
-        self.words: dict[str, bytes] = {}
+        self.plain = self._ranked(described["model"]["vocab"]) if self._known(described) else None
 
-    def _batch(self, texts: list[str]) -> list[bytes]:
-        found = self.model.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [self.splits and PLAIN.fullmatch(t) is not None and not any(s in t for s in self.special) for t in texts]
-        words = [t.split() if p else [t] for t, p in zip(texts, plain)]
-        if len(self.words) > REMEMBERED_WORDS:
-            self.words.clear()
-        missing = list(set(chain.from_iterable(words)).difference(self.words))
-        held = dict(zip(missing, self._batch(missing)))
-        self.words.update((w, held[w]) for w in missing if len(w) <= LONGEST_REMEMBERED)
-        # Longer words, and texts that are encoded whole, are in ``held`` only.
-        find = self.words
-        if any(len(w) > LONGEST_REMEMBERED for w in missing):
-            find = _Either(held, self.words)
-        return [b"".join(map(find.__getitem__, w)) + self.end for w in words]
-
-
-class _Either(dict):
-    """The first of two tables, and the second where it has no entry."""
+    @staticmethod
+    def _known(described: dict) -> bool:
+        before = (described.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        split = {"type": "Split", "pattern": {"Regex": WORD_PATTERN}, "behavior": "Removed", "invert": True}
+        return (
+            (described.get("normalizer") or {}).get("normalizers") == NORMALIZERS
+            and before[0] == split
+            and [p["type"] for p in before[1:]] == ["ByteLevel"]
+            and not before[1]["use_regex"]
+            and not before[1]["add_prefix_space"]
+            and described["model"].get("end_of_word_suffix") == WORD_END
+        )
+
+    @staticmethod
+    def _ranked(vocabulary: dict[str, int]):
+        import tiktoken
+
+        of, ranks = _bytes_of(), {}
+        for word, rank in vocabulary.items():
+            ends = word.endswith(WORD_END) and word != WORD_END
+            raw = bytes(of[c] for c in (word.removesuffix(WORD_END) if ends else word))
+            ranks[raw + MARK.encode() if ends else raw] = rank
+        return tiktoken.Encoding("words", pat_str=f"[^{MARK}]*{MARK}", mergeable_ranks=ranks, special_tokens={})
+
+    @cached_property
+    def model(self):
+        from tokenizers import Tokenizer
 
-    def __init__(self, one: dict, two: dict):
-        super().__init__(one)
-        self.two = two
+        return Tokenizer.from_file(self.path)
 
-    def __missing__(self, key):
-        return self.two[key]
+    def encode(self, text: str) -> bytes:
+        if self.plain and PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+            words = PLAIN_WORDS.findall(text.lower())
+            ids = self.plain.encode_ordinary(MARK.join([*words, ""]))
+        else:
+            ids = self.model.encode(text, add_special_tokens=False).ids
+        return np.array(ids, self.kind).tobytes() + self.end
 
 
 def id_kind(path: str) -> np.dtype:
@@ -142,31 +158,17 @@ def _names(schema: str) -> list[str]:
     return [column.split()[0] for column in schema.split(", ")]
 
 
-def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
-    first = size = 0
-    for k, text in enumerate(texts):
-        size += len(text)
-        if size >= GROUP_CHARACTERS:
-            yield first, k + 1
-            first, size = k + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
-
-
 def _write(batches: Iterator[pa.RecordBatch], folder: str, model: str, end: int | None, most: int):
     encoder, shard, number = Encoder(model, end), None, 0
     task, width = TaskContext.get().partitionId(), encoder.kind.itemsize
     for batch in batches:
-        keys, texts = batch.column("key").to_pylist(), batch.column("text")
-        texts = [t or "" for t in texts.to_pylist()]
-        for first, past in _groups(texts):
-            for key, ids in zip(keys[first:past], encoder.encode(texts[first:past])):
-                if shard is None:
-                    shard, number = _Shard(folder, task, number), number + 1
-                shard.add(key, ids, width)
-                if shard.tokens >= most:
-                    yield shard.close()
-                    shard = None
+        for key, text in zip(batch.column("key").to_pylist(), batch.column("text")):
+            if shard is None:
+                shard, number = _Shard(folder, task, number), number + 1
+            shard.add(key, encoder.encode(text.as_py() or ""), width)
+            if shard.tokens >= most:
+                yield shard.close()
+                shard = None
     if shard is not None:
         yield shard.close()
 
