@@ -5,7 +5,6 @@ Each takes (spark, folder of the tables) and returns a DataFrame with plain time
 
 from __future__ import annotations
 
-import io
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -34,7 +33,8 @@ from bikeflow.operators.neighbours import with_neighbours
 from bikeflow.plans import mappings as m
 from bikeflow.plans.medallion import Medallion
 from bikeflow.session import pin_utc, work_folder
-from bikeflow.sources import files, streams
+from bikeflow.sources import archives, files, streams
+from bikeflow.sources.places import open_place
 from bikeflow.streaming.ingest import append_stream, each_batch
 from bikeflow.streaming.trips import extend_trips, join_arrivals, read_trips, spans_around
 from bikeflow.streaming.upserts import upsert_history, upsert_latest
@@ -215,12 +215,13 @@ def rider_features(spark, sf):
 
 @query
 def rider_classifier(spark, sf):
-    """Train on all trips and score them; whether each prediction is a class and decodes to its name."""
+    """Train on the trips that are not held out and score all; whether each prediction is a class and decodes to its name."""
     rides = _rides(spark, sf)
-    predicted = rider_model.predict(rider_model.fit(rides), rides)
+    predicted = rider_model.predict(rider_model.fit(rides.filter(~rider_model.held_out("ride_id"))), rides)
     named = (F.col("prediction") == 1) & (F.col("predicted_member_casual") == rider_model.MEMBER)
     other = (F.col("prediction") == 0) & (F.col("predicted_member_casual") == rider_model.CASUAL)
-    return predicted.select("ride_id", "member_casual", (named | other).alias("decoded"))
+    kept = rider_model.held_out("ride_id").alias("held_out")
+    return predicted.select("ride_id", "member_casual", kept, (named | other).alias("decoded"))
 
 
 # -- documents ---------------------------------------------------------------------------
@@ -682,22 +683,32 @@ def filename_metadata(spark, sf):
     return rows.select("event_id", "user_id", "capture_time", "run_id")
 
 
-def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One zip archive with a CSV member per batch of rows."""
-    for number, rows in enumerate(batches):
-        packed = io.BytesIO()
-        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr("trips.csv", rows.to_csv(index=False))
-        yield pd.DataFrame({"path": [f"archive-{number}.zip"], "content": [packed.getvalue()]})
+MEMBER_ROWS = 2_000
+
+
+def _pack(batches: Iterator[pd.DataFrame], folder: str) -> Iterator[pd.DataFrame]:
+    """One zip archive on the shared disk per task, with a CSV member per two thousand rows."""
+    system, place = open_place(folder)
+    name, count = f"{place}/{uuid.uuid4().hex}.zip", 0
+    with system.open_output_stream(name) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+        for rows in batches:
+            for at in range(0, len(rows), MEMBER_ROWS):
+                archive.writestr(f"trips-{count}.csv", rows[at : at + MEMBER_ROWS].to_csv(index=False))
+                count += 1
+    yield pd.DataFrame({"name": [name], "members": [count]})
 
 
 @query
 def zip_csv_scan(spark, sf):
     lines = m.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
-    archives = lines.mapInPandas(_pack, "path string, content binary")
-    rows = files.zipped_csv_rows(
-        archives, "l_orderkey bigint, l_linenumber int, l_quantity double, l_returnflag string"
-    )
+    folder = work_folder(spark, "archives")
+    system, place = open_place(folder)
+    system.create_dir(place, recursive=True)
+    # Only the archives that the finished job names are read; a lost task may have left another one.
+    landed = lines.mapInPandas(lambda it: _pack(it, folder), "name string, members long").collect()
+    names = [r.name.rsplit("/", 1)[1] for r in landed]
+    found = archives.read_archives(spark, folder, "*.zip").filter(F.element_at(F.split("path", "/"), -1).isin(names))
+    rows = archives.zipped_csv_rows(found, "l_orderkey bigint, l_linenumber int, l_quantity double, l_returnflag string")
     return rows.drop("archive", "member")
 
 

@@ -311,7 +311,7 @@ SQL: dict[str, str] = {
           s.i AS start_station_index, coalesce(e.i, (SELECT count(*) FROM e)) AS end_station_index
         FROM history h JOIN k USING (rideable_type) JOIN s USING (start_station_name)
         LEFT JOIN e ON e.end_station_name = h.end_station_name""",
-    "rider_classifier": f"WITH {_HISTORY} SELECT ride_id, member_casual, true AS decoded FROM history",
+    "rider_classifier": f"WITH {_HISTORY} SELECT ride_id, member_casual, right(md5(ride_id), 1) IN ('0', '1', '2') AS held_out, true AS decoded FROM history",
     "materialized_view_refresh": f"""
         WITH {_TRIPS} SELECT pickup_station_id, count(*) AS trips FROM trips GROUP BY 1""",
     "previous_and_next_order": """

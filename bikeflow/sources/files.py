@@ -1,23 +1,13 @@
-"""Batch readers: files and folders as relations, listings, archives, names of tables."""
+"""Batch readers: files and folders as relations, listings, names of tables."""
 
 from __future__ import annotations
 
-import csv
-import io
-import zipfile
-from collections.abc import Iterator
-from itertools import islice
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bikeflow.functions import text
 
-_LINES_PER_BATCH = 10_000
-
-
 def query_path(spark: SparkSession, kind: str, path: str) -> DataFrame:
     """A file or a folder addressed in SQL: ``kind`` is json, text, parquet, csv, ..."""
     return spark.sql(f"SELECT * FROM {kind}.`{path}`")
@@ -85,49 +75,3 @@ def with_capture_columns(df: DataFrame) -> DataFrame:
     return df.select(
         "*", text.capture_time(path).alias("capture_time"), text.capture_run(path).alias("run_id")
     )
-
-
-def read_archives(spark: SparkSession, folder: str, glob: str = "*.zip") -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path", "content")
-
-
-def zipped_csv_rows(archives: DataFrame, schema: str | T.StructType) -> DataFrame:
-    """Rows of all CSV members of zip archives (columns ``path``, ``content``).
-
-    Archives are read in parallel; one archive is unpacked as a stream inside one task and
-    leaves it in batches, so only its compressed form is held in memory. Columns are matched
-    by header name; '' is NULL, and text that does not fit its type is NULL.
-    """
-    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    names = wanted.fieldNames()
-    columns = ["archive", "member", *names]
-
-    def columnar(path: str, member: str, rows: list[list[str]], places: list[int | None]) -> pa.RecordBatch:
-        def texts(place: int | None) -> list[str | None]:
-            if place is None:
-                return [None] * len(rows)
-            return [(row[place] or None) if place < len(row) else None for row in rows]
-
-        values = [[path] * len(rows), [member] * len(rows), *map(texts, places)]
-        return pa.RecordBatch.from_arrays([pa.array(v, pa.string()) for v in values], names=columns)
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        csv.field_size_limit(2**31 - 1)
-        for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content")):
-                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
-                    for member in archive.namelist():
-                        if not member.lower().endswith(".csv"):
-                            continue
-                        with archive.open(member) as raw:
-                            reader = csv.reader(io.TextIOWrapper(raw, "utf-8-sig", newline=""))
-                            header = next(reader, [])
-                            places = [header.index(n) if n in header else None for n in names]
-                            filled = filter(None, reader)
-                            while rows := list(islice(filled, _LINES_PER_BATCH)):
-                                yield columnar(path.as_py(), member, rows, places)
-
-    texts = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    unpacked = archives.select("path", "content").mapInArrow(unpack, texts)
-    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted.fields]
-    return unpacked.select("archive", "member", *typed)

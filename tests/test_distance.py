@@ -59,7 +59,7 @@ def test_pairs_are_not_gathered_before_the_provider(spark, trips, stations):
 
 
 def test_programming_errors_of_a_provider_are_raised(spark, trips, stations, folder):
-    wrong = udfs.route_enricher(lambda *point: [{"metres": 1}], failures=(OSError,))
+    wrong = udfs.route_enricher(lambda *point: [{"metres": 1}], udfs.Asking(failures=(OSError,)))
     with pytest.raises(Exception, match="KeyError"):
         distance.extend_matrix(trips, stations, matrix(spark), wrong, answers=f"{folder}/answers")
 
@@ -119,3 +119,69 @@ def test_same_name_of_two_stations_is_one_route(spark):
     stations = spark.createDataFrame([("A", "n", 0.0, 0.0), ("B", "n", 0.0, 0.0)], STATIONS)
     trips = spark.createDataFrame([("1", "A", "A", False, False), ("2", "B", "A", False, False)], TRIPS)
     assert [tuple(r) for r in reports.top_routes(trips, stations).collect()] == [("n", "n", 2)]
+
+
+def counted(folder, fails, error):
+    """A provider that notes each call in a file and fails so often for each pair."""
+    import os
+    import uuid
+
+    def provider(*point):
+        name = "_".join(map(str, point))
+        os.makedirs(folder, exist_ok=True)
+        before = len([f for f in os.listdir(folder) if f.startswith(name + "@")])
+        open(f"{folder}/{name}@{uuid.uuid4().hex}", "w").close()
+        if before < fails:
+            raise error("not now")
+        return [{"distance": 1500.0, "duration": 60.2}]
+
+    return provider
+
+
+def asked(folder):
+    import os
+    from collections import Counter
+
+    return Counter(f.split("@")[0] for f in os.listdir(folder))
+
+
+def points(spark, n):
+    return spark.range(n).selectExpr("CAST(id AS DOUBLE) a", "CAST(id AS DOUBLE) b", "1.0D c", "2.0D d").coalesce(1)
+
+
+def test_a_provider_that_fails_twice_and_then_answers(spark, folder):
+    route = udfs.route_enricher(counted(f"{folder}/calls", 2, TimeoutError), udfs.Asking(pause=0.01, workers=4))
+    got = points(spark, 30).select(route("a", "b", "c", "d").alias("r")).select("r.*").distinct().collect()
+    assert [tuple(r) for r in got] == [(1.5, 60.0, None)]
+    assert set(asked(f"{folder}/calls").values()) == {3}
+
+
+def test_what_may_not_be_retried_is_asked_once(spark, folder):
+    route = udfs.route_enricher(counted(f"{folder}/calls", 9, ValueError), udfs.Asking(pause=0.01))
+    got = points(spark, 5).select(route("a", "b", "c", "d").alias("r")).select("r.*").distinct().collect()
+    assert [tuple(r) for r in got] == [(None, None, "Error: not now")] and set(asked(f"{folder}/calls").values()) == {1}
+
+
+def test_a_repeated_task_reads_the_answers_it_had(spark, folder):
+    """The first attempt dies behind forty pairs; the second asks for the rest only."""
+    good = counted(f"{folder}/calls", 0, OSError)
+
+    def dying(*point):
+        if point[0] >= 40 and not __import__("os").path.exists(f"{folder}/again"):
+            raise KeyError("a mistake in the program")
+        return good(*point)
+
+    asking = udfs.Asking(answers=f"{folder}/answers", chunk=10, workers=3)
+    rows = points(spark, 60).select(udfs.route_enricher(dying, asking)("a", "b", "c", "d").alias("r")).select("r.*")
+    with pytest.raises(Exception, match="a mistake in the program"):
+        rows.collect()
+    open(f"{folder}/again", "w").close()
+    assert [tuple(r) for r in rows.distinct().collect()] == [(1.5, 60.0, None)]
+    assert len(asked(f"{folder}/calls")) == 60 and set(asked(f"{folder}/calls").values()) == {1}
+
+
+def test_equal_pairs_are_asked_once(spark, folder):
+    same = spark.range(500).selectExpr("1.0D a", "2.0D b", "3.0D c", "4.0D d").coalesce(1)
+    route = udfs.route_enricher(counted(f"{folder}/calls", 0, OSError))
+    assert same.select(route("a", "b", "c", "d").alias("r")).select("r.*").distinct().count() == 1
+    assert sum(asked(f"{folder}/calls").values()) == 1

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bikeflow.functions import text
 from bikeflow.operators import rider_model, sinks
-from bikeflow.sources import files, streams
+from bikeflow.sources import archives, files, streams
 from bikeflow.streaming.ingest import append_stream
 
 HISTORY = (
@@ -32,7 +32,7 @@ def test_zip_archive_from_disk(spark, tmp_path):
         archive.writestr("more.csv", "n,ride_id\n7,swapped\n")
         archive.writestr("empty.csv", "ride_id,n\n")
     (tmp_path / "other.bin").write_bytes(b"x")
-    rows = files.zipped_csv_rows(files.read_archives(spark, str(tmp_path)), "ride_id string, n bigint")
+    rows = archives.zipped_csv_rows(archives.read_archives(spark, str(tmp_path)), "ride_id string, n bigint")
     got = sorted(((r.member, r.ride_id, r.n) for r in rows.collect()), key=repr)
     assert got == [("more.csv", "swapped", 7), ("trips.csv", "a,1", 1), ("trips.csv", "line\nbreak", 2), ("trips.csv", None, None)]
     assert rows.first().archive.endswith("202410.zip")
@@ -115,6 +115,55 @@ def test_running_stream(spark, tmp_path):
     assert sorted(r.last_updated for r in spark.read.parquet(out).collect()) == ["0", "1"]
 
 
+def test_members_are_dealt_out_and_others_are_listed(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "many.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+        for k in range(24):
+            archive.writestr(f"{k}.csv", "n,t\n" + "".join(f"{k * 100 + i},t{i}\n" for i in range(100)))
+        archive.writestr("notes.txt", "not a table")
+        archive.writestr("none.csv", "")
+    found = archives.read_archives(spark, str(tmp_path))
+    assert found.columns == ["path", "length"]
+    members = archives.archive_members(found).collect()
+    assert sum(r.taken for r in members) == 25 and [r.member for r in members if not r.taken] == ["notes.txt"]
+    rows = archives.zipped_csv_rows(found, "n bigint, t string, missing double")
+    rows.withColumn("task", F.spark_partition_id()).write.parquet(str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r.n for r in back.collect()) == list(range(2400)) and back.filter("missing is not null").isEmpty()
+    assert back.select("task").distinct().count() > 8
+
+
+def test_records_with_breaks_quotes_and_odd_ends(spark, tmp_path):
+    text = 'a,b\r\n"x\r\ny","say ""hi"""\r\n\r\n1,"",extra\n"open, no end\n2,'
+    with zipfile.ZipFile(tmp_path / "odd.zip", "w") as archive:
+        archive.writestr("odd.csv", "\ufeff" + text)
+        archive.writestr("short.csv", "b\nonly\n")
+    rows = archives.zipped_csv_rows(archives.read_archives(spark, str(tmp_path)), "a string, b string")
+    got = {(r.member, r.a, r.b) for r in rows.collect()}
+    assert {("odd.csv", "x\r\ny", 'say "hi"'), ("odd.csv", "1", None), ("short.csv", None, "only")} <= got and len(got) == 4
+
+
+def test_no_archives(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "e.zip", "w") as archive:
+        archive.writestr("a.txt", "x")
+    assert archives.zipped_csv_rows(archives.read_archives(spark, str(tmp_path)), "a string").collect() == []
+
+
+def test_rider_model_on_rows_it_has_not_seen(spark):
+    """Three hundred stations, of which some are mostly members': far more than a tree has bins."""
+    rows = []
+    for i in range(6000):
+        start = (i * 7919) % 300
+        member = (i * 31) % 100 < (90 if start % 3 == 0 else 15)
+        rows.append((f"r{i}", "electric_bike", None, None, f"s{start}", f"e{i % 290}", "member" if member else "casual"))
+    history = spark.createDataFrame(rows, HISTORY)
+    kept = rider_model.held_out("ride_id")
+    model = rider_model.fit(history.filter(~kept))
+    assert model.stages[-1].getOrDefault("maxBins") == 32
+    found = rider_model.evaluate(model, history.filter(kept))
+    assert 0.1 < history.filter(kept).count() / 6000 < 0.28
+    assert found["accuracy"] > found["majority"] + 0.15 and found["area"] > 0.8
+
+
 def test_rider_model_with_many_and_missing_stations(spark):
     rows = [
         (str(i), ["electric_bike", "classic_bike"][i % 2], None, None, None if i % 10 == 0 else f"s{i % 50}",
@@ -123,7 +172,7 @@ def test_rider_model_with_many_and_missing_stations(spark):
     ]
     history = spark.createDataFrame(rows, HISTORY)
     model = rider_model.fit(history, trees=5)
-    assert rider_model.category_bins(model.stages[0]) == 46  # 45 names, one for unknown
+    assert len(model.stages[0].labelsArray[2]) == 45
     unseen = history.withColumn("end_station_name", F.lit("never seen"))
     assert rider_model.predict(model, unseen).count() == 400
     predicted = rider_model.predict(model, history)
