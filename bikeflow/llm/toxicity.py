@@ -9,11 +9,12 @@ to the toxic class's size.
 
 The log-likelihood ratio is normalised by length twice: per byte over the whole text, and per word. A
 logistic curve over the text's mean per byte, its best word and the mean of its three best words gives the
-score. Counts cover all labelled rows but a fifth, on which the curve is fitted (at most CURVE_ROWS of them).
+score. The curve is fitted on a fifth of the labelled rows (at most CURVE_ROWS of them), with counts of the
+other four; the counts that score documents cover all labelled rows.
 
-The models become two tables of 2^21 slots addressed by hashed n-gram and by hashed context, so what is
-sent to executors has a fixed size at any size of the corpus; n-grams that share a slot are averaged by
-their counts.
+A model is a table of log ratios by n-gram and one by context, for n-grams that no class has seen. Tasks build
+them in parts of bounded size, and they grow with the n-grams of the corpus. Scoring tasks map the files, and a look-up compares the
+whole n-gram: an unseen one is never taken for another, and falls back to its context, or to no evidence.
 
 Defined cases: null and empty texts have no evidence and get the curve's value at zero; several labels of
 an id are toxic if any is; null labels and labels of absent ids are ignored; without labels of both
@@ -30,11 +31,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bikeflow.llm import textbytes as tb
+from bikeflow.llm.lookup import SharedTable
 from bikeflow.llm.tables import in_fold, landed, small_side, table, text_batches
 
 ORDER = 6
 DISCOUNT = 0.75
-SLOT_BITS = 21
 THRESHOLD = 0.7
 CURVE_FIFTH = 5
 CURVE_ROWS = 20_000
@@ -74,10 +75,6 @@ def grams(wide: np.ndarray) -> np.ndarray:
     return (packed & mask) | (_SPACES & ~mask)
 
 
-def slots(numbers: np.ndarray) -> np.ndarray:
-    return (tb.mix(numbers.astype(np.uint64) + np.uint64(1)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-
-
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     gram, place = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
     return gram, np.bincount(place, np.concatenate([n for _, n in parts])).astype(np.int64)
@@ -103,14 +100,6 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "toxic", "n"])
 
 
-def _fold(batches, what: str):
-    for batch in batches:
-        place = slots(batch.column(what).to_numpy())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(place), batch.column("ratio"), batch.column("weight")], ["slot", "ratio", "weight"]
-        )
-
-
 def _shared(counted: DataFrame) -> DataFrame:
     """(gram of the last ORDER - 1 bytes, p) by interpolated continuation counts of every lower order."""
     orders = {}
@@ -136,8 +125,8 @@ def _shared(counted: DataFrame) -> DataFrame:
     return p
 
 
-def ratio_tables(counts: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
-    """Log ratios of toxic to ordinary by n-gram slot (NaN: unseen) and, for unseen n-grams, by context slot.
+def ratios(counts: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """Log ratios of toxic to ordinary: (key, value) by n-gram and, for unseen n-grams, by context.
 
     ``counts``: gram, toxic (0 or 1), n.
     """
@@ -168,20 +157,16 @@ def ratio_tables(counts: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
     level = level.join(_shared(both).select(F.col("gram").alias("tail"), "p"), "tail")
     own = {c: F.when(F.col(f"{c}_all") > 0, (F.col(c) - DISCOUNT * seen(c)) / F.col(f"{c}_all")).otherwise(0.0) for c in "to"}
     value = F.log((own["t"] + gamma["t"] * F.col("p")) / (own["o"] + gamma["o"] * F.col("p")))
-    weight = (F.col("t") + F.col("o")).alias("weight")
-    by_gram = level.select("gram", value.alias("ratio"), weight)
-    by_context = level.groupBy("context").agg(
-        F.first(F.log(gamma["t"] / gamma["o"])).alias("ratio"), F.sum(F.col("t") + F.col("o")).alias("weight")
-    )
-    tables = []
-    for frame, what in ((by_gram, "gram"), (by_context, "context")):
-        placed = frame.mapInArrow(lambda it, what=what: _fold(it, what), "slot long, ratio double, weight double")
-        mean = F.sum(F.col("ratio") * F.col("weight")) / F.sum("weight")
-        found = placed.groupBy("slot").agg(mean.cast("float").alias("ratio")).toArrow()
-        values = np.full(1 << SLOT_BITS, np.nan if what == "gram" else 0.0, np.float32)
-        values[found["slot"].to_numpy()] = found["ratio"].to_numpy()
-        tables.append(values)
-    return tables[0], tables[1]
+    level = level.select("gram", "context", value.alias("value"), F.log(gamma["t"] / gamma["o"]).alias("backoff"))
+    level = landed(spark, level, "ratios")
+    by_context = level.groupBy("context").agg(F.first("backoff").alias("value"))
+    return level.select(F.col("gram").alias("key"), "value"), by_context.withColumnRenamed("context", "key")
+
+
+def model_of(labelled: DataFrame) -> tuple[SharedTable, SharedTable] | None:
+    """The tables of a model counted on rows (toxic, text); None without both classes."""
+    found = ratios(labelled.select("toxic", "text").mapInArrow(_count, "gram long, toxic long, n long"))
+    return found and tuple(SharedTable(frame, name) for frame, name in zip(found, ("grams", "contexts")))
 
 
 def features(texts: pa.Array, tables) -> np.ndarray:
@@ -190,9 +175,9 @@ def features(texts: pa.Array, tables) -> np.ndarray:
     for first, last, data, offsets in tb.slices(texts):
         wide, heads = spaced(data, offsets)
         gram = grams(wide)
-        ratio = tables[0][slots(gram)]
+        ratio = tables[0].get(gram)
         unseen = np.flatnonzero(np.isnan(ratio))
-        ratio[unseen] = tables[1][slots(gram[unseen] >> np.uint64(8))]
+        ratio[unseen] = np.nan_to_num(tables[1].get(gram[unseen] >> np.uint64(8)))
         before = np.concatenate([np.zeros(ORDER), np.cumsum(ratio, dtype=np.float64)])  # sum over the bytes before k
         sizes = np.diff(offsets)
         found[first:last, 0] = (before[heads + sizes] - before[heads]) / np.maximum(sizes, 1)
@@ -213,7 +198,7 @@ _WORD = tb.byte_class((0x21, 0xFF))
 
 def _features(batches, tables):
     for batch in batches:
-        found = features(batch.column("text"), tables.value)
+        found = features(batch.column("text"), tables)
         kept = [c for c in batch.schema.names if c != "text"]
         arrays = [batch.column(c) for c in kept]
         yield pa.RecordBatch.from_arrays([*arrays, *[pa.array(found[:, k]) for k in range(FEATURES)]], [*kept, "f0", "f1", "f2"])
@@ -242,7 +227,7 @@ def fit_curve(values: np.ndarray, toxic: np.ndarray) -> np.ndarray:
 
 def _score(batches, tables, weights):
     for batch in batches:
-        x = _curve(features(batch.column("text"), tables.value))
+        x = _curve(features(batch.column("text"), tables))
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
         kept = [c for c in batch.schema.names if c != "text"]
         yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(p)], [*kept, "score"])
@@ -260,12 +245,9 @@ def score_toxicity(
     size = known.count()
     labelled = rows.join(small_side(known, size), "id")
     for_curve = F.pmod("draw", F.lit(CURVE_FIFTH)) == 0
-    counted = labelled.filter(~for_curve).select("toxic", "text")
-    counts = counted.mapInArrow(_count, "gram long, toxic long, n long")
-    tables = ratio_tables(counts)
+    tables = model_of(labelled.filter(~for_curve))
     if tables is None:
         return docs.select(F.col(key), F.lit(0.5).alias("score"))
-    tables = spark.sparkContext.broadcast(tables)
 
     share = min(1.0, CURVE_ROWS / max(1, size / CURVE_FIFTH))
     drawn = labelled.filter(for_curve & (F.pmod(F.xxhash64("draw"), F.lit(1_000_000)) < int(share * 1_000_000)))
@@ -274,7 +256,8 @@ def score_toxicity(
     ).toArrow()
     values = np.column_stack([found[f"f{k}"].to_numpy() for k in range(FEATURES)])
     weights = fit_curve(values, found["toxic"].to_numpy())
-    scored = rows.mapInArrow(lambda it: _score(it, tables, weights), f"id {rows.schema['id'].dataType.simpleString()}, score double")
+    whole = model_of(labelled)
+    scored = rows.mapInArrow(lambda it: _score(it, whole, weights), f"id {rows.schema['id'].dataType.simpleString()}, score double")
     return scored.withColumnRenamed("id", key)
 
 

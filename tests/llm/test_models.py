@@ -139,15 +139,23 @@ def test_shared_backoff_is_a_distribution(spark):
 def test_features_equal_the_definition():
     import pyarrow as pa
 
-    rng = np.random.default_rng(1)
-    tables = (np.where(rng.random(1 << toxicity.SLOT_BITS) < 0.5, np.nan, rng.normal(size=1 << toxicity.SLOT_BITS)).astype(np.float32),
-              rng.normal(size=1 << toxicity.SLOT_BITS).astype(np.float32))
+    class Table:
+        """Half of all keys, each with a number of its own."""
+
+        def __init__(self, seed):
+            self.seed = np.uint64(seed)
+
+        def get(self, keys):
+            h = tb.mix(keys + self.seed)
+            return np.where(h & np.uint64(1) == 1, np.nan, (h >> np.uint64(40)).astype(np.float64) / 2**22 - 2)
+
+    tables = (Table(5), Table(77))
     texts = ["", None, "A", "hello World 7x", "  two  spaces ", "é" * 10]
 
     def ratio(word, k):
         gram = int.from_bytes((b" " * toxicity.ORDER + word[: k + 1])[-toxicity.ORDER :])
-        value = tables[0][toxicity.slots(np.array([gram], np.uint64))][0]
-        return tables[1][toxicity.slots(np.array([gram >> 8], np.uint64))][0] if np.isnan(value) else value
+        value = tables[0].get(np.array([gram], np.uint64))[0]
+        return np.nan_to_num(tables[1].get(np.array([gram >> 8], np.uint64))[0]) if np.isnan(value) else value
 
     got = toxicity.features(pa.array(texts), tables)
     for row, t in zip(got, texts):
@@ -158,6 +166,83 @@ def test_features_equal_the_definition():
         assert row[2] == pytest.approx(sum(best) / 3, abs=1e-4)
 
 
+def kneser_ney(counted, order=toxicity.ORDER, d=toxicity.DISCOUNT):
+    """Log ratios by n-gram and by context, from the definition: {(toxic, gram): n} to two dicts."""
+    from math import exp, log
+
+    totals = {c: sum(n for (k, _), n in counted.items() if k == c) for c in (0, 1)}
+    thin = {1: min(1.0, totals[0] / totals[1]), 0: min(1.0, totals[1] / totals[0])}
+    grams = {g for _, g in counted}
+    n = {(c, g): counted.get((c, g), 0) * thin[c] for c in (0, 1) for g in grams}
+    seen = {k: (float(v > 0) if thin[k[0]] == 1 else 1 - exp(-v)) for k, v in n.items()}
+    # Shared lower orders: how many different bytes stand before each shorter n-gram.
+    levels, below = {}, grams
+    for k in range(order - 1, 0, -1):
+        level = {}
+        for g in below:
+            level[g[-k:]] = level.get(g[-k:], 0) + 1
+        levels[k], below = level, set(level)
+
+    def lower(g):
+        if not g:
+            return 1 / 256
+        level = levels[len(g)]
+        same = [x for x in level if x[:-1] == g[:-1]]
+        return (level[g] - d + d * len(same) * lower(g[1:])) / sum(level[x] for x in same)
+
+    by_gram, by_context = {}, {}
+    for context in {g[:-1] for g in grams}:
+        same = [g for g in grams if g[:-1] == context]
+        all_of = {c: sum(n[c, g] for g in same) for c in (0, 1)}
+        gamma = {c: d * sum(seen[c, g] for g in same) / all_of[c] if all_of[c] else 1.0 for c in (0, 1)}
+        by_context[context] = log(gamma[1] / gamma[0])
+        for g in same:
+            own = {c: (n[c, g] - d * seen[c, g]) / all_of[c] if all_of[c] else 0.0 for c in (0, 1)}
+            p = lower(g[1:])
+            by_gram[g] = log((own[1] + gamma[1] * p) / (own[0] + gamma[0] * p))
+    return by_gram, by_context
+
+
+def test_model_equals_the_definition_of_kneser_ney(spark):
+    """Counts, thinning, shared backoff and look-ups against a direct computation on a few hundred texts."""
+    rows, labels = labelled(spark, 240)
+    mark = dict(labels)
+    counted = {}
+    for i, t in rows:
+        for word in toxicity._FORM[np.frombuffer(t.encode(), np.uint8)].tobytes().split(b" "):
+            for k in range(len(word) + 1) if word else ():
+                gram = (b" " * toxicity.ORDER + word + b" ")[: toxicity.ORDER + k + 1][-toxicity.ORDER :]
+                counted[mark[i], gram] = counted.get((mark[i], gram), 0) + 1
+    docs = spark.createDataFrame([(mark[i], t) for i, t in rows], "toxic int, text string").repartition(3)
+    raw = docs.mapInArrow(toxicity._count, "gram long, toxic long, n long").groupBy("toxic", "gram").agg(F.sum("n").alias("n"))
+    found = {(r.toxic, (r.gram % 2**48).to_bytes(6)): r.n for r in raw.collect()}
+    # Between and around words stand n-grams of spaces, which the definition leaves out.
+    spaces = b" " * toxicity.ORDER
+    assert {k: n for k, n in found.items() if k[1] != spaces} == counted
+    by_gram, by_context = kneser_ney(found)
+    tables = [t.opened() for t in toxicity.model_of(docs)]
+    for table, want in zip(tables, (by_gram, by_context)):
+        keys = np.array([int.from_bytes(g) for g in want], np.uint64)
+        assert np.abs(table.get(keys) - np.array(list(want.values()))).max() < 1e-9
+        strange = np.setdiff1d(np.random.default_rng(4).integers(0, 2**48, 5000, np.uint64), keys)
+        assert np.isnan(table.get(strange)).all()
+
+
+@pytest.mark.parametrize("part_keys", [10**9, 100])
+def test_shared_tables_hold_what_they_were_given(spark, part_keys):
+    from bikeflow.llm.lookup import SharedTable
+
+    rng = np.random.default_rng(6)
+    keys = np.unique(np.concatenate([rng.integers(-(2**63), 2**63 - 1, 1500), np.arange(-3, 4)]))
+    values = rng.normal(size=len(keys))
+    frame = spark.createDataFrame(list(zip(keys.tolist(), values.tolist())), "key long, value double").repartition(5)
+    table = SharedTable(frame, "test-table", part_keys).opened()
+    assert len(table.parts) == (1 if part_keys > 10**6 else 16)
+    assert (table.get(keys.view(np.uint64)) == values).all()
+    assert np.isnan(table.get(np.setdiff1d(rng.integers(0, 2**63 - 1, 3000), keys).view(np.uint64))).all()
+    assert np.isnan(SharedTable(frame.limit(0), "test-table").opened().get(keys.view(np.uint64))).all()
+
+
 def test_in_fold_matches_crc(spark):
     import zlib
 
