@@ -4,14 +4,15 @@ Each task packs the documents it reads, so nothing is shuffled and a lost task i
 with the same result. Tokens wait in a bounded pool. From the pool
 
 * whole long windows are cut from documents that fill them;
-* the rest of each document is routed to a tier by its length;
-* each tier, from the longest, opens long windows, and shorter tiers fill their gaps, best fit first;
-  a gap that nothing fits takes the head of the shortest waiting piece, whose tail waits on;
-* what is left when the input ends goes to windows of the shorter tiers' sizes, which are full too;
+* the rest of each document is routed to a tier by its length, the smallest window that holds it;
+* each tier, from the shortest, packs windows of its own size, pieces of its own first; what shorter tiers
+  keep back fills the gaps, best fit first, and a gap that nothing fits takes the head of the shortest waiting
+  piece, whose tail waits on in the tier of its length;
+* when the input ends, what is less than a window in every tier fills windows together;
   at most one window per task, of fewer tokens than the smallest tier, is padded.
 
-Sequences are then dealt to step groups of equal size such that the groups' attention cost
-(sum of squared piece lengths) is about the same.
+A training step takes sequences of one size: those of each size are dealt to step groups of equal number such that the
+groups' attention cost (sum of squared piece lengths) is about the same.
 
 Defined cases: a null text is empty, and a document without tokens is the end token alone; equal
 ids and repeated rows are packed one by one; an empty table gives no sequence; texts of any length
@@ -96,14 +97,19 @@ class Packer:
         self.window, self.tiers = window, sorted(tiers)
         # Per tier, waiting pieces in order of length; the second number only breaks ties.
         self.waiting: list[list] = [[] for _ in self.tiers]
-        self.tokens = self.taken = 0
+        self.held = [0] * len(self.tiers)  # tokens that wait in each
+        self.taken = 0
+
+    @property
+    def tokens(self) -> int:
+        return sum(self.held)
 
     def _route(self, row, start: int, ids: bytes, total: int) -> None:
         n = len(ids) // ID_BYTES
         self.taken += 1
         tier = bisect.bisect_left(self.tiers, n)
         bisect.insort(self.waiting[tier], (n, self.taken, row, start, ids, total), key=lambda p: p[:2])
-        self.tokens += n
+        self.held[tier] += n
 
     def add(self, row, ids: bytes) -> Iterator[list]:
         total, step = len(ids) // ID_BYTES, self.window * ID_BYTES
@@ -113,43 +119,48 @@ class Packer:
         if total % self.window:
             self._route(row, whole * self.window, ids[whole * step :], total)
 
-    def _take(self, room: int) -> tuple | None:
-        """The longest waiting piece that fits, or else the head of the shortest one."""
-        for tier in reversed(range(len(self.tiers))):
-            held = self.waiting[tier]
-            k = bisect.bisect_right(held, room, key=lambda p: p[0])
+    def _pop(self, tier: int, k: int) -> tuple:
+        piece = self.waiting[tier].pop(k)
+        self.held[tier] -= piece[0]
+        return piece
+
+    def _take(self, room: int, top: int) -> tuple:
+        """The longest waiting piece that fits, from tier ``top`` down, or else the head of the shortest one of any tier."""
+        for tier in reversed(range(top + 1)):
+            k = bisect.bisect_right(self.waiting[tier], room, key=lambda p: p[0])
             if k:
-                piece = held.pop(k - 1)
-                self.tokens -= piece[0]
-                return piece[2:]
-        for held in self.waiting:
-            if held:
-                n, _, row, start, ids, total = held.pop(0)
-                self.tokens -= n
-                self._route(row, start + room, ids[room * ID_BYTES :], total)
-                return row, start, ids[: room * ID_BYTES], total
-        return None
-
-    def fill(self, size: int) -> list:
-        """One full sequence of ``size`` tokens."""
+                return self._pop(tier, k - 1)[2:]
+        tier = next(t for t, pieces in enumerate(self.waiting) if pieces)
+        _, _, row, start, ids, total = self._pop(tier, 0)
+        self._route(row, start + room, ids[room * ID_BYTES :], total)
+        return row, start, ids[: room * ID_BYTES], total
+
+    def fill(self, size: int, top: int) -> list:
+        """One full sequence of ``size`` tokens: pieces of tier ``top`` first, its gap from shorter ones."""
         sequence, room = [], size
         while room:
-            piece = self._take(room)
+            piece = self._take(room, top)
             sequence.append(piece)
             room -= len(piece[2]) // ID_BYTES
         return sequence
 
     def drain(self, keep: int) -> Iterator[list]:
-        while self.tokens >= max(keep, self.window):
-            yield self.fill(self.window)
+        """Each tier packs windows of its own size until it holds no more than its share of ``keep``.
+
+        Shares are as the windows' sizes. Shorter tiers go first, so that only what they keep fills the gaps of longer ones.
+        """
+        for top, size in enumerate(self.tiers):
+            while self.held[top] >= max(size, keep * size // sum(self.tiers)):
+                yield self.fill(size, top)
 
     def close(self) -> Iterator[list]:
         yield from self.drain(0)
+        # Less than a window is left in every tier: together they fill some more.
         for size in reversed(self.tiers):
             while self.tokens >= size:
-                yield self.fill(size)
+                yield self.fill(size, len(self.tiers) - 1)
         if self.tokens:
-            yield self.fill(self.tokens)
+            yield self.fill(self.tokens, len(self.tiers) - 1)
 
 
 def _grouped(sequences: list[list], first: int, prefix: int, group: int) -> Iterator[tuple]:
@@ -173,7 +184,8 @@ def _pack(batches, text: str, path: str, ranks, window: int, tiers, group: int,
     ids, packer = Ids(path, ranks), Packer(window, tiers)
     prefix = TaskContext.get().partitionId() << 40
     end = END_TOKEN.to_bytes(ID_BYTES, "little")
-    ready, count, schema = [], 0, None
+    # Sequences that wait for their step groups, by the size of their window.
+    ready, count, schema = {}, 0, None
 
     def rows(sequences, first):
         found = list(_grouped(sequences, first, prefix, group))
@@ -186,20 +198,28 @@ def _pack(batches, text: str, path: str, ranks, window: int, tiers, group: int,
         arrays = [c.combine_chunks() for c in kept.columns] + [pa.array(v, k) for v, k in zip(values, kinds)]
         return pa.RecordBatch.from_arrays(arrays, [*schema.names, *COLUMNS])
 
+    def kept(sequences):
+        for sequence in sequences:
+            n = sum(len(p[2]) for p in sequence) // ID_BYTES
+            ready.setdefault(next((t for t in packer.tiers if t >= n), window), []).append(sequence)
+
     for batch in batches:
         keys = batch.drop_columns([text])
         schema = keys.schema
         for key, text_now in zip(keys.to_pylist(), batch.column(text)):
-            ready.extend(packer.add(key, ids.encode(text_now.as_py() or "") + end))
+            kept(packer.add(key, ids.encode(text_now.as_py() or "") + end))
             if packer.tokens > pool:
-                ready.extend(packer.drain(pool // 2))
-            whole = len(ready) - len(ready) % group
-            if whole >= 16 * group:
-                yield rows(ready[:whole], count)
-                count, ready = count + whole, ready[whole:]
-    ready.extend(packer.close())
-    if ready:
-        yield rows(ready, count)
+                kept(packer.drain(pool // 2))
+            for size, sequences in ready.items():
+                whole = len(sequences) - len(sequences) % group
+                if whole >= 16 * group:
+                    yield rows(sequences[:whole], count)
+                    count, ready[size] = count + whole, sequences[whole:]
+    kept(packer.close())
+    for _, sequences in sorted(ready.items()):
+        if sequences:
+            yield rows(sequences, count)
+            count += len(sequences)
 
 
 def pack(

@@ -160,6 +160,29 @@ def test_packing_is_an_exact_cover(docs, empty, spark, ranks):
     assert packing.pack(empty, keys=["doc_id"], model=path).count() == 0
 
 
+def test_each_tier_packs_sequences_of_its_own(spark):
+    """Texts of all lengths: every size of window comes up, mostly with pieces of its own tier, and nothing much is padded."""
+    path = token_counts.tokenizer_path(packing.MODEL)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").coalesce(1)
+    got = packing.pack(docs, keys=["doc_id"], model=path, ranks=token_counts.tokenizer_path(packing.RANKS), pool_tokens=40_000)
+    pieces = got.select("sequence_id", "sequence_tokens", "tier", "length", "step_group").collect()
+    sequences = {}
+    for p in pieces:
+        sequences.setdefault(p.sequence_id, []).append(p)
+    sizes = [s[0].sequence_tokens for s in sequences.values()]
+    assert all(sizes.count(t) >= 8 for t in packing.TIERS)
+    padding = sum(2048 - n for n in sizes if n not in packing.TIERS)
+    assert padding <= 2048 and padding < 0.001 * (sum(sizes) + padding) + 2048
+    for low, high in zip((0, 256, 512, 1024), packing.TIERS):
+        own = [s for s in sequences.values() if s[0].sequence_tokens == high]
+        assert sum(any(low < p.length <= high for p in s) for s in own) > 0.8 * len(own)
+    # A step has sequences of one size.
+    steps = {}
+    for s in sequences.values():
+        steps.setdefault(s[0].step_group, set()).add(s[0].tier)
+    assert all(len(tiers) == 1 for tiers in steps.values())
+
+
 def test_step_groups_are_balanced():
     sequences = [[("r", 0, b"\0" * 4 * n, n)] for n in (2000, 100, 1900, 200, 1800, 300, 1700, 400)]
     groups = {}
