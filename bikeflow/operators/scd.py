@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bikeflow import constants as k
 from bikeflow.functions import text
-from bikeflow.operators.neighbours import SPLIT, in_slots, rank_cuts, slot_window
+from bikeflow.operators.neighbours import SLOT, SPLIT, in_slots, rank_cuts, slot_window
 
 
 def latest_per_key(changes: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
@@ -41,8 +41,8 @@ def history(
     is into how many shares hot keys are cut (see ``neighbours``).
 
     One window compares each row with its neighbours; a second one, over the first and last rows of
-    ranges in the same slots, takes the end of each range to its start, with no further shuffle. Of a key that
-    is split, the last range of a slot may end in a later one: a row per slot and key meets those.
+    ranges in the same slots, takes the end of each range to its start, with no further shuffle. A third one, over
+    the starts of ranges, links the slots of keys that are split.
     """
     keys = list(keys)
     cuts = rank_cuts(changes, keys, [sequence], ranges)
@@ -62,14 +62,12 @@ def history(
     marks = marks.withColumn("__final", final).drop("__prev", "__next", "__state")
     marks = marks.withColumns({"__mate": F.lead("__final").over(by_slot), "__turn": F.row_number().over(by_slot)})
     whole = F.col("__closes") | F.col("__mate").isNotNull()
-    inside = marks.filter(F.col("__opens") & whole)
-
-    over = marks.filter(F.col(SPLIT) & ((F.col("__turn") == 1) | (F.col("__opens") & ~whole)))
-    by_key = Window.partitionBy(*keys).orderBy("__seq")
-    over = over.withColumns({"__first": F.col("__opens") & ~whole, "__mate": F.lead("__final").over(by_key)})
-    found = inside.unionByName(over.filter("__first").drop("__first"))
-
-    last = F.when(F.col("__closes"), F.col("__final")).otherwise(F.col("__mate"))
+    # Of a split key, the first mark of a slot may end a range that began slots before: two rows per slot at most meet.
+    edge = F.col(SPLIT) & ((F.col("__turn") == 1) | (F.col("__opens") & ~whole))
+    marks = marks.withColumn("__group", F.when(edge, F.lit(-1)).otherwise(F.col(SLOT))).filter((F.col("__group") < 0) | F.col("__opens"))
+    over = F.lead("__final").over(Window.partitionBy(*keys, "__group").orderBy("__seq"))
+    found = marks.withColumn("__over", over).filter("__opens")
+    last = F.when(F.col("__closes"), F.col("__final")).otherwise(F.coalesce("__mate", "__over"))
     found = found.withColumn("__final", last)
     columns: list[Column] = [
         F.col(f"__final.{c}").alias(c) if c in loose else F.col(c) for c in changes.columns

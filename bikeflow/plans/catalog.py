@@ -120,15 +120,22 @@ def distinct_pairs(spark, sf):
     return distance.station_pairs(m.trips(spark, sf))
 
 
+def _travelled(spark: SparkSession, sf: str) -> DataFrame:
+    """The stations of all trips, landed: pairs are counted against what the matrix holds of them, so they are read twice."""
+    folder = work_folder(spark, "travelled")
+    m.trips(spark, sf).select("pickup_station_id", "dropoff_station_id").write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 @query
 def new_station_pairs(spark, sf):
-    trip_rows = m.trips(spark, sf)
+    trip_rows = _travelled(spark, sf)
     return distance.new_pairs(trip_rows, m.stations(spark, sf), m.known_pairs(trip_rows))
 
 
 @query
 def distance_matrix(spark, sf):
-    trip_rows = m.trips(spark, sf)
+    trip_rows = _travelled(spark, sf)
     added, _ = distance.extend_matrix(trip_rows, m.stations(spark, sf), m.known_pairs(trip_rows))
     return added
 
@@ -144,7 +151,8 @@ def sample_route(lat1: float, lon1: float, lat2: float, lon2: float) -> list[dic
 @query
 def route_enrichment_udf(spark, sf):
     """Every travelled pair through the vectorised provider call; failures become text."""
-    placed = distance.new_pairs(m.trips(spark, sf), m.stations(spark, sf), m.known_pairs(m.trips(spark, sf)))
+    trip_rows = _travelled(spark, sf)
+    placed = distance.new_pairs(trip_rows, m.stations(spark, sf), m.known_pairs(trip_rows))
     return distance.enrich_pairs(placed, udfs.route_enricher(sample_route))
 
 
@@ -153,7 +161,8 @@ def route_enrichment_sql(spark, sf):
     """The provider called from SQL text by its registered name."""
     udfs.register_route(spark, sample_route)
     view = f"pairs_{uuid.uuid4().hex}"
-    files.as_view(distance.new_pairs(m.trips(spark, sf), m.stations(spark, sf), m.known_pairs(m.trips(spark, sf))), view)
+    trip_rows = _travelled(spark, sf)
+    files.as_view(distance.new_pairs(trip_rows, m.stations(spark, sf), m.known_pairs(trip_rows)), view)
     return spark.sql(
         f"""
         SELECT source_station_id, destination_station_id, route.distance_km AS distance,
