@@ -692,11 +692,11 @@ def filename_metadata(spark, sf):
     return rows.select("event_id", "user_id", "capture_time", "run_id")
 
 
-MEMBER_ROWS = 2_000
+MEMBER_ROWS = 10_000
 
 
 def _pack(batches: Iterator[pd.DataFrame], folder: str) -> Iterator[pd.DataFrame]:
-    """One zip archive on the shared disk per task, with a CSV member per two thousand rows."""
+    """One zip archive on the shared disk per task, with a CSV member per ten thousand rows."""
     system, place = open_place(folder)
     name, count = f"{place}/{uuid.uuid4().hex}.zip", 0
     with system.open_output_stream(name) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:

@@ -34,9 +34,41 @@ def read_archives(spark: SparkSession, folder: str, glob: str = "*.zip") -> Data
     return reader.load(folder).select("path", "length")
 
 
+class _Seekable(io.RawIOBase):
+    """A file of any file system as ``zipfile`` wants it: seeking before its start is an OSError."""
+
+    def __init__(self, file):
+        self.file, self.size = file, file.size()
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self.file.tell()
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        place = offset + {io.SEEK_SET: 0, io.SEEK_CUR: self.file.tell(), io.SEEK_END: self.size}[whence]
+        if place < 0:
+            raise OSError("before the start of the file")
+        self.file.seek(place)
+        return place
+
+    def readinto(self, buffer) -> int:
+        found = self.file.read(len(buffer))
+        buffer[: len(found)] = found
+        return len(found)
+
+    def close(self) -> None:
+        self.file.close()
+        super().close()
+
+
 def _opened(path: str) -> zipfile.ZipFile:
     system, place = open_place(path)
-    return zipfile.ZipFile(system.open_input_file(place))
+    return zipfile.ZipFile(io.BufferedReader(_Seekable(system.open_input_file(place)), 1 << 16))
 
 
 def _texts(archive: zipfile.ZipFile, member: str) -> io.TextIOWrapper:

@@ -143,6 +143,7 @@ def test_records_with_breaks_quotes_and_odd_ends(spark, tmp_path):
 
 
 def test_no_archives(spark, tmp_path):
+    zipfile.ZipFile(tmp_path / "without-members.zip", "w").close()
     with zipfile.ZipFile(tmp_path / "e.zip", "w") as archive:
         archive.writestr("a.txt", "x")
     assert archives.zipped_csv_rows(archives.read_archives(spark, str(tmp_path)), "a string").collect() == []
