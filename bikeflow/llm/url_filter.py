@@ -27,7 +27,7 @@ from bikeflow.llm.tables import landed, small_side, table
 
 DAY_ZERO = "2024-01-01"
 DAYS = 366
-# Words of hosts and paths that a production list blocks.
+# Sample data for the registered query; lists are an input of the operator.
 BLOCKED_WORDS = ("casino", "bets", "porn", "pills", "warez")
 
 
@@ -63,7 +63,7 @@ def url_keys(url):
 
 
 def filter_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
-    """capture_id, url, fetched_on with blocked and the deciding rule ("kind:value", null if none).
+    """capture_id, url, fetched_on with blocked and the deciding rule ("kind:value", empty if none).
 
     ``captures``: capture_id, url, fetched_on.
     """
