@@ -20,6 +20,9 @@ COLUMNS = {
         "sequence_id": "bigint", "offset": "bigint",
     },
     "op8_ngram_jaccard_join": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
+    "op13_phrase_collocations": {
+        "lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint", "n": "bigint", "score": "bigint"
+    },
     "op10_exact_topk_search": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
 }
 
