@@ -16,6 +16,8 @@ from bikeflow.operators.scd import latest_per_key
 from bikeflow.operators.trips import reconstruct_trips
 
 NATIONS = 25
+# Documents in a landing file. Compressed files are not split, so this bounds what one reading task opens at least.
+FILE_DOCUMENTS = 250_000
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -255,7 +257,11 @@ def scattered(column: str, count: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(count)).cast("int")
 
 
-def text_files(documents: DataFrame, folder: str, mode: str = "append") -> None:
-    """Land documents as JSON files, one document per line."""
-    documents.select("value").write.mode(mode).option("compression", "none").format("text").save(folder)
+def text_files(documents: DataFrame, folder: str, mode: str = "append", per_file: int = FILE_DOCUMENTS) -> None:
+    """Land documents as compressed JSON files, one document per line, ``per_file`` of them at most in a file.
+
+    Feed documents are mostly the names of their fields, so as plain text they take many times the rows they hold.
+    """
+    writer = documents.select("value").write.mode(mode).option("compression", "lz4").option("maxRecordsPerFile", per_file)
+    writer.format("text").save(folder)
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from bikeflow import schemas
 from bikeflow.functions import documents
 from bikeflow.operators import flatten
+from bikeflow.plans import mappings
 from bikeflow.sources import files
 
 
@@ -94,3 +95,21 @@ def test_route_totals(spark):
     steps = documents.first_leg_steps(F.from_json("route", schemas.ROUTE_DOCUMENT))
     got = df.select(documents.route_totals(steps).alias("t")).select("t.*").collect()
     assert tuple(got[0]) == (1.3, 32.0) and tuple(got[1]) == (None, None)
+
+
+def test_landed_documents_take_a_fraction_of_their_text(spark, tmp_path):
+    lines = spark.range(4000).selectExpr(
+        "id AS l_orderkey", "id % 77 AS l_partkey", "id % 13 AS l_suppkey", "CAST(id % 7 AS int) AS l_linenumber",
+        "CAST(id % 50 AS double) AS l_quantity", "id % 9 / 100 AS l_discount", "id % 8 / 100 AS l_tax",
+        "if(id % 3 = 0, 'R', 'N') AS l_returnflag", "'O' AS l_linestatus", "timestamp_seconds(id) AS l_shipdate",
+    )
+    documents = mappings.nested_documents(lines).coalesce(1)
+    text = documents.selectExpr("sum(length(value) + 1)").first()[0]
+    mappings.text_files(documents, str(tmp_path / "landed"), per_file=1000)
+    parts = list((tmp_path / "landed").glob("part-*"))
+    assert len(parts) == 4
+    assert sum(p.stat().st_size for p in parts) < text / 3
+    assert sorted(r.value for r in files.read_text(spark, str(tmp_path / "landed")).collect()) == sorted(r.value for r in documents.collect())
+    typed = schemas.document_fields(schemas.TELEMETRY_STATION)
+    assert flatten.flatten_telemetry(files.read_json(spark, str(tmp_path / "landed"), typed)).count() == 8000
+    assert flatten.flatten_telemetry(files.query_path(spark, "json", str(tmp_path / "landed"))).count() == 8000
