@@ -9,6 +9,8 @@ from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bikeflow.session import work_folder
+
 MEMBER, CASUAL = "member", "casual"
 FEATURES = {
     "rideable_type": "rideable_type_index",
@@ -39,8 +41,13 @@ def fit(history: DataFrame, seed: int = 42, trees: int = 20, max_depth: int = 5,
 
     A category is one number, pulled to the overall share while it is rare, whatever the number of
     categories: the statistics of a tree node do not grow with the stations. Unknown and NULL categories have the overall share.
+
+    Every stage passes over the rows more than once. What it reads is landed before: the categories and the label, then the
+    numbers that stand for them, so that no pass of the forest filters, indexes and encodes the history again.
     """
-    labelled = with_label(history)
+    spark = history.sparkSession
+    folder = work_folder(spark, "riders")
+    labelled = _landed(with_label(history).select(*FEATURES, "label"), f"{folder}/categories")
     shares = [f"{c}_share" for c in FEATURES.values()]
     encoder = TargetEncoder(
         inputCols=list(FEATURES.values()), outputCols=shares, labelCol="label", targetType="binary", smoothing=smoothing, handleInvalid="keep"
@@ -50,7 +57,14 @@ def fit(history: DataFrame, seed: int = 42, trees: int = 20, max_depth: int = 5,
     numbers = SQLTransformer(statement="SELECT *, " + ", ".join(f"{s} + 0.0D AS {v}" for s, v in zip(shares, plain)) + " FROM __THIS__")
     assembler = VectorAssembler(inputCols=plain, outputCol="features")
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, maxDepth=max_depth, seed=seed)
-    return Pipeline(stages=[indexer(labelled), encoder, numbers, assembler, forest]).fit(labelled)
+    coding = Pipeline(stages=[indexer(labelled), encoder, numbers]).fit(labelled)
+    values = _landed(coding.transform(labelled).select("label", *plain), f"{folder}/values")
+    return PipelineModel([*coding.stages, assembler, forest.fit(assembler.transform(values))])
+
+
+def _landed(rows: DataFrame, folder: str) -> DataFrame:
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
 def evaluate(model: PipelineModel, history: DataFrame) -> dict[str, float]:

@@ -184,3 +184,20 @@ def test_rider_model_with_many_and_missing_stations(spark):
 
 def test_capture_text_is_null_safe(spark):
     assert tuple(spark.createDataFrame([(None,)], "p string").select(text.capture_time(F.col("p")), text.capture_run(F.col("p"))).first()) == (None, None)
+
+
+def test_rider_model_evaluates_the_history_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for rows in batches:
+            seen.add(len(rows))
+            yield rows
+
+    history = spark.range(300).selectExpr(
+        "if(id % 2 = 0, 'classic_bike', 'electric_bike') AS rideable_type", "concat('s', id % 9) AS start_station_name",
+        "if(id % 5 = 0, null, concat('e', id % 4)) AS end_station_name", "if(id % 3 = 0, 'member', 'casual') AS member_casual",
+    )
+    model = rider_model.fit(history.mapInPandas(counted, history.schema), trees=3)
+    assert seen.value == 300
+    assert rider_model.predict(model, history).filter("prediction in (0, 1)").count() == 300
