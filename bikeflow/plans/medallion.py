@@ -18,7 +18,7 @@ from bikeflow.session import work_folder
 from bikeflow.sources.streams import stream_documents, stream_folder
 from bikeflow.streaming.ingest import each_batch, merge_batches, read_batches
 from bikeflow.streaming.partitions import BUCKET, Folder, MaterializedView, PartitionedTable, key_bucket, own_bucket, time_bucket
-from bikeflow.streaming.trips import extend_trips, read_trips, spans_around
+from bikeflow.streaming.trips import each_once, extend_trips, read_trips, spans_around
 from bikeflow.streaming.upserts import upsert_history, upsert_latest
 
 # Text of documents that the reader could not take as they are.
@@ -184,12 +184,13 @@ class Medallion:
 
     def _add_named(self, batch: DataFrame, stations: DataFrame, number: int) -> None:
         gone = batch.filter("kind = 'withdrawn'").select("trip_id").distinct()
-        new = batch.filter("kind != 'withdrawn'").drop("kind").dropDuplicates(["trip_id"])
+        new = each_once(batch)
         named = with_station_names(new, stations)
         self.named_trips.create(self.spark, named.schema)
 
         def change(stored: DataFrame, _: list[str]) -> DataFrame:
-            kept = stored.join(new.select("trip_id"), "trip_id", "left_anti").select(*named.columns)
+            arrived = batch.filter("kind != 'withdrawn'").select("trip_id")
+            kept = stored.join(arrived, "trip_id", "left_anti").select(*named.columns)
             return kept.unionByName(named).join(gone, "trip_id", "left_anti").select(*named.columns)
 
         self.named_trips.merge(batch.drop("kind"), change, number)

@@ -13,6 +13,7 @@ from bikeflow import schemas
 from bikeflow.operators.enrich import split_rejects
 from bikeflow.operators.neighbours import with_neighbours
 from bikeflow.operators.scd import latest_per_key
+from bikeflow.operators.sinks import CODEC
 from bikeflow.operators.trips import consecutive_readings, trips_from_pairs
 from bikeflow.streaming.ingest import BatchStep
 from bikeflow.streaming.partitions import BUCKET, Folder, PartitionedTable
@@ -138,14 +139,13 @@ def extend_trips(
         good, bad = split_rejects(batch.select(*schemas.READING_COLUMNS), KEYS)
         if rejects:
             bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
-        fresh = latest_per_key(good, KEYS, "last_updated")
-        placed = _placed(state, fresh, f"{late}/_placed", batch_id)
+        placed = _placed(state, good, f"{late}/_placed", batch_id)
         ahead = placed.filter("last is null or last_updated > last.last_updated")
         known = placed.filter("last is not null").select("rideable_id", "last.*").distinct()
         chain = ahead.drop("last").unionByName(known)
         _write_trips(consecutive_readings(chain), f"{trips}/batch={batch_id}/kind=ahead", min_gap)
-        newest = latest_per_key(ahead.drop("last"), ["rideable_id"], "last_updated")
-        state.merge(newest, lambda stored, _: latest_per_key(newest.unionByName(stored), ["rideable_id"], "last_updated"), batch_id)
+        moved_on = ahead.drop("last")
+        state.merge(moved_on, lambda stored, _: latest_per_key(moved_on.unionByName(stored), ["rideable_id"], "last_updated"), batch_id)
 
         behind = placed.filter("last_updated < last.last_updated").drop("last")
         if behind.isEmpty():
@@ -159,16 +159,19 @@ def extend_trips(
     return step
 
 
-def _placed(state: PartitionedTable, fresh: DataFrame, folder: str, batch_id: int) -> DataFrame:
-    """The batch with the last reading of each bike before it (``last``), landed once per batch."""
-    spark = fresh.sparkSession
-    state.create(spark, fresh.schema)
-    names = sorted(r[0] for r in fresh.select(state.bucket).distinct().collect())
+def _placed(state: PartitionedTable, good: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    """The readings of a batch, each once, with the last reading of each bike before it (``last``), landed once per batch.
+
+    What the batch is and where it falls is taken from the rows as they came: only landing them shuffles them.
+    """
+    spark = good.sparkSession
+    state.create(spark, good.schema)
+    names = sorted(r[0] for r in good.select(state.bucket).distinct().collect())
     rest = [c for c in schemas.READING_COLUMNS if c != "rideable_id"]
     last = state.read(spark, names).select("rideable_id", F.struct(*rest).alias("last"))
-    placed = fresh.join(last, "rideable_id", "left")
+    placed = latest_per_key(good, KEYS, "last_updated").join(last, "rideable_id", "left")
     work, mark = Folder(spark, folder), f"batch={batch_id}.done"
-    print_of = fresh.agg(F.count("*"), F.sum(F.xxhash64(*fresh.columns).cast("decimal(38,0)")).cast("string")).first()
+    print_of = good.agg(F.count("*"), F.sum(F.xxhash64(*good.columns).cast("decimal(38,0)")).cast("string")).first()
     if work.get(mark) != list(print_of):
         work.delete(mark)
         placed.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
@@ -201,7 +204,7 @@ def _write_settled(added: DataFrame, before: DataFrame, folder: str, min_gap: in
 
 def _write_trips(pairs: DataFrame, folder: str, min_gap: int) -> None:
     rows = trips_from_pairs(pairs, min_gap)
-    rows.sortWithinPartitions("trip_start_time_local", "pickup_station_id").write.mode("overwrite").parquet(folder)
+    rows.sortWithinPartitions("trip_start_time_local", "pickup_station_id").write.mode("overwrite").option("compression", CODEC).parquet(folder)
 
 
 def read_trips(trips: DataFrame) -> DataFrame:
@@ -212,7 +215,12 @@ def read_trips(trips: DataFrame) -> DataFrame:
     few, and only they are compared with the rest.
     """
     gone = trips.filter("kind = 'withdrawn'").select("trip_id")
-    ahead = trips.filter("kind = 'ahead'").drop("batch", "kind")
-    late = trips.filter("kind = 'late'").drop("batch", "kind").dropDuplicates(["trip_id"])
+    return each_once(trips.drop("batch")).join(gone, "trip_id", "left_anti")
+
+
+def each_once(trips: DataFrame) -> DataFrame:
+    """The trips that were added, each once, whether they were withdrawn or not: the rows of ``read_trips`` before that."""
+    ahead = trips.filter("kind = 'ahead'").drop("kind")
+    late = trips.filter("kind = 'late'").drop("kind").dropDuplicates(["trip_id"])
     again = ahead.select("trip_id").join(late.select("trip_id"), "trip_id", "left_semi")
-    return ahead.unionByName(late.join(again, "trip_id", "left_anti")).join(gone, "trip_id", "left_anti")
+    return ahead.unionByName(late.join(again, "trip_id", "left_anti"))

@@ -25,9 +25,8 @@ def upsert_latest(
         good, bad = split_rejects(batch, keys)
         if rejects:
             bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
-        # A key arrives once, however often the batch holds it.
-        fresh = latest_per_key(good, keys, sequence)
-        table.merge(fresh, lambda stored, _: latest_per_key(fresh.unionByName(stored), keys, sequence), batch_id)
+        # Arrived and stored rows are ranked together; of a key that the batch holds often, each task sends one row.
+        table.merge(good, lambda stored, _: latest_per_key(good.unionByName(stored), keys, sequence), batch_id)
 
     return step
 
@@ -54,8 +53,7 @@ def upsert_history(
         if rejects:
             bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
         entry = [*keys, sequence]
-        fresh = latest_per_key(good, entry, sequence)
-        touched = log.merge(fresh, lambda stored, _: latest_per_key(fresh.unionByName(stored), entry, sequence), batch_id)
+        touched = log.merge(good, lambda stored, _: latest_per_key(good.unionByName(stored), entry, sequence), batch_id)
         if not touched:
             return
         changed = good.select(*keys).distinct()

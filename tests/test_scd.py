@@ -217,3 +217,25 @@ def test_a_reader_of_a_view_finishes_after_the_switch(spark, folder):
     for n in range(4):
         view.refresh(spark.range(n))
     assert view.read(spark).count() == 3 and len(Folder(spark, view.path).names()) <= 8
+
+
+def test_upserts_tell_a_batch_without_shuffling_it(spark, folder, monkeypatch):
+    plans, merge = [], PartitionedTable.merge
+
+    def watched(self, batch, *rest):
+        plans.append(batch._jdf.queryExecution().executedPlan().toString())
+        return merge(self, batch, *rest)
+
+    monkeypatch.setattr(PartitionedTable, "merge", watched)
+    first = spark.createDataFrame([(1, 5, "a"), (1, 7, "b"), (1, 7, "b"), (2, 1, "c")], "k int, s int, v string")
+    late = spark.createDataFrame([(1, 6, "late"), (2, 2, "d"), (2, 2, "d")], "k int, s int, v string")
+    latest = PartitionedTable(f"{folder}/latest", key_bucket("k", buckets=2), ["k"])
+    log, ranges = (PartitionedTable(f"{folder}/{n}", key_bucket("k", buckets=2), ["k"]) for n in ("log", "ranges"))
+    steps = [upsert_latest(latest, ["k"], "s"), upsert_history(log, ranges, ["k"], "s")]
+    for number, batch in enumerate((first, late)):
+        for step in steps:
+            step(batch, number)
+    of_batches = [p for p in plans if "LocalTableScan" in p or "Scan ExistingRDD" in p]
+    assert not any("Window" in p for p in of_batches)
+    assert sorted(map(tuple, latest.read(spark).collect())) == [(1, 7, "b"), (2, 2, "d")]
+    assert sorted(map(tuple, log.read(spark).collect())) == [(1, 5, "a"), (1, 6, "late"), (1, 7, "b"), (2, 1, "c"), (2, 2, "d")]
