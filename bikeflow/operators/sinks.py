@@ -45,13 +45,18 @@ def write_clustered(
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
     together: Column | None = None,
+    pieces: int = 1,
+    tasks: int | None = None,
 ) -> None:
     """Write Parquet, in folders by ``partition_by``, sorted by ``cluster_by`` within files.
 
-    With folders the rows are gathered per folder.
+    With folders the rows are gathered per folder, in ``pieces`` even shares of it, by at least ``tasks`` tasks if given.
     """
     if partition_by:
-        laid_out = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *cluster_by)
+        shared = df.withColumn("__piece", F.pmod(F.xxhash64(*df.columns), F.lit(pieces))) if pieces > 1 else df
+        places = [*partition_by, "__piece"] if pieces > 1 else partition_by
+        gathered = shared.hint("rebalance", *([tasks] if tasks else []), *places).drop("__piece")
+        laid_out = gathered.sortWithinPartitions(*partition_by, *cluster_by)
     else:
         laid_out = clustered(df, cluster_by, together)
     writer = laid_out.write.mode(mode).option("partitionOverwriteMode", "static").option("compression", CODEC)

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from bikeflow.operators import scd
+from bikeflow.streaming import partitions
 from bikeflow.streaming.upserts import upsert_history, upsert_latest
 from bikeflow.streaming.partitions import Folder, MaterializedView, PartitionedTable, key_bucket, own_bucket
 
@@ -239,3 +240,19 @@ def test_upserts_tell_a_batch_without_shuffling_it(spark, folder, monkeypatch):
     assert not any("Window" in p for p in of_batches)
     assert sorted(map(tuple, latest.read(spark).collect())) == [(1, 7, "b"), (2, 2, "d")]
     assert sorted(map(tuple, log.read(spark).collect())) == [(1, 5, "a"), (1, 6, "late"), (1, 7, "b"), (2, 1, "c"), (2, 2, "d")]
+
+
+def test_a_partition_is_gathered_in_shares(spark, folder, monkeypatch):
+    monkeypatch.setattr(partitions, "GATHERED_ROWS", 1000)
+    # Two places at most stay one task each without shares.
+    table = PartitionedTable(f"{folder}/log", key_bucket("k", buckets=1), ["k"])
+    for number in range(2):
+        batch = spark.range(number * 4000, number * 4000 + 4000).selectExpr("id % 50 AS k", "id AS s")
+        table.merge(batch, lambda stored, _: batch.unionByName(stored), number)
+    assert sorted(r.s for r in table.read(spark).collect()) == list(range(8000))
+    staged = next(pathlib.Path(folder).glob("log/_staged/step=1/bucket=0"))
+    held = [spark.read.parquet(str(p)).count() for p in staged.glob("*.parquet")]
+    assert sum(held) == 8000
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != partitions.TAKEN_BYTES
+    shares = table._shares(spark, ["0"], [["0", 100, ""]])
+    assert shares["pieces"] == 9 and shares["tasks"] >= 9
