@@ -244,7 +244,6 @@ def test_upserts_tell_a_batch_without_shuffling_it(spark, folder, monkeypatch):
 
 def test_a_partition_is_gathered_in_shares(spark, folder, monkeypatch):
     monkeypatch.setattr(partitions, "GATHERED_ROWS", 1000)
-    # Two places at most stay one task each without shares.
     table = PartitionedTable(f"{folder}/log", key_bucket("k", buckets=1), ["k"])
     for number in range(2):
         batch = spark.range(number * 4000, number * 4000 + 4000).selectExpr("id % 50 AS k", "id AS s")
